@@ -14,7 +14,7 @@ import numpy as np
 
 @dataclass(frozen=True)
 class BoostingParams:
-    """Defaults are fixed values of the reference learner."""
+    """Defaults are fixed values."""
 
     trees: int = 300
     depth: int = 3

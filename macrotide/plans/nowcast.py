@@ -22,7 +22,7 @@ from macrotide.plans.features import KEYS, LEVEL, TARGET, align_features, infere
 from macrotide.schemas import WALK_FORWARD
 from macrotide.session import cut_lineage
 
-# First training end, ensemble seeds and least training rows of the reference.
+# First training end, ensemble seeds and least number of training rows.
 TRAIN_STOP = date(2023, 7, 1)
 SEEDS = (42, 123, 456)
 MIN_TRAIN_ROWS = 24
@@ -100,11 +100,15 @@ def walk_forward(matrix: DataFrame, features: list[str], start_after: date = TRA
 
 
 def gbt(features: list[str], trees: int = 300, seed: int = 42) -> Pipeline:
-    """Boosted-tree pipeline with the reference's depth, rate and subsampling (MLlib has no L1/L2)."""
+    """Boosted-tree pipeline with fixed depth, rate and subsampling (MLlib has no L1/L2 penalties).
+
+    A missing feature is kept as NaN, which every split sends to its right side, so a series without
+    some driver is still scored.
+    """
     learner = GBTRegressor(
         featuresCol="features", labelCol=TARGET, predictionCol="y_pred_mom", maxIter=trees, maxDepth=3,
         stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), learner])
+    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), learner])
 
 
 def fit_pooled(matrix: DataFrame, features: list[str], trees: int = 300, seed: int = 42) -> PipelineModel:

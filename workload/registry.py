@@ -45,7 +45,8 @@ def with_ctes(needs: tuple[str, ...], body: str) -> str:
     if not ordered:
         return body
     parts = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in ordered)
-    return f"WITH {parts}\n{body}"
+    body = body.strip()
+    return f"WITH {parts},\n{body[5:]}" if body.startswith("WITH ") else f"WITH {parts}\n{body}"
 
 
 def r(expression: str, digits: int = 6) -> str:
