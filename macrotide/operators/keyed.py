@@ -37,9 +37,13 @@ def replace_by_key(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
 
 
 def append_if_absent(df: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Add rows whose key is not there yet; columns ``new`` lacks are NULL."""
-    fresh = new.join(df.select(*keys).distinct(), keys, "left_anti")
-    return df.unionByName(fresh, allowMissingColumns=True)
+    """Add rows whose key is not there yet; columns ``new`` lacks are NULL.
+
+    The table is first narrowed to the new keys (a semi-join, so a small ``new`` is broadcast and the
+    table is not shuffled); only that remainder meets ``new`` in the anti-join.
+    """
+    taken = df.select(*keys).join(new.select(*keys).distinct(), keys, "left_semi").distinct()
+    return df.unionByName(new.join(taken, keys, "left_anti"), allowMissingColumns=True)
 
 
 def newest_rows(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:

@@ -15,13 +15,14 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def reconcile(left: dict[str, DataFrame], right: dict[str, DataFrame]) -> DataFrame:
-    """Counts of two layers beside each other; both must name the same datasets."""
-    a = row_counts(left).withColumnRenamed("n_rows", "left_rows")
-    b = row_counts(right).withColumnRenamed("n_rows", "right_rows")
-    return a.join(b, "table_name", "full").select(
-        "table_name", "left_rows", "right_rows",
-        (F.coalesce("left_rows", F.lit(0)) - F.coalesce("right_rows", F.lit(0))).alias("difference"))
+def reconcile(left: DataFrame, right: DataFrame, by: str = "dataset") -> DataFrame:
+    """Counts per dataset of two layers beside each other; each layer is read once."""
+    a = left.groupBy(by).agg(F.count(F.lit(1)).alias("left_rows"))
+    b = right.groupBy(by).agg(F.count(F.lit(1)).alias("right_rows"))
+    missing = F.lit(0)
+    return a.join(b, by, "full").select(
+        by, F.coalesce("left_rows", missing).alias("left_rows"), F.coalesce("right_rows", missing).alias("right_rows"),
+    ).withColumn("difference", F.col("left_rows") - F.col("right_rows"))
 
 
 def not_null(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.functions.calendar import minutes_between, seconds_between, trailing_days
-from macrotide.operators.keyed import latest_by
 
 
 def current_runs(status_events: DataFrame) -> DataFrame:
@@ -17,12 +16,9 @@ def current_runs(status_events: DataFrame) -> DataFrame:
     Events carry ``run_id, started_at, ended_at, status, mode, log_file, event_ts``; a row that ends a
     run need not repeat the start.
     """
-    starts = status_events.groupBy("run_id").agg(F.min("started_at").alias("started_at"))
-    newest = latest_by(
-        status_events.drop("started_at"), ["run_id"],
-        [F.col("event_ts").desc_nulls_last(), F.col("ended_at").desc_nulls_last(), F.col("status").desc_nulls_last()])
-    return newest.join(starts, "run_id").select(
-        "run_id", "started_at", "ended_at", "status", "mode", "log_file")
+    newest = F.max(F.struct("event_ts", "ended_at", "status", "mode", "log_file"))
+    out = status_events.groupBy("run_id").agg(F.min("started_at").alias("started_at"), newest.alias("_last"))
+    return out.select("run_id", "started_at", *[f"_last.{c}" for c in ("ended_at", "status", "mode", "log_file")])
 
 
 def stage_metrics(stage_events: DataFrame) -> DataFrame:

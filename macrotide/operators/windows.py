@@ -19,11 +19,30 @@ def series_window(keys: list[str], time: str = "month"):
 
 def add_lags(df: DataFrame, value: str, keys: list[str], lags: tuple[int, ...] = (1, 3, 6, 12),
              time: str = "month") -> DataFrame:
-    """``lag_<n>m`` columns; they count rows, so densify first if gaps should count as months."""
+    """``lag_<n>m`` columns; they count rows (see :func:`add_calendar_lags` for months)."""
     w = series_window(keys, time)
     return df.select("*", *[F.lag(value, n).over(w).alias(f"lag_{n}m") for n in lags])
 
 
+def earlier_value(df: DataFrame, keys: list[str], value: str, aliases: dict[str, int], time: str = "month",
+                  where: Column | None = None) -> DataFrame:
+    """Value the given number of calendar months earlier, as ``{alias: months}`` columns; NULL in a gap.
+
+    A range frame of one month number replaces the self-join: one scan, one shuffle, one sort for all
+    offsets. Keys and month should be unique among the rows ``where`` selects (else the highest counts).
+    """
+    number = F.year(time) * 12 + F.month(time)
+    used = F.col(value) if where is None else F.when(where, F.col(value))
+    w = Window.partitionBy(*keys).orderBy(number.asc_nulls_last())
+    return df.select("*", *[F.max(used).over(w.rangeBetween(-n, -n)).alias(a) for a, n in aliases.items()])
+
+
+def add_calendar_lags(df: DataFrame, value: str, keys: list[str], lags: tuple[int, ...] = (1, 3, 6, 12),
+                      time: str = "month") -> DataFrame:
+    """``lag_<n>m`` columns that count months on the calendar, whatever rows are missing."""
+    return earlier_value(df, keys, value, {f"lag_{n}m": n for n in lags}, time)
+
+
 def add_changes(df: DataFrame, value: str) -> DataFrame:
     """Month-on-month and year-on-year change from the lag columns."""
     return df.select(

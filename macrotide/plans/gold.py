@@ -11,7 +11,7 @@ from macrotide.functions.calendar import first_of_month, up_to_day, up_to_month
 from macrotide.functions.numeric import pair_mean
 from macrotide.operators.keyed import latest_by
 from macrotide.operators.stats import conditional_pivot
-from macrotide.operators.windows import add_changes, add_lags, densify
+from macrotide.operators.windows import add_calendar_lags, add_changes, add_lags
 from macrotide.schemas import BRENT_SERIES, DEFAULT_GEO, GAS_SERIES, HEADLINE_SERIES
 
 
@@ -87,17 +87,15 @@ def fact_macro(spine: DataFrame, silver_fx: DataFrame, silver_rates: DataFrame,
         "brent_crude_usd", "nat_gas_eu_usd")
 
 
-def fact_cpi_features(index: DataFrame, macro: DataFrame, dense_on: DataFrame | None = None) -> DataFrame:
+def fact_cpi_features(index: DataFrame, macro: DataFrame, calendar_lags: bool = False) -> DataFrame:
     """Index facts with lags, changes and the month's drivers.
 
     Lags come first: drivers are unique per month and geo, so joining them afterwards gives the same
-    rows and keeps their columns out of the sort. ``dense_on`` (a month spine) makes lags count months
-    instead of rows by inserting the missing months.
+    rows and keeps their columns out of the sort. Lags count rows of the series; with
+    ``calendar_lags`` they count months.
     """
-    keys = ["geo", "series_id"]
-    if dense_on is not None:
-        index = densify(index, dense_on, keys)
-    featured = add_changes(add_lags(index, "hicp_index", keys), "hicp_index")
+    lags = add_calendar_lags if calendar_lags else add_lags
+    featured = add_changes(lags(index, "hicp_index", ["geo", "series_id"]), "hicp_index")
     return featured.join(macro, ["month", "geo"], "left").select(
         "month", "geo", "series_id", "hicp_index",
         "fx_usd_eur_avg", "policy_rate_monthly_avg", "policy_rate_eom", "brent_crude_usd", "nat_gas_eu_usd",

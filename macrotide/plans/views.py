@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from macrotide.functions.calendar import between_days, first_of_month, shift_months
 from macrotide.functions.numeric import ratio_change
 from macrotide.operators.keyed import last_write_wins
-from macrotide.operators.windows import add_trailing_means, latest_and_trend
+from macrotide.operators.windows import add_trailing_means, earlier_value
 from macrotide.schemas import DEFAULT_GEO
 
 COMPARISON_MONTHS = {"1year": 12, "2years": 24, "5years": 60}
@@ -18,9 +18,9 @@ COMPARISON_MONTHS = {"1year": 12, "2years": 24, "5years": 60}
 
 def year_ago(df: DataFrame, base: DataFrame, keys: list[str], value: str, alias: str,
              time: str = "month", months: int = 12) -> DataFrame:
-    """Add the value of ``base`` the given number of calendar months earlier.
+    """Add the value another table has the given number of calendar months earlier (a plain equi-join).
 
-    The shift is applied to the small side's column, so this is an equi-join on plain columns.
+    Within one table use :func:`macrotide.operators.windows.earlier_value`, which needs no join.
     """
     earlier = base.select(*keys, shift_months(time, months).alias(time), F.col(value).alias(alias))
     return df.join(earlier, [*keys, time], "left")
@@ -48,8 +48,10 @@ def hicp_wide(index: DataFrame, nowcasts: DataFrame, geo: str | None = DEFAULT_G
     if geo is not None:
         index, nowcasts = index.filter(F.col("geo") == geo), nowcasts.filter(F.col("geo") == geo)
     combined = actuals_and_nowcasts(index, nowcasts, all_versions)
-    rolled = add_trailing_means(combined, {"index_value": "hicp_idx"}, ["geo", "source"], "month")
-    return year_ago(rolled, index, ["geo"], "hicp_index", "index_12m_ago").select(
+    # Year-ago first: its geo partitioning also serves the (geo, source) windows.
+    aged = earlier_value(combined, ["geo"], "index_value", {"index_12m_ago": 12}, where=F.col("source") == "actual")
+    rolled = add_trailing_means(aged, {"index_value": "hicp_idx"}, ["geo", "source"], "month")
+    return rolled.select(
         "month", "geo", "index_value", "source",
         ratio_change("index_value", "index_12m_ago").alias("hicp_yoy"), "hicp_idx_ma3", "hicp_idx_ma12")
 
@@ -84,28 +86,38 @@ def comparison_overlay(df: DataFrame, keys: list[str], value: str, period: str =
                        time: str = "month") -> DataFrame:
     """Current value beside the one a comparison period earlier; unknown periods mean one year."""
     months = COMPARISON_MONTHS.get(period, 12)
-    return year_ago(df.select(*keys, time, value), df, keys, value, f"{value}_ago", time, months)
+    return earlier_value(df.select(*keys, time, value), keys, value, {f"{value}_ago": months}, time)
 
 
 def key_figures(hicp: DataFrame, macro: DataFrame) -> DataFrame:
     """One row per geo: latest actual, trend, latest nowcast and its change, latest drivers.
 
+    One pass over the view (one shuffle by geo); the drivers are a scalar subquery.
     The nowcast is compared with the actual twelve months before it, or keeps the view's change where
     that actual is missing. Without driver rows the driver columns are NULL.
     """
-    actual = hicp.filter(F.col("source") == "actual")
-    current = latest_and_trend(actual, ["geo"], ["index_value", "hicp_yoy"], "hicp_yoy").select(
-        "geo", F.col("month").alias("latest_actual_date"), F.col("index_value").alias("current_hicp_index"),
-        F.col("hicp_yoy").alias("current_hicp_yoy"), F.col("hicp_yoy_trend").alias("recent_trend_3m"))
-    newest = hicp.filter(F.col("source") == "nowcast").groupBy("geo").agg(
-        F.max("month").alias("nowcast_date"), F.max_by("index_value", "month").alias("nowcast_hicp_index"),
-        F.max_by("hicp_yoy", "month").alias("_view_yoy"))
-    base = actual.select("geo", shift_months("month", 12).alias("nowcast_date"),
-                         F.col("month").alias("nowcast_base_date"), F.col("index_value").alias("nowcast_base_index"))
-    nowcast = newest.join(base, ["geo", "nowcast_date"], "left").select(
-        "geo", "nowcast_date", "nowcast_hicp_index", "nowcast_base_date", "nowcast_base_index",
-        F.coalesce(ratio_change("nowcast_hicp_index", "nowcast_base_index"), F.col("_view_yoy")).alias("nowcast_hicp_yoy"))
+    aged = earlier_value(hicp, ["geo"], "index_value", {"_base": 12}, where=F.col("source") == "actual")
+    newest_first = Window.partitionBy("geo", "source").orderBy(
+        F.col("month").desc_nulls_last(), F.col("index_value").desc_nulls_last())
+    top = aged.withColumn("_rank", F.row_number().over(newest_first)).filter(F.col("_rank") <= 3)
+    actual, nowcast = F.col("source") == "actual", F.col("source") == "nowcast"
+
+    def newest(source: Column, value: Column) -> Column:
+        return F.max(F.when(source & (F.col("_rank") == 1), value))
+
+    base_date = F.when(F.col("_base").isNotNull(), shift_months("month", -12))
+    yoy = F.coalesce(ratio_change("index_value", "_base"), F.col("hicp_yoy"))
+    figures = top.groupBy("geo").agg(
+        newest(actual, F.col("month")).alias("latest_actual_date"),
+        newest(actual, F.col("index_value")).alias("current_hicp_index"),
+        newest(actual, F.col("hicp_yoy")).alias("current_hicp_yoy"),
+        F.when(F.count(F.when(actual, 1)) >= 3, F.avg(F.when(actual, F.col("hicp_yoy")))).alias("recent_trend_3m"),
+        newest(nowcast, F.col("month")).alias("nowcast_date"),
+        newest(nowcast, F.col("index_value")).alias("nowcast_hicp_index"),
+        newest(nowcast, base_date).alias("nowcast_base_date"),
+        newest(nowcast, F.col("_base")).alias("nowcast_base_index"),
+        newest(nowcast, yoy).alias("nowcast_hicp_yoy"))
     drivers = macro.agg(F.struct(*[F.max_by(c, "ref_month").alias(alias) for c, alias in {
         "fx_usd_eur_avg_m": "current_fx", "brent_crude_m": "current_brent",
         "nat_gas_m": "current_nat_gas", "policy_rate_eom_m": "current_policy_rate"}.items()]).alias("_m"))
-    return current.join(nowcast, "geo", "left").withColumn("_m", drivers.scalar()).select("*", "_m.*").drop("_m")
+    return figures.withColumn("_m", drivers.scalar()).select("*", "_m.*").drop("_m")

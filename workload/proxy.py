@@ -17,6 +17,7 @@ from macrotide.functions.calendar import month_spine
 from macrotide.plans import features as feature_plan
 from macrotide.plans import gold
 from macrotide.plans.silver import silver_from_staging
+from macrotide.session import cut_lineage
 from macrotide.sources.bronze import stage
 from workload.registry import cte
 
@@ -201,9 +202,9 @@ def matrix(spark: SparkSession, sf: str) -> DataFrame:
     return feature_plan.training_matrix(nowcast_input(spark, sf), TRAIN_STOP)
 
 
-def nowcasts(spark: SparkSession, sf: str) -> DataFrame:
+def nowcasts(head: DataFrame) -> DataFrame:
     """Two appended versions of a prediction for each late month, the second one newer."""
-    late = headline(spark, sf).filter(F.col("month") >= F.lit(date(2000, 1, 1)))
+    late = head.filter(F.col("month") >= F.lit(date(2000, 1, 1)))
     v = F.col("v")
     return late.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("v")).select(
         "month", "geo", F.concat(F.lit("v"), v.cast("string")).alias("model_version"),
@@ -212,6 +213,15 @@ def nowcasts(spark: SparkSession, sf: str) -> DataFrame:
         F.date_add("month", v).cast("timestamp").alias("created_at_utc"))
 
 
+def stored_gold(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Headline facts as a written table, and the nowcasts made from it.
+
+    Views read their inputs several times; over stored gold tables the vintages are read only once.
+    """
+    head = cut_lineage(headline(spark, sf), "headline")
+    return head, nowcasts(head)
+
+
 cte("spine", f"SELECT unnest(generate_series(DATE '{START}', DATE '{CUTOFF.replace(day=1)}', INTERVAL 1 MONTH))::DATE AS month")
 cte("fact_index", """
 SELECT date_trunc('month', ts_date)::DATE AS month, geo, series_id, value AS hicp_index FROM silver_index""",

@@ -192,7 +192,7 @@ def p19_series_selection(spark, sf):
 @query("p20_rename_and_attach", f"""
 SELECT month, 'EA20' AS geo, {r('y_nowcast')} AS y_pred, {r('y_actual')} AS y_true, {r('residual')} AS residual FROM nowcasts""", ("nowcasts",))
 def p20_rename_and_attach(spark, sf):
-    df = proxy.nowcasts(spark, sf).withColumnsRenamed({"y_nowcast": "y_pred", "y_actual": "y_true"})
+    df = proxy.nowcasts(proxy.headline(spark, sf)).withColumnsRenamed({"y_nowcast": "y_pred", "y_actual": "y_true"})
     return rounded(df.withColumn("geo", F.lit("EA20")).select("month", "geo", "y_pred", "y_true", "residual"))
 
 

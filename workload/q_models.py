@@ -143,5 +143,5 @@ SELECT cur.geo, latest_actual_date, {_cols('current_hicp_index', 'current_hicp_y
 FROM cur LEFT JOIN nc ON nc.geo = cur.geo LEFT JOIN headline b ON b.geo = nc.geo AND b.month = (nc.month - INTERVAL 12 MONTH)::DATE
 LEFT JOIN mac ON true""", ("hicp_wide", "macro_wide", "headline"))
 def m7_key_figures(spark, sf):
-    wide = views.hicp_wide(proxy.headline(spark, sf), proxy.nowcasts(spark, sf), geo=None)
+    wide = views.hicp_wide(*proxy.stored_gold(spark, sf), geo=None)
     return rounded(views.key_figures(wide, views.macro_wide(proxy.macro(spark, sf))))

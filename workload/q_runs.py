@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from macrotide.operators import keyed, quality, registry, runlog
 from macrotide.plans import views
-from macrotide.plans.silver import silver_from_staging
 from macrotide.schemas import REQUIRED
 from macrotide.session import scratch_path
 from macrotide.sources.bronze import stage
@@ -148,7 +147,7 @@ def k1_registry_metrics(spark, sf):
 SELECT model_version AS run_id, month, geo, {r('y_actual')} AS y_true, {r('y_nowcast')} AS y_pred, {r('residual')} AS residual FROM nowcasts""", ("nowcasts",))
 def k1_registry_predictions(spark, sf):
     root = scratch_path(spark, "ml")
-    rows = proxy.nowcasts(spark, sf).withColumnsRenamed({"model_version": "run_id", "y_actual": "y_true", "y_nowcast": "y_pred"})
+    rows = proxy.nowcasts(proxy.headline(spark, sf)).withColumnsRenamed({"model_version": "run_id", "y_actual": "y_true", "y_nowcast": "y_pred"})
     registry.append(rows, root, "predictions")
     return rounded(registry.read(spark, root, "predictions"))
 
@@ -158,8 +157,9 @@ SELECT month, geo, model_version, {r('y_nowcast')} AS y_nowcast FROM nowcasts
 UNION ALL SELECT month, geo, 'walk', {r('hicp_index')} FROM headline""", ("nowcasts", "headline"))
 def k2_append_nowcasts(spark, sf):
     root = scratch_path(spark, "ml")
-    registry.append(proxy.nowcasts(spark, sf), root, "nowcast_output")
-    walk = proxy.headline(spark, sf).select(
+    head, nowcasts = proxy.stored_gold(spark, sf)
+    registry.append(nowcasts, root, "nowcast_output")
+    walk = head.select(
         "month", "geo", F.col("hicp_index").alias("y_pred_level"), F.col("hicp_index").alias("y_true_level"), F.lit(0.0).alias("residual"))
     registry.append(registry.nowcast_rows(walk, "walk", F.lit("2024-01-01").cast("timestamp")), root, "nowcast_output")
     return rounded(registry.read(spark, root, "nowcast_output").select("month", "geo", "model_version", "y_nowcast"))
@@ -169,7 +169,7 @@ def k2_append_nowcasts(spark, sf):
 SELECT month, geo, model_version, {r('y_nowcast')} AS y_nowcast FROM nowcasts WHERE month < DATE '2001-01-01'
 UNION ALL SELECT month, geo, 'nowcast_future', {r('y_actual')} FROM nowcasts WHERE month >= DATE '2001-01-01' AND model_version = 'v1'""", ("nowcasts",))
 def k3_replace_by_key(spark, sf):
-    old = proxy.nowcasts(spark, sf).select("month", "geo", "model_version", "y_nowcast", "y_actual")
+    old = proxy.stored_gold(spark, sf)[1].select("month", "geo", "model_version", "y_nowcast", "y_actual")
     new = old.filter((F.col("month") >= F.lit(date(2001, 1, 1))) & (F.col("model_version") == "v1")).select(
         "month", "geo", F.lit("nowcast_future").alias("model_version"), F.col("y_actual").alias("y_nowcast"), "y_actual")
     return rounded(keyed.replace_by_key(old, new, ["month", "geo"]).drop("y_actual"))
@@ -223,17 +223,13 @@ def q3_accepted_values(spark, sf):
     return quality.accepted_values(table(spark, sf, "events"), "event_type", ["click", "view", "purchase"])
 
 
-_DATASETS = ("energy_prices", "ecb_rates_eu", "ecb_fx_eu", "eurostat_hicp")
-
-
 @query("q4_layer_reconciliation", """
-SELECT dataset AS table_name, left_rows, right_rows, left_rows - right_rows AS difference FROM
+SELECT dataset, left_rows, right_rows, left_rows - right_rows AS difference FROM
   (SELECT dataset, count(*) AS left_rows FROM staged_events GROUP BY 1) JOIN
   (SELECT dataset, count(*) AS right_rows FROM lww_events GROUP BY 1) USING (dataset)""", ("staged_events", "lww_events"))
 def q4_layer_reconciliation(spark, sf):
     staged = stage(proxy.bronze_events(spark, sf))
-    parts = {d: staged.filter(F.col("dataset") == d) for d in _DATASETS}
-    return quality.reconcile(parts, {d: silver_from_staging(df) for d, df in parts.items()})
+    return quality.reconcile(staged, keyed.last_write_wins(staged, ["dataset", "dt", "geo", "series_id"]))
 
 
 @query("q5_column_profile_exact", "\nUNION ALL ".join(
@@ -255,7 +251,7 @@ SELECT 'v_hicp_dashboard_wide' AS table_name, count(*) AS n_rows FROM hicp_wide
 SELECT 'v_macro_monthly_wide', count(*) FROM macro_wide""", ("hicp_wide", "macro_wide"))
 def q7_non_empty(spark, sf):
     return quality.row_counts({
-        "v_hicp_dashboard_wide": views.hicp_wide(proxy.headline(spark, sf), proxy.nowcasts(spark, sf), geo=None),
+        "v_hicp_dashboard_wide": views.hicp_wide(*proxy.stored_gold(spark, sf), geo=None),
         "v_macro_monthly_wide": views.macro_wide(proxy.macro(spark, sf))})
 
 
@@ -266,4 +262,4 @@ SELECT 'not_null' AS rule, column_name, failures::BIGINT AS failures FROM (
 UNPIVOT (failures FOR column_name IN (month, geo, model_version, y_nowcast, created_at_utc))
 UNION ALL SELECT 'unique', 'month,geo', count(*) FROM (SELECT 1 FROM nowcasts GROUP BY month, geo HAVING count(*) > 1)""", ("nowcasts",))
 def q8_constraints(spark, sf):
-    return quality.check_constraints(proxy.nowcasts(spark, sf), REQUIRED["nowcast_output"], ["month", "geo"])
+    return quality.check_constraints(proxy.nowcasts(proxy.headline(spark, sf)), REQUIRED["nowcast_output"], ["month", "geo"])

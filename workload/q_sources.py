@@ -114,7 +114,7 @@ def s9_materialise_table(spark, sf):
 SELECT month, {r('index_value')} AS index_value, source, {r('hicp_yoy')} AS hicp_yoy
 FROM hicp_wide WHERE geo = 'EA20' AND month BETWEEN DATE '1997-01-01' AND DATE '2000-12-31'""", ("hicp_wide",))
 def s11_export_filtered(spark, sf):
-    wide = views.hicp_wide(proxy.headline(spark, sf), proxy.nowcasts(spark, sf))
+    wide = views.hicp_wide(*proxy.stored_gold(spark, sf))
     picked = views.in_range(wide, date(1997, 1, 1), date(2000, 12, 31)).select("month", "index_value", "source", "hicp_yoy")
     path = bronze.export_csv(picked, scratch_path(spark, "export"))
     return rounded(bronze.read_export(spark, path, "month date, index_value double, source string, hicp_yoy double"))

@@ -11,7 +11,7 @@ from macrotide.functions.numeric import ratio_change
 from macrotide.operators import keyed, orderstats, quality, stats, windows
 from macrotide.plans import features as feature_plan
 from macrotide.plans import gold, views
-from macrotide.plans.silver import all_series, silver_from_staging
+from macrotide.plans.silver import all_series, dataset_labels
 from macrotide.sources.bronze import stage
 from workload import proxy
 from workload.proxy import CUTOFF, FEATURE_NAMES, ROLLING_SQL, ROLLING_WINDOWS, TRAIN_STOP, table
@@ -40,7 +40,7 @@ def j2_fact_macro(spark, sf):
 
 @query("j3_hicp_wide", f"SELECT month, geo, source, {_cols('index_value', 'hicp_yoy', 'hicp_idx_ma3', 'hicp_idx_ma12')} FROM hicp_wide", ("hicp_wide",))
 def j3_hicp_wide(spark, sf):
-    return rounded(views.hicp_wide(proxy.headline(spark, sf), proxy.nowcasts(spark, sf), geo=None))
+    return rounded(views.hicp_wide(*proxy.stored_gold(spark, sf), geo=None))
 
 
 @query("j3_year_ago_panel", f"""
@@ -48,7 +48,7 @@ SELECT p.geo, p.month, {r('p.value')} AS value, {r('a.value')} AS value_ago FROM
 LEFT JOIN panel a ON a.geo = p.geo AND a.month = (p.month - INTERVAL 12 MONTH)::DATE""", ("panel",))
 def j3_year_ago_panel(spark, sf):
     p = proxy.panel(spark, sf)
-    return rounded(views.year_ago(p, p, ["geo"], "value", "value_ago"))
+    return rounded(windows.earlier_value(p, ["geo"], "value", {"value_ago": 12}))
 
 
 @query("j7_nowcast_base_lookup", f"""
@@ -57,8 +57,8 @@ SELECT n.month, n.geo, {r('n.index_value')} AS index_value, {r('a.hicp_index')}
 FROM hicp_wide n LEFT JOIN headline a ON a.geo = n.geo AND a.month = (n.month - INTERVAL 12 MONTH)::DATE
 WHERE n.source = 'nowcast'""", ("hicp_wide",))
 def j7_nowcast_base_lookup(spark, sf):
-    head = proxy.headline(spark, sf)
-    wide = views.hicp_wide(head, proxy.nowcasts(spark, sf), geo=None).filter(F.col("source") == "nowcast")
+    head, nowcasts = proxy.stored_gold(spark, sf)
+    wide = views.hicp_wide(head, nowcasts, geo=None).filter(F.col("source") == "nowcast")
     looked = views.year_ago(wide, head, ["geo"], "hicp_index", "base_index")
     return rounded(looked.select("month", "geo", "index_value", "base_index", F.coalesce(
         ratio_change("index_value", "base_index"), F.col("hicp_yoy")).alias("yoy")))
@@ -156,7 +156,7 @@ _METRIC_SQL = """
 SELECT geo, model_version, {_cols(*stats.METRICS)} FROM (
   SELECT geo, model_version, {_METRIC_SQL.format(y='y_actual', p='y_nowcast')} FROM nowcasts GROUP BY 1, 2)""", ("nowcasts",))
 def a8_regression_metrics(spark, sf):
-    return rounded(stats.regression_metrics(proxy.nowcasts(spark, sf), ["geo", "model_version"], "y_actual", "y_nowcast"))
+    return rounded(stats.regression_metrics(proxy.nowcasts(proxy.headline(spark, sf)), ["geo", "model_version"], "y_actual", "y_nowcast"))
 
 
 @query("a8_regression_metrics_pooled", f"""
@@ -171,7 +171,7 @@ def a8_regression_metrics_pooled(spark, sf):
 
 @query("a9_ensemble_mean", f"SELECT geo, month, {r('avg(y_nowcast)')} AS y_nowcast FROM nowcasts GROUP BY 1, 2", ("nowcasts",))
 def a9_ensemble_mean(spark, sf):
-    return rounded(stats.ensemble_mean(proxy.nowcasts(spark, sf), ["geo", "month"], "y_nowcast"))
+    return rounded(stats.ensemble_mean(proxy.nowcasts(proxy.headline(spark, sf)), ["geo", "month"], "y_nowcast"))
 
 
 @query("a10_latest_finish", "SELECT max(ts) AS finished_at FROM events")
@@ -211,6 +211,13 @@ def w1_lags_panel(spark, sf):
     return rounded(windows.add_lags(proxy.panel(spark, sf), "value", ["geo"]))
 
 
+@query("w1_calendar_lags_panel", f"""
+SELECT p.geo, p.month, {r('p.value')} AS value, {', '.join(f"{r(f'a{n}.value')} AS lag_{n}m" for n in (1, 3, 6, 12))} FROM panel p
+""" + "\n".join(f"LEFT JOIN panel a{n} ON a{n}.geo = p.geo AND a{n}.month = (p.month - INTERVAL {n} MONTH)::DATE" for n in (1, 3, 6, 12)), ("panel",))
+def w1_calendar_lags_panel(spark, sf):
+    return rounded(windows.add_calendar_lags(proxy.panel(spark, sf), "value", ["geo"]))
+
+
 @query("w1_lags_dense_months", f"""
 SELECT geo, month, {r('value')} AS value, {_PANEL_LAGS} FROM (
   SELECT b.geo, s.month, p.value FROM (SELECT geo, min(month) AS lo, max(month) AS hi FROM panel GROUP BY 1) b
@@ -339,22 +346,36 @@ def o3_top_features(spark, sf):
     return keyed.top_features(importance, 10)
 
 
-@query("x1_all_series", """
-SELECT ts_date, geo, series_id, measure, value, unit, freq FROM silver_raw_events""", ("silver_raw_events",))
+_SILVER_TABLES = {"eurostat_hicp": proxy.silver_index, "ecb_fx_eu": proxy.silver_fx,
+                  "ecb_rates_eu": proxy.silver_rates, "energy_prices": proxy.silver_energy}
+_UNION = "\nUNION ALL ".join(
+    f"SELECT ts_date, geo, series_id, value, '{measure}' AS measure, {unit} AS unit, '{freq}' AS freq FROM {name}"
+    for name, measure, unit, freq in [
+        ("silver_index", "price_index", "'Index (2015=100)'", "M"), ("silver_fx", "exchange_rate", "NULL", "D"),
+        ("silver_rates", "policy_rate", "'percent'", "D"), ("silver_energy", "energy_price", "'USD'", "M")])
+
+
+@query("x1_all_series", f"""
+SELECT date_trunc('month', ts_date)::DATE AS month, geo, series_id, measure, unit, freq, count(*) AS n, {r('max(value)')} AS highest
+FROM ({_UNION}) GROUP BY ALL""", ("silver_index", "silver_fx", "silver_rates", "silver_energy"))
 def x1_all_series(spark, sf):
-    staged = stage(proxy.bronze_events(spark, sf))
-    tables = [silver_from_staging(staged.filter(F.col("dataset") == d))
-              for d in ("energy_prices", "ecb_rates_eu", "ecb_fx_eu", "eurostat_hicp")]
-    return all_series(tables).select("ts_date", "geo", "series_id", "measure", "value", "unit", "freq")
+    tables = []
+    for name, read in _SILVER_TABLES.items():
+        measure, unit, freq = dataset_labels(F.lit(name))
+        tables.append(read(spark, sf).select(
+            "ts_date", "geo", "series_id", "value", measure.alias("measure"), unit.alias("unit"), freq.alias("freq")))
+    series = all_series(tables)
+    return rounded(series.groupBy(F.trunc("ts_date", "month").alias("month"), "geo", "series_id", "measure", "unit", "freq").agg(
+        F.count("*").alias("n"), F.max("value").alias("highest")))
 
 
 @query("x2_actuals_and_nowcasts", f"SELECT month, geo, {r('index_value')} AS index_value, source FROM combined", ("combined",))
 def x2_actuals_and_nowcasts(spark, sf):
-    return rounded(views.actuals_and_nowcasts(proxy.headline(spark, sf), proxy.nowcasts(spark, sf)))
+    return rounded(views.actuals_and_nowcasts(*proxy.stored_gold(spark, sf)))
 
 
 @query("x2_all_versions", f"""
 SELECT month, geo, {r('hicp_index')} AS index_value, 'actual' AS source FROM headline
 UNION ALL SELECT month, geo, {r('y_nowcast')}, 'nowcast' FROM nowcasts""", ("headline", "nowcasts"))
 def x2_all_versions(spark, sf):
-    return rounded(views.actuals_and_nowcasts(proxy.headline(spark, sf), proxy.nowcasts(spark, sf), all_versions=True))
+    return rounded(views.actuals_and_nowcasts(*proxy.stored_gold(spark, sf), all_versions=True))
