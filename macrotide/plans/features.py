@@ -32,11 +32,8 @@ def with_date_and_rolling(df: DataFrame) -> DataFrame:
 def complete_cases(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows in which every listed column is present and not NaN."""
     doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    out = df.dropna("any", subset=columns)
-    for c in columns:
-        if c in doubles:
-            out = out.filter(~F.isnan(c))
-    return out
+    tests = [f"`{c}` IS NOT NULL" + (f" AND NOT isnan(`{c}`)" if c in doubles else "") for c in columns]
+    return df.filter(" AND ".join(tests))
 
 
 def training_matrix(nowcast_input: DataFrame, cutoff: date | None = None, winsorized: bool = True) -> DataFrame:

@@ -11,7 +11,7 @@ from macrotide.functions.calendar import between_days, first_of_month, shift_mon
 from macrotide.functions.numeric import ratio_change
 from macrotide.operators.keyed import last_write_wins
 from macrotide.operators.windows import add_trailing_means, earlier_value
-from macrotide.schemas import DEFAULT_GEO
+from macrotide.schemas import DEFAULT_GEO, HEADLINE_SERIES
 
 COMPARISON_MONTHS = {"1year": 12, "2years": 24, "5years": 60}
 
@@ -40,11 +40,13 @@ def actuals_and_nowcasts(index: DataFrame, nowcasts: DataFrame, all_versions: bo
 
 
 def hicp_wide(index: DataFrame, nowcasts: DataFrame, geo: str | None = DEFAULT_GEO,
-              all_versions: bool = False) -> DataFrame:
-    """Actuals and nowcasts of one index series with year-on-year change and trailing means.
+              all_versions: bool = False, series_id: str = HEADLINE_SERIES) -> DataFrame:
+    """Actuals and nowcasts of the headline series with year-on-year change and trailing means.
 
-    ``geo=None`` serves every geo at once; year-ago join and windows are keyed by geo either way.
+    ``geo=None`` serves every geo at once; year-ago values and means are keyed by geo either way. One
+    series per geo keeps a window to that geo's months.
     """
+    index = index.filter(F.col("series_id") == series_id)
     if geo is not None:
         index, nowcasts = index.filter(F.col("geo") == geo), nowcasts.filter(F.col("geo") == geo)
     combined = actuals_and_nowcasts(index, nowcasts, all_versions)

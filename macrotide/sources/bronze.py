@@ -19,18 +19,19 @@ _CSV_OPTIONS = {
 }
 
 
-def read_bronze(spark: SparkSession, root: str, dataset: str, dt_in_file: bool = True) -> DataFrame:
+def read_bronze(spark: SparkSession, root: str, dataset: str, dt_in_file: bool = True, days: str = "*") -> DataFrame:
     """All text rows of a dataset's partition files.
 
     CSV columns are matched by position, so a ``dt`` column inside the file is named ``dt_in_file``;
-    ``dt`` itself comes from the folder and prunes partitions. The glob keeps out ``Batch/`` exports.
+    ``dt`` itself comes from the folder. Only ``dt=`` folders are globbed, which keeps out ``Batch/``
+    exports, and their files are listed in parallel; ``days`` (say ``2024-*``) limits the listing itself.
     """
     names = [c for c in BRONZE_COLUMNS if c != "dt"]
     schema = strings((["dt_in_file"] if dt_in_file else []) + names)
     base = f"{root}/{dataset}"
     return (
-        spark.read.schema(schema).options(**_CSV_OPTIONS)
-        .option("basePath", base).csv(f"{base}/dt=*/part-*.csv")
+        spark.read.schema(schema).options(**_CSV_OPTIONS).option("pathGlobFilter", "part-*.csv")
+        .option("basePath", base).csv(f"{base}/dt={days}")
     )
 
 
@@ -99,10 +100,12 @@ def write_bronze(df: DataFrame, root: str, dataset: str, fmt: str = "csv",
 
 def files_per_dataset(spark: SparkSession, root: str, datasets: list[str]) -> DataFrame:
     """Number of partition files per dataset, from file listings (no file content is read)."""
-    globs = [f"{root}/{d}/dt=*/part-*" for d in datasets]
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(globs)
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
+        .load([f"{root}/{d}" for d in datasets]).select("path")
+    )
     name = F.regexp_extract("path", r"/([^/]+)/dt=[^/]+/[^/]+$", 1)
-    return listed.groupBy(name.alias("dataset")).agg(F.count("*").alias("n_files"))
+    return listed.groupBy(name.alias("dataset")).agg(F.count("*").alias("n_files")).filter(F.col("dataset") != "")
 
 
 def export_batch(df: DataFrame, path: str, order: list[str], load_ts: str | None = None) -> str:

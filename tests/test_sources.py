@@ -24,6 +24,7 @@ def test_scan_takes_dt_from_the_folder_and_skips_exports(spark, tmp_path):
     assert rows["USD"].dt == date(2024, 1, 2) and rows["USD"].value == 1.5 and rows["USD"].geo == "DE"
     assert rows["GBP"].geo == "EA20" and rows["GBP"].value is None and rows["GBP"].ingest_ts is None
     assert set(r.dataset for r in rows.values()) == {"fx"}
+    assert bronze.read_bronze(spark, str(tmp_path), "fx", days="2024-01-*").count() == 2
 
 
 def test_coerce_fills_the_shape(spark):
@@ -65,6 +66,7 @@ def test_files_per_dataset(spark):
     df = spark.createDataFrame([("2024-01-02", "a"), ("2024-01-03", "a")], "dt string, series_id string")
     bronze.write_bronze(df, root, "one")
     bronze.write_bronze(df.limit(1), root, "two")
+    bronze.export_batch(df, f"{root}/one/Batch/all", ["dt"])
     assert {r.dataset: r.n_files for r in bronze.files_per_dataset(spark, root, ["one", "two"]).collect()} == {"one": 2, "two": 1}
 
 
