@@ -6,6 +6,7 @@ from datetime import date
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from macrotide.functions import boosting
 from macrotide.functions.boosting import BoostingParams, fit_predict
 from macrotide.functions.numeric import level_from_change, residual
 from macrotide.operators.keyed import append_if_absent, replace_by_key
@@ -22,24 +24,30 @@ from macrotide.plans.features import KEYS, LEVEL, TARGET, align_features, infere
 from macrotide.schemas import WALK_FORWARD
 from macrotide.session import cut_lineage
 
+# The learner travels with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(boosting)
+
 # First training end, ensemble seeds and least number of training rows.
 TRAIN_STOP = date(2023, 7, 1)
 SEEDS = (42, 123, 456)
 MIN_TRAIN_ROWS = 24
 
 
-def _errors(df: DataFrame) -> DataFrame:
+def _errors(df: DataFrame, *labels: str) -> DataFrame:
     """Complete ``previous level, predicted change`` rows to the walk-forward row shape."""
     levelled = df.withColumn("y_pred_level", level_from_change("previous_level", "y_pred_mom"))
     out = levelled.select(
-        "month", "geo", F.col(LEVEL).alias("y_true_level"), "y_pred_level",
+        "month", "geo", *labels, F.col(LEVEL).alias("y_true_level"), "y_pred_level",
         F.col(TARGET).alias("y_true_mom"), "y_pred_mom",
         residual(LEVEL, "y_pred_level").alias("residual"))
     return out.withColumn("abs_error", F.abs("residual"))
 
 
-def baseline_walk_forward(matrix: DataFrame, start_after: date) -> DataFrame:
-    """Walk-forward rows of three closed-form models, from expanding windows only.
+BASELINES = ("expanding_mean", "last_value", "expanding_linear")
+
+
+def baseline_walk_forward(matrix: DataFrame, start_after: date, models: tuple[str, ...] = BASELINES) -> DataFrame:
+    """Walk-forward rows of closed-form models, from expanding windows only.
 
     ``expanding_mean`` predicts the mean of all earlier changes, ``last_value`` the newest one and
     ``expanding_linear`` regresses a change on the one before it. Every prediction uses earlier rows.
@@ -54,13 +62,9 @@ def baseline_walk_forward(matrix: DataFrame, start_after: date) -> DataFrame:
         (F.col("_intercept") + F.col("_slope") * F.col("previous_mom")).alias("expanding_linear"))
     tested = predicted.filter((F.col("month") > F.lit(start_after)) & F.col("previous_level").isNotNull())
     tall = tested.unpivot(
-        [*KEYS, TARGET, LEVEL, "previous_level"], ["expanding_mean", "last_value", "expanding_linear"],
+        [*KEYS, TARGET, LEVEL, "previous_level"], list(models),
         "model", "y_pred_mom").filter(F.col("y_pred_mom").isNotNull())
-    rows = tall.withColumn("y_pred_level", level_from_change("previous_level", "y_pred_mom"))
-    out = rows.select(
-        "month", "geo", "model", F.col(LEVEL).alias("y_true_level"), "y_pred_level",
-        F.col(TARGET).alias("y_true_mom"), "y_pred_mom", residual(LEVEL, "y_pred_level").alias("residual"))
-    return out.withColumn("abs_error", F.abs("residual"))
+    return _errors(tall, "model")
 
 
 def walk_forward(matrix: DataFrame, features: list[str], start_after: date = TRAIN_STOP,

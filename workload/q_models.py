@@ -7,8 +7,10 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from macrotide.functions.boosting import BoostingParams
+from macrotide.functions.numeric import ratio_change
 from macrotide.operators import stats
 from macrotide.operators.keyed import top_features
+from macrotide.operators.windows import add_previous
 from macrotide.plans import features as feature_plan
 from macrotide.plans import gold, nowcast, views
 from macrotide.session import cut_lineage, scratch_path
@@ -60,6 +62,29 @@ def m3_walk_forward_baselines(spark, sf):
     return rounded(nowcast.baseline_walk_forward(proxy.matrix(spark, sf), TRAIN_STOP), 5)
 
 
+_PANEL_RATIO = """
+SELECT geo, month, value AS target_hicp_index, value / nullif(lag(value) OVER (PARTITION BY geo ORDER BY month), 0) - 1 AS hicp_mom
+FROM panel WHERE value IS NOT NULL"""
+
+
+@query("m3_walk_forward_baselines_panel", f"""
+SELECT month, geo, model, {_cols('y_true_level', 'y_pred_level', 'residual', digits=5)} FROM (
+  SELECT month, geo, model, target_hicp_index AS y_true_level, previous_level * (1 + p) AS y_pred_level,
+    target_hicp_index - previous_level * (1 + p) AS residual
+  FROM (
+    SELECT *, avg(hicp_mom) OVER (PARTITION BY geo ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS expanding_mean,
+      lag(hicp_mom) OVER (PARTITION BY geo ORDER BY month) AS last_value,
+      lag(target_hicp_index) OVER (PARTITION BY geo ORDER BY month) AS previous_level
+    FROM ({_PANEL_RATIO}) WHERE hicp_mom IS NOT NULL)
+  UNPIVOT (p FOR model IN (expanding_mean, last_value)) WHERE month > DATE '{TRAIN_STOP}' AND previous_level IS NOT NULL)""", ("panel",))
+def m3_walk_forward_baselines_panel(spark, sf):
+    levels = proxy.panel(spark, sf).filter(F.col("value").isNotNull()).withColumnRenamed("value", "target_hicp_index")
+    changes = add_previous(levels, "target_hicp_index", ["geo"], "_before").withColumn(
+        "hicp_mom", ratio_change("target_hicp_index", "_before")).filter(F.col("hicp_mom").isNotNull())
+    rows = nowcast.baseline_walk_forward(changes, TRAIN_STOP, ("expanding_mean", "last_value"))
+    return rounded(rows.select("month", "geo", "model", "y_true_level", "y_pred_level", "residual"), 5)
+
+
 @query("m3_baseline_metrics", f"""
 SELECT geo, model, {_cols(*stats.METRICS, digits=4)} FROM (
   SELECT geo, model, {_METRIC_SQL.format(y='y_true_level', p='y_pred_level')} FROM baselines GROUP BY 1, 2)""", ("baselines",))
