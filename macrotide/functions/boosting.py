@@ -63,20 +63,39 @@ def _apply(tree, x: np.ndarray) -> np.ndarray:
     return np.where(x[:, column] < threshold, _apply(left, x), _apply(right, x))
 
 
-def fit_predict(x: np.ndarray, y: np.ndarray, x_new: np.ndarray, seed: int,
-                p: BoostingParams = BoostingParams()) -> np.ndarray:
-    """Train on ``x, y`` and predict ``x_new``."""
+@dataclass
+class Boosted:
+    """Fitted trees and the predictions of the rows they were trained on."""
+
+    base: float
+    trees: list
+    fitted: np.ndarray
+
+
+def predict(model: Boosted, x: np.ndarray, p: BoostingParams = BoostingParams()) -> np.ndarray:
+    out = np.full(len(x), model.base)
+    for tree in model.trees:
+        out += p.rate * _apply(tree, x)
+    return out
+
+
+def fit(x: np.ndarray, y: np.ndarray, seed: int, p: BoostingParams = BoostingParams(),
+        start: Boosted | None = None) -> Boosted:
+    """Train on ``x, y``; with ``start``, add trees to a model trained on the first rows of ``x``."""
     rng = np.random.default_rng(seed)
     n, k = x.shape
-    base = float(y.mean())
-    fitted, predicted = np.full(n, base), np.full(len(x_new), base)
+    if start is None:
+        model = Boosted(float(y.mean()), [], np.full(n, float(y.mean())))
+    else:
+        seen = len(start.fitted)
+        model = Boosted(start.base, list(start.trees), np.concatenate([start.fitted, predict(start, x[seen:], p)]))
     n_cols = max(1, int(round(k * p.column_share)))
     for _ in range(p.trees):
         rows = np.flatnonzero(rng.random(n) < p.row_share)
+        cols = np.sort(rng.choice(k, n_cols, replace=False))
         if len(rows) < 2:
             continue
-        cols = np.sort(rng.choice(k, n_cols, replace=False))
-        tree = _grow(x, y - fitted, rows, cols, p.depth, p)
-        fitted += p.rate * _apply(tree, x)
-        predicted += p.rate * _apply(tree, x_new)
-    return predicted
+        tree = _grow(x, y - model.fitted, rows, cols, p.depth, p)
+        model.trees.append(tree)
+        model.fitted += p.rate * _apply(tree, x)
+    return model

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from macrotide.functions import boosting
-from macrotide.functions.boosting import BoostingParams, fit_predict
+from macrotide.functions.boosting import BoostingParams
 from macrotide.functions.numeric import level_from_change, residual
 from macrotide.operators.keyed import append_if_absent, replace_by_key
 from macrotide.operators.stats import ensemble_mean
@@ -69,13 +69,18 @@ def baseline_walk_forward(matrix: DataFrame, start_after: date, models: tuple[st
 
 def walk_forward(matrix: DataFrame, features: list[str], start_after: date = TRAIN_STOP,
                  seeds: tuple[int, ...] = SEEDS, params: BoostingParams = BoostingParams(),
-                 blocks: int = 1) -> DataFrame:
+                 blocks: int = 1, warm_start: bool = False) -> DataFrame:
     """One model per geo, month and seed, trained on all earlier rows of the geo; seeds are averaged.
 
+    With ``warm_start`` each month's model adds trees to the one of the month before, which needs a
+    geo's folds in one block; otherwise every fold is trained from scratch.
+
     A task gets one geo, one block of test months and one seed, i.e. at most the months of one series.
     With many geos ``blocks=1`` is right: history is then sent once per seed, not once per fold. With
     few geos, more blocks spread the folds over the cluster.
     """
+    if warm_start and blocks != 1:
+        raise ValueError("warm_start needs blocks=1: each fold continues the one before")
     ordered = add_previous(matrix.select(*KEYS, *features, TARGET, LEVEL), LEVEL, ["geo"], "previous_level")
     position = F.row_number().over(series_window(["geo"]))
     n_test = F.sum((F.col("month") > F.lit(start_after)).cast("int")).over(series_window(["geo"]))
@@ -92,8 +97,10 @@ def walk_forward(matrix: DataFrame, features: list[str], start_after: date = TRA
         pdf = pdf.sort_values("month", ignore_index=True)
         x, y = pdf[features].to_numpy(float), pdf[TARGET].to_numpy(float)
         at = np.flatnonzero(pdf["_predict"].to_numpy())
-        seed = int(pdf["_seed"].iloc[0]) if len(pdf) else 0
-        change = [fit_predict(x[:i], y[:i], x[i:i + 1], seed, params)[0] for i in at]
+        model, change = None, []
+        for i in at:
+            model = boosting.fit(x[:i], y[:i], int(pdf["_seed"].iloc[0]), params, model if warm_start else None)
+            change.append(boosting.predict(model, x[i:i + 1], params)[0])
         out = pdf.loc[at, ["geo", "month", TARGET, LEVEL, "previous_level"]]
         return out.assign(y_pred_mom=np.asarray(change, dtype=float))
 

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from macrotide.functions.boosting import BoostingParams, fit_predict
+from macrotide.functions import boosting
+from macrotide.functions.boosting import BoostingParams
 from macrotide.functions.calendar import month_spine
 from macrotide.plans import features, gold, nowcast, pipeline, views
 from macrotide.plans.silver import select_series, to_silver
@@ -172,6 +173,10 @@ def test_align(spark):
     assert out.columns == ["geo", "month", "lag_3m", "new", "lag_1m"] and out.first().new == 0.0
 
 
+def fit_predict(x, y, x_new, seed, p):
+    return boosting.predict(boosting.fit(x, y, seed, p), x_new, p)
+
+
 def test_booster_learns_a_step():
     x = np.linspace(0, 1, 200)[:, None]
     y = (x[:, 0] > 0.5).astype(float)
@@ -189,6 +194,16 @@ def test_penalised_leaf_by_hand():
     np.testing.assert_allclose(fit_predict(x, y, x, 1, p), [0.2, 0.2, 0.8, 0.8])
 
 
+def test_warm_start_adds_trees_and_keeps_predictions_consistent():
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(60, 4)), rng.normal(size=60)
+    p = BoostingParams(trees=5)
+    first = boosting.fit(x[:50], y[:50], 1, p)
+    more = boosting.fit(x, y, 1, p, first)
+    assert len(more.trees) == 10 and len(first.trees) == 5
+    np.testing.assert_allclose(more.fitted, boosting.predict(more, x, p))
+
+
 SMALL = BoostingParams(trees=8)
 
 
@@ -202,6 +217,16 @@ def test_walk_forward_rows_and_blocks(spark):
     assert row.month == M(37) and row.residual == pytest.approx(row.y_true_level - row.y_pred_level)
 
 
+def test_walk_forward_warm_start(spark):
+    matrix = features.training_matrix(design(spark, 39, ("a",)), CUT)
+    names = features.feature_columns(matrix)
+    cold = nowcast.walk_forward(matrix, names, CUT, (1,), SMALL).orderBy("month").collect()
+    warm = nowcast.walk_forward(matrix, names, CUT, (1,), SMALL, warm_start=True).orderBy("month").collect()
+    assert cold[0] == warm[0] and cold[1].y_pred_mom != warm[1].y_pred_mom
+    with pytest.raises(ValueError):
+        nowcast.walk_forward(matrix, names, CUT, (1,), SMALL, blocks=2, warm_start=True)
+
+
 def test_walk_forward_trains_on_the_past_only(spark):
     a = features.training_matrix(design(spark, 42, ("a",)), CUT)
     names = features.feature_columns(a)
