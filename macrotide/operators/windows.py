@@ -52,16 +52,20 @@ def add_changes(df: DataFrame, value: str) -> DataFrame:
     )
 
 
-def densify(df: DataFrame, spine: DataFrame, keys: list[str], time: str = "month") -> DataFrame:
+def densify(df: DataFrame, keys: list[str], time: str = "month") -> DataFrame:
     """Add the missing months between each series' first and last row, with NULL values.
 
-    Each series' own month range is generated from its two ends and kept to the spine's months.
+    Each row expands to the months up to the next row of its series, so there is no grid to join; the
+    shuffle also serves later windows over the same keys. Months must be unique within a series.
     """
-    bounds = df.groupBy(*keys).agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
-    grid = bounds.select(
-        *keys, F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 month"))).alias(time))
-    grid = grid.join(spine.select(F.col(spine.columns[0]).alias(time)), time, "left_semi")
-    return grid.join(df, [*keys, time], "left").select(df.columns)
+    following = F.lead(time).over(series_window(keys, time))
+    gap = F.sequence(F.col(time), F.add_months("_next", -1), F.expr("interval 1 month"))
+    spread = df.withColumn("_next", following).withColumn(
+        "_month", F.explode(F.when(F.col("_next").isNull(), F.array(time)).otherwise(gap)))
+    own = F.col("_month") == F.col(time)
+    return spread.select([
+        F.col("_month").alias(c) if c == time else F.col(c) if c in keys else F.when(own, F.col(c)).alias(c)
+        for c in df.columns])
 
 
 def add_trailing_means(df: DataFrame, columns: dict[str, str], keys: list[str], time: str,

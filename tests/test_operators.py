@@ -79,10 +79,11 @@ def test_lags_agree_on_complete_months(spark):
 
 
 def test_densify(spark):
-    spine = spark.createDataFrame([(M(i),) for i in range(1, 7)], "month date")
-    df = spark.createDataFrame([("g", M(2), 1.0), ("g", M(4), 3.0)], "geo string, month date, x double")
-    out = windows.densify(df, spine, ["geo"]).orderBy("month").collect()
-    assert [(r.month, r.x) for r in out] == [(M(2), 1.0), (M(3), None), (M(4), 3.0)]
+    df = spark.createDataFrame([("g", M(2), 1.0), ("g", M(4), 3.0), ("g", M(5), None), ("h", M(11), 1.0), ("h", M(13), 2.0)],
+                               "geo string, month date, x double")
+    out = windows.densify(df, ["geo"]).orderBy("geo", "month").collect()
+    assert [(r.geo, r.month, r.x) for r in out] == [
+        ("g", M(2), 1.0), ("g", M(3), None), ("g", M(4), 3.0), ("g", M(5), None), ("h", M(11), 1.0), ("h", M(12), None), ("h", M(13), 2.0)]
 
 
 def test_leak_free_rolling(spark):

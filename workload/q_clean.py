@@ -156,7 +156,7 @@ SELECT geo, CASE WHEN month <= DATE '{TRAIN_STOP}' THEN 'train' ELSE 'test' END
   min(month) AS period_start, max(month) AS period_end,
   CASE WHEN month <= DATE '{TRAIN_STOP}' THEN count(*) >= 24 END AS enough FROM headline GROUP BY geo, month <= DATE '{TRAIN_STOP}', 2""", ("headline",))
 def p16_split(spark, sf):
-    train, test = feature_plan.split_at(proxy.headline(spark, sf), TRAIN_STOP)
+    train, test = feature_plan.split_at(proxy.stored_gold(spark, sf)[0], TRAIN_STOP)
     parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     sizes = parts.groupBy("geo", "part").agg(
         F.count("*").alias("n_rows"), F.min("month").alias("period_start"), F.max("month").alias("period_end"))

@@ -221,11 +221,11 @@ def w1_calendar_lags_panel(spark, sf):
 @query("w1_lags_dense_months", f"""
 SELECT geo, month, {r('value')} AS value, {_PANEL_LAGS} FROM (
   SELECT b.geo, s.month, p.value FROM (SELECT geo, min(month) AS lo, max(month) AS hi FROM panel GROUP BY 1) b
-  JOIN spine s ON s.month BETWEEN b.lo AND b.hi LEFT JOIN panel p ON p.geo = b.geo AND p.month = s.month)
-WINDOW w AS (PARTITION BY geo ORDER BY month)""", ("panel", "spine"))
+  JOIN (SELECT unnest(generate_series(DATE '1990-01-01', DATE '2010-12-01', INTERVAL 1 MONTH))::DATE AS month) s
+    ON s.month BETWEEN b.lo AND b.hi LEFT JOIN panel p ON p.geo = b.geo AND p.month = s.month)
+WINDOW w AS (PARTITION BY geo ORDER BY month)""", ("panel",))
 def w1_lags_dense_months(spark, sf):
-    dense = windows.densify(proxy.panel(spark, sf), proxy.spine(spark), ["geo"])
-    return rounded(windows.add_lags(dense, "value", ["geo"]))
+    return rounded(windows.add_lags(windows.densify(proxy.panel(spark, sf), ["geo"]), "value", ["geo"]))
 
 
 @query("w2_end_of_month", f"SELECT month, geo, {_cols('policy_rate_eom')} FROM rates_eom", ("rates_eom",))
