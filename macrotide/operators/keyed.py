@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from macrotide.operators.joins import join_null_safe
+from macrotide.session import cut_lineage
+
 VINTAGE_KEY = ["dt", "geo", "series_id"]
 
 
@@ -23,8 +26,18 @@ def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def last_write_wins(df: DataFrame, keys: list[str] = VINTAGE_KEY, stamp: str = "ingest_ts",
-                    tie_break: tuple[str, ...] = ("value", "source")) -> DataFrame:
-    """Newest version per key. Stamps have whole seconds, so ties are settled by further columns."""
+                    tie_break: tuple[str, ...] = ("value", "source"), few_keys: bool = False) -> DataFrame:
+    """Newest version per key. Stamps have whole seconds, so ties are settled by further columns.
+
+    ``few_keys`` is for tables with very many versions per key: the newest stamps come from a hash
+    aggregate first, and only rows that carry them are ranked. That reads the table twice but sorts
+    next to nothing; with few versions per key the plain form is cheaper. The stamps are written to the
+    shared folder, so the join is planned by their real size: few are broadcast and the table is not
+    shuffled, many are shuffled with it.
+    """
+    if few_keys:
+        newest = cut_lineage(df.groupBy(*keys).agg(F.max(stamp).alias(stamp)), "newest")
+        df = join_null_safe(df, newest, [*keys, stamp], "left_semi")
     return latest_by(df, keys, _newest_first([stamp, *tie_break]))
 
 

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from macrotide.operators.joins import join_null_safe
 from macrotide.operators.windows import clip
+from macrotide.session import cut_lineage
 
 # The sketch's rank error is at most n / _ACCURACY; brackets are three such errors wide on each side.
 _ACCURACY = 10_000
@@ -35,11 +37,14 @@ def order_statistics(df: DataFrame, keys: list[str], value: str,
         levels += [max(p - _MARGIN, 0.0), min(p + _MARGIN, 1.0)]
     sized = present.groupBy(*keys).agg(
         F.count("*").alias("n"), F.percentile_approx("_v", levels, _ACCURACY).alias("_q"))
-    brackets = sized.select(
+    # Written once: the sketch is not recomputed, and the join below is planned by the real size. Few
+    # keys are broadcast and the rows are not shuffled; many keys are shuffled with the rows, where AQE
+    # splits a hot key because the other side has a single row for it.
+    brackets = cut_lineage(sized.select(
         *keys, "n",
         *[rank.cast("long").alias(f"_r{i}") for i, (_, rank) in enumerate(ranks.values())],
         *[F.when(F.col("n") > small, F.col("_q")[j]).alias(f"_b{j}") for j in range(len(levels))],
-    )
+    ), "brackets")
     lows = [F.col(f"_b{2 * i}") for i in range(len(names))]
     highs = [F.col(f"_b{2 * i + 1}") for i in range(len(names))]
     # The segment grows with the value and changes at every bracket end, so rows outside all brackets
@@ -50,11 +55,9 @@ def order_statistics(df: DataFrame, keys: list[str], value: str,
     inside = F.lit(False)
     for lo, hi in zip(lows, highs):
         inside = inside | F.coalesce((v >= lo) & (v <= hi), F.lit(True))
-    # One bracket row per key against all rows: few keys are broadcast at run time, many keys are
-    # shuffled, and AQE splits a hot key there because the other side has a single row for it.
     fixed = [*keys, "n", *[f"_r{i}" for i in range(len(names))]]
     counted = (
-        present.join(brackets, keys)
+        join_null_safe(present, brackets, keys)
         .groupBy(*fixed, segment.alias("_segment"), F.when(inside, v).alias("_v"))
         .agg(F.count("*").alias("_c"))
     )
@@ -74,11 +77,11 @@ def winsorize_large(df: DataFrame, column: str, keys: list[str], lower: float =
                     upper: float = 0.05) -> DataFrame:
     """Winsorize groups of any size with exact bounds (see ``windows.winsorize`` for the rule)."""
     n = F.col("n")
-    bounds = order_statistics(df, keys, column, {
+    bounds = cut_lineage(order_statistics(df, keys, column, {
         "_lo": (lower, F.floor(n * lower)),
         "_hi": (1.0 - upper, n - F.floor(n * upper) - 1),
-    }).select(*keys, "_lo", "_hi")
-    return df.join(bounds, keys, "left").select([
+    }).select(*keys, "_lo", "_hi"), "bounds")
+    return join_null_safe(df, bounds, keys, "left").select([
         clip(F.col(c), F.col("_lo"), F.col("_hi")).alias(c) if c == column else F.col(c) for c in df.columns
     ])
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.operators import orderstats
+from macrotide.operators.joins import join_null_safe
 
 # Metric names of the registry.
 METRICS = ["mae", "median_ae", "rmse", "r2", "mape", "huber_loss", "max_error", "p90_error"]
@@ -45,7 +46,7 @@ def regression_metrics(df: DataFrame, keys: list[str], actual: str = "y_true", p
     errors = both.withColumn("_abs", F.abs(y - p))
     spread = orderstats.quantiles(errors, keys, "_abs", {"median_ae": 0.5, "p90_error": 0.9})
     moments = both.groupBy(*keys).agg(*[c.alias(m) for m, c in parts.items()])
-    return moments.join(spread, keys).select(*keys, *METRICS)
+    return join_null_safe(moments, spread, keys).select(*keys, *METRICS)
 
 
 def tall_metrics(wide: DataFrame, keys: list[str], metrics: list[str] = METRICS) -> DataFrame:

@@ -17,11 +17,12 @@ def vintages(spark, rows):
     return spark.createDataFrame(rows, "dt string, geo string, series_id string, value double, source string, ingest_ts timestamp")
 
 
-def test_newest_vintage_wins(spark):
+@pytest.mark.parametrize("few_keys", [False, True])
+def test_newest_vintage_wins(spark, few_keys):
     rows = [("d", "g", "s", 1.0, "a", T(10)), ("d", "g", "s", 2.0, "a", T(11)), ("d", "g", "s", 3.0, "a", None),
-            ("d", None, "s", 4.0, "a", T(1)), ("d", None, "s", 5.0, "a", T(2))]
-    out = keyed.last_write_wins(vintages(spark, rows))
-    assert sorted(r.value for r in out.collect()) == [2.0, 5.0]
+            ("d", None, "s", 4.0, "a", T(1)), ("d", None, "s", 5.0, "a", T(2)), ("d", "n", "s", 6.0, "a", None), ("d", "n", "s", 7.0, "a", None)]
+    out = keyed.last_write_wins(vintages(spark, rows), few_keys=few_keys)
+    assert sorted(r.value for r in out.collect()) == [2.0, 5.0, 7.0]
 
 
 def test_vintage_ties_and_order_independence(spark):
@@ -132,6 +133,16 @@ def test_winsorize(spark, n):
     assert [r.x for r in orderstats.winsorize_large(df, "x", ["geo"]).orderBy("month").collect()] == expected
 
 
+def test_missing_keys_form_a_group(spark):
+    df = series(spark, [float(i) for i in range(40)], geo=None)
+    small = [r.x for r in windows.winsorize(df, "x", ["geo"]).orderBy("month").collect()]
+    large = [r.x for r in orderstats.winsorize_large(df, "x", ["geo"]).orderBy("month").collect()]
+    assert small == large and small[0] == 2.0 and small[-1] == 37.0
+    rows = df.select("geo", F.col("x").alias("y_true"), (F.col("x") + 1).alias("y_pred"))
+    for bounded in (True, False):
+        assert [r.mae for r in stats.regression_metrics(rows, ["geo"], bounded=bounded).collect()] == [1.0]
+
+
 def test_winsorize_bounds_from_early_rows(spark):
     df = series(spark, [float(i) for i in range(40)] + [1000.0])
     out = windows.winsorize(df, "x", ["geo"], fit_on=F.col("month") <= F.lit(M(40))).orderBy("month").collect()

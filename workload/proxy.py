@@ -203,7 +203,8 @@ def macro(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.fact_cpi_features(index(spark, sf), macro(spark, sf))
+    """Feature table over stored drivers: their size is known, so few are broadcast to the index facts."""
+    return gold.fact_cpi_features(index(spark, sf), cut_lineage(macro(spark, sf), "macro"))
 
 
 def nowcast_input(spark: SparkSession, sf: str) -> DataFrame:

@@ -102,7 +102,8 @@ QUALIFY row_number() OVER (PARTITION BY l_linestatus, l_returnflag
 def a1_last_write_wins_hot_keys(spark, sf):
     rows = table(spark, sf, "lineitem").select(
         "l_linestatus", "l_returnflag", F.to_date("l_shipdate").alias("ts_date"), "l_orderkey", "l_linenumber", "l_extendedprice")
-    return keyed.last_write_wins(rows, ["l_linestatus", "l_returnflag"], "ts_date", ("l_orderkey", "l_linenumber", "l_extendedprice"))
+    return keyed.last_write_wins(rows, ["l_linestatus", "l_returnflag"], "ts_date", ("l_orderkey", "l_linenumber", "l_extendedprice"),
+                                 few_keys=True)
 
 
 @query("a2_fx_monthly", f"SELECT month, geo, {_cols('fx_usd_eur_avg')} FROM fx_monthly", ("fx_monthly",))
