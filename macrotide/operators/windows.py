@@ -56,13 +56,13 @@ def densify(df: DataFrame, keys: list[str], time: str = "month") -> DataFrame:
     """Add the missing months between each series' first and last row, with NULL values.
 
     Each row expands to the months up to the next row of its series, so there is no grid to join; the
-    shuffle also serves later windows over the same keys. Months must be unique within a series.
+    shuffle also serves later windows over the same keys. Repeated or missing months stay as they are.
     """
     following = F.lead(time).over(series_window(keys, time))
     gap = F.sequence(F.col(time), F.add_months("_next", -1), F.expr("interval 1 month"))
     spread = df.withColumn("_next", following).withColumn(
-        "_month", F.explode(F.when(F.col("_next").isNull(), F.array(time)).otherwise(gap)))
-    own = F.col("_month") == F.col(time)
+        "_month", F.explode(F.when(F.col("_next") > F.col(time), gap).otherwise(F.array(time))))
+    own = F.col("_month").eqNullSafe(F.col(time))
     return spread.select([
         F.col("_month").alias(c) if c == time else F.col(c) if c in keys else F.when(own, F.col(c)).alias(c)
         for c in df.columns])

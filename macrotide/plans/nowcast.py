@@ -18,6 +18,7 @@ from macrotide.functions import boosting
 from macrotide.functions.boosting import BoostingParams
 from macrotide.functions.numeric import level_from_change, residual
 from macrotide.operators.keyed import append_if_absent, replace_by_key
+from macrotide.operators.quality import non_finite
 from macrotide.operators.stats import ensemble_mean
 from macrotide.operators.windows import add_expanding, add_previous, last_known, series_window
 from macrotide.plans.features import KEYS, LEVEL, TARGET, align_features, inference_matrix
@@ -43,6 +44,15 @@ def _errors(df: DataFrame, *labels: str) -> DataFrame:
     return out.withColumn("abs_error", F.abs("residual"))
 
 
+def training_problems(matrix: DataFrame, features: list[str], cutoff: date) -> DataFrame:
+    """Reasons not to train, as ``rule, subject, failures``: short histories and non-finite columns."""
+    early = F.count(F.when(F.col("month") <= F.lit(cutoff), 1))
+    short = matrix.groupBy("geo").agg(early.alias("failures")).filter(F.col("failures") < MIN_TRAIN_ROWS).select(
+        F.lit("minimum_rows").alias("rule"), F.col("geo").alias("subject"), "failures")
+    bad = non_finite(matrix.select([F.col(c).cast("double").alias(c) for c in [*features, TARGET, LEVEL]]), [*features, TARGET, LEVEL])
+    return short.unionByName(bad.filter(F.col("failures") > 0).select("rule", F.col("column_name").alias("subject"), "failures"))
+
+
 BASELINES = ("expanding_mean", "last_value", "expanding_linear")
 
 

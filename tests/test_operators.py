@@ -80,8 +80,12 @@ def test_lags_agree_on_complete_months(spark):
 
 
 def test_densify(spark):
-    df = spark.createDataFrame([("g", M(2), 1.0), ("g", M(4), 3.0), ("g", M(5), None), ("h", M(11), 1.0), ("h", M(13), 2.0)],
+    df = spark.createDataFrame([("g", M(2), 1.0), ("g", M(4), 3.0), ("g", M(5), None), ("h", M(11), 1.0), ("h", M(13), 2.0),
+                                ("r", M(1), 1.0), ("r", M(1), 2.0), ("r", None, 3.0)],
                                "geo string, month date, x double")
+    repeated = windows.densify(df.filter("geo = 'r'"), ["geo"]).collect()
+    assert sorted(r.x for r in repeated) == [1.0, 2.0, 3.0]
+    df = df.filter("geo <> 'r'")
     out = windows.densify(df, ["geo"]).orderBy("geo", "month").collect()
     assert [(r.geo, r.month, r.x) for r in out] == [
         ("g", M(2), 1.0), ("g", M(3), None), ("g", M(4), 3.0), ("g", M(5), None), ("h", M(11), 1.0), ("h", M(12), None), ("h", M(13), 2.0)]

@@ -168,6 +168,15 @@ def test_training_rows_do_not_change_with_the_future(spark):
     assert a == b
 
 
+def test_training_problems(spark):
+    matrix = features.training_matrix(design(spark), CUT)
+    names = features.feature_columns(matrix)
+    assert nowcast.training_problems(matrix, names, CUT).count() == 0
+    broken = matrix.withColumn("lag_3m", F.when(F.col("month") == F.lit(M(20)), float("inf")).otherwise(F.col("lag_3m")))
+    found = {tuple(r) for r in nowcast.training_problems(broken, names, M(20)).collect()}
+    assert found == {("minimum_rows", "a", 8), ("minimum_rows", "b", 8), ("finite", "lag_3m", 2)}
+
+
 def test_align(spark):
     out = features.align_features(design(spark, 3, ("a",)), ["lag_3m", "new", "lag_1m"])
     assert out.columns == ["geo", "month", "lag_3m", "new", "lag_1m"] and out.first().new == 0.0

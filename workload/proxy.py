@@ -259,12 +259,9 @@ SELECT date_trunc('month', ts_date)::DATE AS month, coalesce(geo, 'EA20') AS geo
   avg(CASE WHEN series_id = 'PNGASEUUSDM' THEN value END) AS nat_gas_eu_usd
 FROM silver_energy WHERE ts_date <= DATE '{CUTOFF}' GROUP BY 1, 2""", ("silver_energy",))
 cte("fact_macro", """
-SELECT t.month, coalesce(fx.geo, r1.geo, r2.geo, e.geo, 'EA20') AS geo, fx.fx_usd_eur_avg,
-  r1.policy_rate_monthly_avg, r2.policy_rate_eom, e.brent_crude_usd, e.nat_gas_eu_usd
-FROM spine t LEFT JOIN fx_monthly fx ON fx.month = t.month
-LEFT JOIN rates_avg r1 ON r1.month = t.month AND r1.geo = coalesce(fx.geo, 'EA20')
-LEFT JOIN rates_eom r2 ON r2.month = t.month AND r2.geo = coalesce(fx.geo, 'EA20')
-LEFT JOIN energy_monthly e ON e.month = t.month AND e.geo = coalesce(fx.geo, 'EA20')""",
+SELECT month, geo, fx_usd_eur_avg, policy_rate_monthly_avg, policy_rate_eom, brent_crude_usd, nat_gas_eu_usd
+FROM (SELECT spine.month, coalesce(fx_monthly.geo, 'EA20') AS geo, fx_usd_eur_avg FROM spine LEFT JOIN fx_monthly USING (month))
+LEFT JOIN rates_avg USING (month, geo) LEFT JOIN rates_eom USING (month, geo) LEFT JOIN energy_monthly USING (month, geo)""",
     ("spine", "fx_monthly", "rates_avg", "rates_eom", "energy_monthly"))
 cte("lagged", """
 SELECT *, lag(hicp_index, 1) OVER w AS lag_1m, lag(hicp_index, 3) OVER w AS lag_3m,
