@@ -11,6 +11,7 @@ from macrotide.functions import clean, ids, numeric
 from macrotide.operators import quality
 from macrotide.plans import features as feature_plan
 from macrotide.plans import gold, views
+from macrotide.plans.nowcast import MIN_TRAIN_ROWS
 from macrotide.plans.silver import select_series, silver_from_staging
 from macrotide.sources.bronze import coerce_bronze, stage
 from workload import proxy
@@ -154,13 +155,13 @@ def p15_complete_cases(spark, sf):
 @query("p16_split", f"""
 SELECT geo, CASE WHEN month <= DATE '{TRAIN_STOP}' THEN 'train' ELSE 'test' END AS part, count(*) AS n_rows,
   min(month) AS period_start, max(month) AS period_end,
-  CASE WHEN month <= DATE '{TRAIN_STOP}' THEN count(*) >= 24 END AS enough FROM headline GROUP BY geo, month <= DATE '{TRAIN_STOP}', 2""", ("headline",))
+  month <= DATE '{TRAIN_STOP}' AND count(*) >= 24 AS enough FROM headline GROUP BY geo, month <= DATE '{TRAIN_STOP}', 2""", ("headline",))
 def p16_split(spark, sf):
     train, test = feature_plan.split_at(proxy.stored_gold(spark, sf)[0], TRAIN_STOP)
     parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     sizes = parts.groupBy("geo", "part").agg(
         F.count("*").alias("n_rows"), F.min("month").alias("period_start"), F.max("month").alias("period_end"))
-    return sizes.withColumn("enough", F.when(F.col("part") == "train", F.col("n_rows") >= 24))
+    return sizes.withColumn("enough", (F.col("part") == "train") & (F.col("n_rows") >= MIN_TRAIN_ROWS))
 
 
 @query("p17_finite_check", """
