@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+from workload import catalog
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.SQL  # the training-text queries are tested in their own folder
 # Learners, importances, file layout and sketches have no SQL counterpart.
 ROWS_ONLY = {"m2_pooled_model", "m3_walk_forward_per_series", "m3_walk_forward_pooled", "m5_feature_importance",
              "q5_column_profile_approx", "q9_files_per_dataset"}
@@ -29,6 +30,7 @@ def con():
 
 def test_every_query_has_sql_or_a_reason():
     assert set(QUERIES) - set(SQL) == ROWS_ONLY and set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @needs_data
