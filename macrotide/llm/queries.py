@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrotide.llm import neardup
+from macrotide.llm import exact, mixing, neardup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,3 +29,41 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query("op9_minhash_neardup")
 def near_duplicate_documents(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf, "documents"), width=4, percent=80)
+
+
+WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
+
+
+@query("op1_source_mix", f"""
+WITH d AS (SELECT doc_id, source, {WORDS}::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+q AS (SELECT *, (coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w,
+        source_size::DOUBLE * 2 AS cap FROM s),
+f AS (SELECT *, cap / w AS full_at FROM w),
+l AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(cap) OVER b, 0)) / ((sum(w) OVER ()) - coalesce(sum(w) OVER b, 0)) AS level
+        FROM f WINDOW b AS (ORDER BY full_at, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+o AS (SELECT arg_min(level, full_at) FILTER (WHERE level < full_at) AS level FROM l),
+t AS (SELECT l.source, l.source_size, least(cap, coalesce(o.level * w, cap)) AS target FROM l, o),
+c AS (SELECT q.doc_id, q.size, q.source, q.start, t.source_size, t.target, e.epoch, q.start + e.epoch * t.source_size AS begun,
+        least(q.size, floor(t.target - (q.start + e.epoch * t.source_size))::BIGINT) AS part
+      FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source, (VALUES (0), (1)) e(epoch)),
+p AS (SELECT *, coalesce(sum(part) OVER (ORDER BY least(1.0::DOUBLE, (begun + size)::DOUBLE / target), encode(source) NULLS FIRST, begun
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS position FROM c WHERE size > 0 AND part > 0),
+g AS (SELECT source, start, sum(part)::BIGINT AS taken, min(position) AS position FROM p GROUP BY source, start)
+SELECT q.doc_id, q.size, t.source_size, t.target, CASE WHEN q.size > 0 THEN coalesce(g.taken, 0) ELSE 0 END AS taken,
+       CASE WHEN q.size > 0 THEN g.position END AS position
+FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source
+LEFT JOIN g ON q.source IS NOT DISTINCT FROM g.source AND q.start = g.start""")
+def source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf, "documents"), weights=(3, 1, 2), share=1.5, epochs=2)
+
+
+@query("op2_exact_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ 	-]+', ' ', 'g') AS t FROM documents),
+h AS (SELECT doc_id, sha256(t) AS text_sha256 FROM d)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, text_sha256
+FROM h WINDOW g AS (PARTITION BY text_sha256)""")
+def exact_duplicate_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return exact.exact_duplicates(table(spark, sf, "documents"), every_hash=True)
