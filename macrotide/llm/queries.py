@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrotide.llm import exact, mixing, neardup
+from macrotide.llm import anomaly, exact, mixing, neardup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +67,8 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM h WINDOW g AS (PARTITION BY text_sha256)""")
 def exact_duplicate_documents(spark: SparkSession, sf: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf, "documents"), every_hash=True)
+
+
+@query("op6_isolation_forest_rules")
+def rule_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    return anomaly.quality_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
