@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrotide.llm import anomaly, exact, mixing, neardup
+from macrotide.llm import anomaly, exact, mixing, neardup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,7 +61,8 @@ def source_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("op2_exact_dedup", r"""
-WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ 	-]+', ' ', 'g') AS t FROM documents),
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ 	-
+]+', ' ', 'g') AS t FROM documents),
 h AS (SELECT doc_id, sha256(t) AS text_sha256 FROM d)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM h WINDOW g AS (PARTITION BY text_sha256)""")
@@ -72,3 +73,8 @@ def exact_duplicate_documents(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_isolation_forest_rules")
 def rule_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     return anomaly.quality_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op8_toxicity_lexicon")
+def toxic_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
