@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.llm.graph import components
+from macrotide.llm.sides import checked
 from macrotide.llm.text import mix, seeds, shingles, slices
 from macrotide.session import cut_lineage
 
 COORDINATES = 48
 MATCHES = 24
-SMALL_IDS = 1_000_000
+HEADS, ROUNDS, CLASSES = 4, 6, 32
 
 
 def _sets(table, width):
@@ -81,45 +85,97 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, matches: int) -> DataFrame:
     both = (pairs.join(side.select(F.col("doc_id").alias("u"), F.col("sig").alias("su")), "u")
             .join(side.select(F.col("doc_id").alias("v"), F.col("sig").alias("sv")), "v"))
     same = F.aggregate(F.zip_with("su", "sv", lambda a, b: (a == b).cast("int")), F.lit(0), lambda a, b: a + b)
-    return both.where(same >= matches).select("u", "v").distinct()
+    return both.where(same >= matches).select(pairs.columns)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     both = (pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("items").alias("a")), "u")
             .join(sets.select(F.col("doc_id").alias("v"), F.col("items").alias("b")), "v"))
     common = F.size(F.array_intersect("a", "b")).cast("long")
-    return both.where(100 * common >= percent * (F.size("a") + F.size("b") - common)).select("u", "v").distinct()
+    return both.where(100 * common >= percent * (F.size("a") + F.size("b") - common)).select(pairs.columns)
+
+
+def _relabelled(marked: DataFrame, found: DataFrame) -> DataFrame:
+    """Replace the component ``c`` of posted rows by the component that new links give it."""
+    return marked.join(found.withColumnRenamed("node", "c"), "c", "left").select(
+        "token", "doc_id", F.coalesce("component", "c").alias("c"))
 
 
-def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int = 80, matches: int = MATCHES) -> DataFrame:
-    """Confirmed links ``u > v`` between different sets that are enough to tell every component.
+def _open_lists(marked: DataFrame) -> DataFrame:
+    """Posted rows of the lists that still hold more than one component."""
+    several = marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
+    return marked.join(several, "token", "left_semi")
 
-    First every document of a list is held against the list's smallest one. Pairs of documents that these
-    links already join need no test; all other pairs of a list are tested in a second round.
+
+def _able(marked: DataFrame, sets: DataFrame, percent: int, passes: int = 3) -> DataFrame:
+    """Open posted rows of documents that can still have a link, with set size ``n`` and counts of shared shingles ``s``.
+
+    A link of two sets has at least percent / (100 + percent) of their sizes' sum in common, so each side needs
+    that many shingles that occur elsewhere too: at least ``percent`` of its own. Documents below that leave,
+    which makes further shingles unique; the bound holds after any number of passes. ``s`` counts them by class
+    of their hash: two sets have at most the sum of the classes' smaller counts in common.
+    """
+    now = cut_lineage(_open_lists(marked), "open")
+    for _ in range(passes):
+        each = now.select("doc_id").distinct().join(sets, "doc_id").select("doc_id", F.size("items").cast("long").alias("n"), F.explode("items").alias("x"))
+        often = each.groupBy("x").agg(F.count("*").alias("k")).where("k > 1").select("x")
+        size = each.join(often, "x").groupBy("doc_id").agg(
+            F.first("n").alias("n"), F.count("*").alias("all"), F.array(*[F.count_if(F.pmod("x", F.lit(CLASSES)) == k).cast("int") for k in range(CLASSES)]).alias("s")
+        ).where(100 * F.col("all") >= percent * F.col("n"))
+        now = cut_lineage(_open_lists(now.select("token", "doc_id", "c").join(size, "doc_id")), "able")
+    return now
+
+
+def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int = 80, matches: int = MATCHES,
+          heads: int = HEADS, rounds: int = ROUNDS) -> DataFrame:
+    """Confirmed links between components of documents that are enough to tell every component: ``u``, ``v``.
+
+    In each round every document of an inverted list is held against a few heads of the list, which a hash
+    that changes with the round picks, unless links already join the two. So a large group of copies closes
+    with a number of tests in proportion to its size. What is left after the rounds are documents outside a
+    list's main component: those whose sets can still reach the similarity are tested pair by pair.
     """
-    coordinates = COORDINATES
-    post = cut_lineage(posted(sigs, coordinates, matches), "posted")
-    ids = post.select("doc_id").distinct()
-    if ids.count() <= SMALL_IDS:  # 8 MB at most; beyond that the join shuffles
-        ids = F.broadcast(ids)
+    post = cut_lineage(posted(sigs, len(sigs.select("sig").first()[0]) if sigs.take(1) else COORDINATES, matches), "posted")
+    ids = checked(post.select("doc_id").distinct(), "posted-ids")
     sets = cut_lineage(_whole_sets(docs.join(ids, "doc_id", "left_semi").repartition(F.xxhash64("doc_id")), width), "sets")
-    near = cut_lineage(sigs.join(post.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "sig"), "near")
-
-    heads = post.groupBy("token").agg(F.min("doc_id").alias("v"))
-    star = post.join(heads, "token").where("doc_id > v").select(F.col("doc_id").alias("u"), "v").distinct()
-    star = cut_lineage(_agreeing(star, near, matches), "star")
-    first = cut_lineage(_confirmed(star, sets, percent), "first-links")
-
-    found = components(first)
-    marked = post.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "token", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    open_lists = marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
-    marked = cut_lineage(marked.join(open_lists, "token"), "open")
-    other = marked.select("token", F.col("doc_id").alias("v"), F.col("c").alias("d"))
-    rest = (marked.join(other, "token").where("doc_id > v and c <> d").select(F.col("doc_id").alias("u"), "v").distinct()
-            .join(star, ["u", "v"], "left_anti"))
-    rest = cut_lineage(_agreeing(rest, near, matches), "rest")
-    return first.unionByName(_confirmed(rest, sets, percent))
+    near = cut_lineage(sigs.join(ids, "doc_id", "left_semi").select("doc_id", "sig"), "near")
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        ordered = pairs.where("u <> v").select(
+            F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), F.greatest("cu", "cv").alias("cu"), F.least("cu", "cv").alias("cv")).distinct()
+        return cut_lineage(_confirmed(_agreeing(ordered, near, matches), sets, percent).select(
+            F.col("cu").alias("u"), F.col("cv").alias("v")).distinct(), "links")
+
+    marked, found = post.select("token", "doc_id", F.col("doc_id").alias("c")), []
+    for turn in range(rounds):
+        marked = cut_lineage(_open_lists(marked), "open")
+        pairs_left = marked.groupBy("token", "c").agg(F.count("*").alias("n")).groupBy("token").agg(
+            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("p"), F.sum("n").alias("n")).agg(
+            F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if pairs_left[0] <= 2 * heads * pairs_left[1]:
+            break
+        best = [F.min(F.struct(F.xxhash64("doc_id", F.lit(turn * heads + k)), F.col("doc_id").alias("v"), F.col("c").alias("cv"))).alias(f"h{k}")
+                for k in range(heads)]
+        chosen = marked.groupBy("token").agg(*best).select("token", F.explode(F.array_distinct(F.array(
+            *[F.struct(f"h{k}.v", f"h{k}.cv") for k in range(heads)]))).alias("h")).select("token", "h.v", "h.cv")
+        new = tested(marked.join(chosen, "token").where("c <> cv").select(F.col("doc_id").alias("u"), "v", F.col("c").alias("cu"), "cv"))
+        found.append(new)
+        marked = _relabelled(marked, components(new))
+        if new.count() * 100 < pairs_left[1]:
+            break
+    last = cut_lineage(_able(marked, sets, percent), "able")
+    main = last.groupBy("token", "c").agg(F.count("*").alias("k")).groupBy("token").agg(F.max(F.struct("k", "c"))["c"].alias("main"))
+    small = last.join(main, "token").where("c <> main")
+    other = last.select("token", *[F.col(a).alias(b) for a, b in (("doc_id", "v"), ("c", "cv"), ("n", "nv"), ("all", "allv"), ("s", "sv"))])
+    common = reduce(add, [F.least(F.col("s")[k], F.col("sv")[k]) for k in range(CLASSES)])
+    need = percent * (F.col("n") + F.col("nv"))
+    enough = F.when((F.col("c") != F.col("cv")) & ((100 + percent) * F.least("all", "allv") >= need), (100 + percent) * common >= need)
+    found.append(tested(small.join(other, "token").where(enough).select(
+        F.col("doc_id").alias("u"), "v", F.col("c").alias("cu"), "cv")))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:

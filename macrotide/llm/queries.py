@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrotide.llm import anomaly, exact, mixing, neardup, toxicity
+from macrotide.llm import anomaly, exact, licences, mixing, neardup, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -78,3 +78,33 @@ def rule_verdicts(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_toxicity_lexicon")
 def toxic_documents(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def _licence_sql() -> str:
+    quoted = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(licences.TEMPLATES))
+    return f"""
+WITH tpl(template, licence, text) AS (VALUES {quoted}),
+tw AS (SELECT template, licence, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM tpl),
+tb AS (SELECT template, licence, len(w) - 1 AS t, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS bigram FROM tw),
+tc AS (SELECT template, licence, t, bigram, count(*) AS tn FROM tb GROUP BY ALL),
+l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, text FROM documents),
+u AS (SELECT doc_id, unnest(CASE WHEN len(lines) > 1 THEN list_append(lines, text) ELSE lines END) AS part FROM l),
+n AS (SELECT doc_id, string_split(trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM u),
+m AS (SELECT DISTINCT w FROM n WHERE len(w) BETWEEN 2 AND 1 + (SELECT max(t) FROM tc) * 3),
+b AS (SELECT w, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS bigram FROM m),
+c AS (SELECT w, bigram, count(*) AS n FROM b GROUP BY ALL),
+s AS (SELECT w, template, licence, 2 * sum(least(n, tn)) / (len(w) - 1 + t) AS dice FROM c JOIN tc USING (bigram) GROUP BY w, template, licence, t),
+best AS (SELECT w, max(dice) AS dice, arg_min(licence, (-dice, licence)) AS licence FROM s WHERE dice >= {licences.THRESHOLD} GROUP BY w),
+f AS (SELECT doc_id, max(dice) AS dice, arg_min(licence, (-dice, licence)) AS licence, count(*) AS n_units FROM n JOIN best USING (w) GROUP BY doc_id)
+SELECT d.doc_id, f.licence, coalesce(f.dice, 0.0)::DOUBLE AS dice, coalesce(f.n_units, 0) AS n_units
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN f USING (doc_id)"""
+
+
+@query("op5_licence_scan", _licence_sql())
+def licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.licences(table(spark, sf, "documents"))
+
+
+@query("op10_best_fit_packing")
+def packed_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"))
