@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrotide.llm import anomaly, exact, licences, mixing, neardup, packing, toxicity
+from macrotide.llm import anomaly, exact, langid, licences, mixing, neardup, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -108,3 +108,8 @@ def licence_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def packed_documents(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
+
+
+@query("op3_language_pieces")
+def document_languages(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.languages(table(spark, sf, "documents"))
