@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrotide.llm import anomaly, exact, langid, licences, mixing, neardup, packing, toxicity
+from macrotide.llm import anomaly, exact, langid, licences, mixing, neardup, packing, perplexity, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -113,3 +113,8 @@ def packed_documents(spark: SparkSession, sf: str) -> DataFrame:
 @query("op3_language_pieces")
 def document_languages(spark: SparkSession, sf: str) -> DataFrame:
     return langid.languages(table(spark, sf, "documents"))
+
+
+@query("op4_quality_perplexity")
+def document_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return perplexity.quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
