@@ -41,15 +41,15 @@ def anchors(texts: Texts, length: int, gram: int) -> tuple[np.ndarray, np.ndarra
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none, none.astype(np.uint64), none, none
-    at = np.arange(n - gram + 1)
-    h = Rolling(texts.data).between(at, at + gram)
+    rolling = Rolling(texts.data)
+    h = rolling.runs(gram)
     chosen = window_minima(h, length - gram + 1)
-    start = np.arange(len(chosen))
-    owner = np.searchsorted(texts.start, start, "right") - 1
-    inside = start + length <= texts.end[owner]
-    chosen, start, owner = chosen[inside], start[inside], owner[inside]
+    size = np.maximum(texts.end - texts.start - length + 1, 0)  # starts that fit into each text
+    owner = np.repeat(np.arange(len(size)), size)
+    start = np.arange(len(owner)) + np.repeat(texts.start - (np.cumsum(size) - size), size)
     if not len(start):
         return none, none, none.astype(np.uint64), none, none
+    chosen = chosen[start]
     new = np.append(True, (chosen[1:] != chosen[:-1]) | (start[1:] != start[:-1] + 1))
     begin = np.flatnonzero(new)
     stop = np.append(begin[1:], len(start)) - 1

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from macrotide.llm import anomaly, exact, langid, licences, mixing, neardup, packing, perplexity, toxicity
+from macrotide.llm import anomaly, exact, langid, licences, mixing, neardup, packing, perplexity, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -118,3 +119,10 @@ def document_languages(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_quality_perplexity")
 def document_quality(spark: SparkSession, sf: str) -> DataFrame:
     return perplexity.quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op7_suffix_dedup")
+def texts_without_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffixes.without_repeats(table(spark, sf, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -2,42 +2,47 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.llm.anchors import anchors
-from macrotide.llm.text import slices
+from macrotide.llm.sides import checked
+from macrotide.llm.text import Rolling, mix, slices
 from macrotide.session import cut_lineage
 
-LENGTH, GRAM = 200, 40
-SHARD_BYTES = 4 << 20
+LENGTH, GRAM = 200, 24
+SHARD_BYTES, HOT_CONTEXTS, LISTED_TEXTS = 4 << 20, 16_000, 100_000
 
 
 # ---- one shard -------------------------------------------------------------------------------------------------------
 
 
-def _sorted_directly(words: np.ndarray, places: np.ndarray, step: int) -> np.ndarray:
-    """Order of suffixes by ``len(words)`` keys of 8 bytes each, key after key, over tied runs only."""
-    order = places[np.argsort(words[0][places], kind="stable")]
-    key = words[0][order]
-    tied = np.flatnonzero(_in_run(key[1:] == key[:-1]))
-    group = np.cumsum(np.append(True, key[1:] != key[:-1])) - 1
+def _sorted_directly(words: list[np.ndarray], places: np.ndarray) -> np.ndarray:
+    """Order of suffixes by keys of 8 bytes each, key after key; only tied runs that differ in a key are sorted by it."""
+    key = words[0][places].astype(np.uint64)
+    order = places[np.argsort(key, kind="stable")]
+    key = words[0][order].astype(np.uint64)
+    same = key[1:] == key[:-1]
+    tied = np.flatnonzero(_in_run(same)) if len(order) else np.zeros(0, np.int64)
+    run = np.cumsum(np.append(True, ~same))[tied] if len(order) else tied
     for w in words[1:]:
         if not len(tied):
             break
-        at, run = order[tied], group[tied]
-        key = w[at]
-        by = np.lexsort((key, run))
-        at, run, key = at[by], run[by], key[by]
-        order[tied] = at
-        same = (run[1:] == run[:-1]) & (key[1:] == key[:-1])
-        fresh = np.cumsum(np.append(True, ~same)) - 1
+        key = w[order[tied]].astype(np.uint64)
+        near = run[1:] == run[:-1]
+        differs = np.append(False, near & (key[1:] != key[:-1]))
+        if differs.any():
+            mixed = np.isin(run, run[differs])
+            part = np.flatnonzero(mixed)
+            by = np.lexsort((key[part], run[part]))
+            at = order[tied[part]][by]
+            order[tied[part]] = at
+            key[part] = key[part][by]
+        same = near & (key[1:] == key[:-1])
         keep = _in_run(same)
-        group[tied] = fresh
+        run = np.cumsum(np.append(True, ~same))[keep]
         tied = tied[keep]
     return order
 
@@ -50,12 +55,27 @@ def _in_run(same: np.ndarray) -> np.ndarray:
     return out
 
 
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
+def _covered(n: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    change = np.zeros(n + 1, np.int32)
+    np.add.at(change, first, 1)
+    np.add.at(change, last + 1, -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def _next_true(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The first flagged place from each given one on; the last place of all if there is none."""
+    places = np.append(np.flatnonzero(flags), len(flags) - 1)
+    return places[np.minimum(np.searchsorted(places[:-1], at), len(places) - 1)]
+
+
+def suffix_array(data: np.ndarray, depth: int, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
     """Suffixes in order of their first ``depth`` bytes at least, by sorting in two stages.
 
     Suffixes that are smaller than their successor are sorted directly. Each of the others follows its first
     byte by a smaller suffix, so a scan over the buckets of first bytes, in order, puts them in place: the
     predecessors of a finished bucket, in its order, are the next ones of the buckets of their own bytes.
+
+    With ranges of places, only their suffixes are ordered, and those after a range up to one that is sorted directly.
     """
     n = len(data)
     if n < 2:
@@ -65,18 +85,20 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     smaller = np.zeros(n, bool)
     inner = nxt < n - 1
     smaller[inner] = data[nxt[inner]] < data[nxt[inner] + 1]
-    words = _keys(data, depth)
-    direct = _sorted_directly(words, np.flatnonzero(smaller), 8)
+    chosen = np.ones(n, bool) if first is None else _covered(n, first, _next_true(smaller, last + 1))
+    direct = _sorted_directly(_keys(data, depth), np.flatnonzero(smaller & chosen))
+    induced = chosen & ~smaller
     direct_byte = data[direct]
     border = np.searchsorted(direct_byte, np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
-    waiting[data[n - 1]].append(np.array([n - 1]))  # the last suffix is larger than the empty one
+    if induced[n - 1]:
+        waiting[data[n - 1]].append(np.array([n - 1]))  # the last suffix is larger than the empty one
     out = []
 
     def hand_on(done: np.ndarray, byte: int) -> np.ndarray:
         """Deal the larger predecessors of finished suffixes to their buckets; return those of the same bucket."""
         before = done[done > 0] - 1
-        before = before[~smaller[before]]
+        before = before[induced[before]]
         key = data[before]
         rest = before[key != byte]
         if len(rest):
@@ -98,29 +120,209 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _keys(data: np.ndarray, depth: int) -> np.ndarray:
-    """Big-endian 8-byte words at every place, for each 8 bytes of depth."""
-    n, count = len(data), -(-depth // 8)
-    padded = np.concatenate([data, np.zeros(8 * count + 8, np.uint8)]).astype(np.uint64)
-    one = np.zeros(n + 8 * count, np.uint64)
-    for j in range(8):
-        one |= padded[j: j + len(one)] << np.uint64(56 - 8 * j)
-    return np.stack([one[8 * k: 8 * k + n] for k in range(count)])
+def _keys(data: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Big-endian 8-byte words at every place, for each 8 bytes of depth: overlapping views of one padded copy."""
+    count = -(-depth // 8)
+    padded = np.concatenate([data, np.zeros(8 * count + 8, np.uint8)])
+    return [np.ndarray((len(data),), ">u8", padded, 8 * k, (1,)) for k in range(count)]
+
 
+def repeated(data: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
+    """Flags of all places: a string of ``length`` bytes starts here, within a range, and at another such place.
 
-def repeated(data: np.ndarray, valid: np.ndarray, length: int) -> np.ndarray:
-    """Starts of strings of ``length`` bytes that begin at another valid start too: neighbours in the suffix array."""
-    order = suffix_array(data, length)
+    ``first`` and ``last`` are the ranges of starts.
+    """
+    valid = _covered(len(data), first, last)
+    order = suffix_array(data, length, first, last)
     order = order[valid[order]]
-    same = np.ones(max(len(order) - 1, 0), bool)
-    words = _keys(data, length)
-    tail = length % 8
-    alive = np.arange(len(same))
-    for k in range(words.shape[0]):
-        mask = np.uint64(0xFFFFFFFFFFFFFFFF) if k < words.shape[0] - 1 or not tail else np.uint64(((1 << 8 * tail) - 1) << (64 - 8 * tail))
-        ok = (words[k][order[alive]] & mask) == (words[k][order[alive + 1]] & mask)
-        same[alive[~ok]] = False
-        alive = alive[ok]
     out = np.zeros(len(data), bool)
-    out[order[_in_run(same)]] = True if len(order) > 1 else False
+    if len(order) < 2:
+        return out
+    words, tail = _keys(data, length), length % 8
+    alive = np.arange(len(order) - 1)
+    for k, w in enumerate(words):
+        a, b = w[order[alive]].astype(np.uint64), w[order[alive + 1]].astype(np.uint64)
+        if tail and k == len(words) - 1:
+            a, b = (x >> np.uint64(64 - 8 * tail) for x in (a, b))
+        alive = alive[a == b]
+    out[order[alive]] = out[order[alive + 1]] = True
     return out
+
+
+# ---- all texts -------------------------------------------------------------------------------------------------------
+
+
+def _places(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Anchors of every text: ``anchor``, ``context`` (hash of all bytes of its strings), ``key`` of the text, ``place``.
+
+    ``place`` packs the first start the anchor stands for, how many follow, and where the anchor lies.
+    """
+    def run(batches):
+        for batch, part in slices(batches):
+            owner, at, h, first, last = anchors(part, length, gram)
+            key = batch.column(batch.schema.get_field_index("key")).to_numpy()[owner]
+            context = Rolling(part.data).between(first, last + length) ^ mix((at - first).astype(np.uint64))
+            place = ((first - part.start[owner]) << 20) | ((last - first) << 10) | (at - first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h.view(np.int64)), pa.array(context.view(np.int64)), pa.array(key), pa.array(place)], ["anchor", "context", "key", "place"])
+
+    return texts.mapInArrow(run, "anchor long, context long, key long, place long")
+
+
+def _contexts(texts: DataFrame, length: int) -> DataFrame:
+    """Bytes of the listed contexts of each text: ``anchor``, ``context``, ``lone``, ``key``, ``first``, ``starts``, ``bytes``."""
+    def run(batches):
+        for batch, part in slices(batches):
+            listed = batch.column(batch.schema.get_field_index("listed"))
+            border = listed.offsets.to_numpy()
+            inner = listed.flatten()
+            anchor, context, place, lone = (inner.field(n).to_numpy(zero_copy_only=False) for n in ("anchor", "context", "place", "lone"))
+            owner = np.repeat(np.arange(len(part.start)), np.diff(border))
+            first, starts = place >> 20, ((place >> 10) & 1023) + 1
+            begin = part.start[owner] + first
+            data = part.data
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor), pa.array(context), pa.array(lone), pa.array(batch.column(batch.schema.get_field_index("key")).to_numpy()[owner]),
+                 pa.array(first), pa.array(starts), pa.array([data[b:b + n + length - 1].tobytes() for b, n in zip(begin, starts)], pa.binary())],
+                ["anchor", "context", "lone", "key", "first", "starts", "bytes"])
+
+    return texts.mapInArrow(run, "anchor long, context long, lone boolean, key long, first long, starts long, bytes binary")
+
+
+def _found(table: pa.Table, length: int) -> pa.RecordBatch:
+    """Repeated starts of one shard's lone contexts, as ranges: ``key``, ``first``, ``last``."""
+    table = table.combine_chunks()
+    ids = np.stack([table["anchor"].to_numpy(), table["context"].to_numpy()])
+    pick = np.sort(np.unique(ids, axis=1, return_index=True)[1])  # a context once, should its text have come twice
+    table = table.take(pa.array(pick)).combine_chunks()
+    column = table["bytes"].combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset: column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    begin, starts = offsets[:-1] - offsets[0], table["starts"].to_numpy()
+    flag = repeated(data, begin, begin + starts - 1, length)
+    lone = np.flatnonzero(table["lone"].to_numpy(zero_copy_only=False))
+    owner = np.repeat(lone, starts[lone])
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(starts[lone]) - starts[lone], starts[lone])
+    hit = flag[begin[owner] + nth]
+    owner, nth = owner[hit], nth[hit]
+    new = np.append(True, (owner[1:] != owner[:-1]) | (nth[1:] != nth[:-1] + 1)) if len(owner) else np.zeros(0, bool)
+    a = np.flatnonzero(new)
+    b = np.append(a[1:], len(owner)) - 1 if len(a) else a
+    base = table["first"].to_numpy()[owner[a]]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(table["key"].to_numpy()[owner[a]]), pa.array(base + nth[a]), pa.array(base + nth[b])], ["key", "first", "last"])
+
+
+def _shards(contexts: DataFrame, length: int) -> DataFrame:
+    """Suffix arrays over shards: whole anchor groups of at least SHARD_BYTES together, partition by partition."""
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            if size > SHARD_BYTES and batch.num_rows:
+                # Rows are in order of their anchor: cut where the anchor changes.
+                tail = held[-1]["anchor"][-1].as_py()
+                names = batch["anchor"].to_numpy()
+                until = int(np.argmax(names != tail)) if (names != tail).any() else len(names)
+                if until < len(names):
+                    yield _found(pa.Table.from_batches([*held, batch.slice(0, until)]), length)
+                    held, size, batch = [], 0, batch.slice(until)
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.nbytes
+        if held:
+            yield _found(pa.Table.from_batches(held), length)
+
+    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "key long, first long, last long")
+
+
+def _by_hash(contexts: DataFrame, length: int) -> DataFrame:
+    """The same for anchors too frequent for one shard: their strings are counted by two 64-bit hashes, combined before the shuffle."""
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 4096):
+                part = batch.slice(i, 4096)
+                column = part.column(part.schema.get_field_index("bytes")).cast(pa.large_binary())
+                offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
+                data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+                starts = part["starts"].to_numpy()
+                owner = np.repeat(np.arange(len(starts)), starts)
+                nth = np.arange(len(owner)) - np.repeat(np.cumsum(starts) - starts, starts)
+                at = offsets[owner] - offsets[0] + nth
+                rolling = Rolling(data)
+                one, two = rolling.between(at, at + length), rolling.between(at, at + length // 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(part["key"].to_numpy()[owner]),
+                     pa.array(part["first"].to_numpy()[owner] + nth), pa.array(part["lone"].to_numpy(zero_copy_only=False)[owner])],
+                    ["one", "two", "key", "first", "lone"])
+
+    strings = cut_lineage(contexts.dropDuplicates(["anchor", "context"]).mapInArrow(run, "one long, two long, key long, first long, lone boolean"), "hot-strings")
+    often = strings.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
+    return strings.where("lone").join(often, ["one", "two"], "left_semi").select("key", "first", F.col("first").alias("last"))
+
+
+def repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT_CONTEXTS) -> DataFrame:
+    """Ranges of starts of strings that also start elsewhere, per distinct text: ``key``, ``ranges`` (array of first, last).
+
+    ``texts`` has ``doc_id``, ``text``, ``key`` (hash of the text). Every string of ``length`` bytes belongs to an anchor,
+    and equal strings to equal anchors at the same distance, so anchor groups can be told apart without any text. A
+    context, all bytes of an anchor's strings, that occurs twice is settled. Contexts that occur once meet those of
+    the same anchor in a shard, whose suffix array has equal strings side by side.
+    """
+    places = cut_lineage(_places(texts.select("key", "text"), length, gram), "places")
+    contexts = cut_lineage(places.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")), "contexts")
+    groups = contexts.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
+    needed = cut_lineage(contexts.join(groups, "anchor").select("anchor", "context", (F.col("n") == 1).alias("lone"), "m", "one.key", "one.place"), "needed")
+    ranges = places.join(contexts.where("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select(
+        "key", F.shiftright("place", 20).alias("first"), F.shiftright("place", 10).bitwiseAND(1023).alias("more")).select(
+        "key", "first", (F.col("first") + F.col("more")).alias("last")).distinct()
+
+    for part, find in ((needed.where(F.col("m") <= hot), _shards), (needed.where(F.col("m") > hot), _by_hash)):
+        if find is _by_hash and part.isEmpty():
+            continue
+        lists = part.groupBy("key").agg(F.collect_list(F.struct("anchor", "context", "place", "lone")).alias("listed"))
+        one = texts.groupBy("key").agg(F.min("doc_id").alias("_one"))
+        lists = checked(lists.join(one, "key").select(F.col("key").alias("_key"), "_one", "listed"), "listed", LISTED_TEXTS)
+        cut = texts.join(lists, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_one"))).select("key", "text", "listed")
+        ranges = ranges.unionByName(cut_lineage(find(_contexts(cut, length), length), "repeats"))
+    return ranges.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+
+
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """Texts without the bytes that a repeated string of ``length`` bytes covers: ``doc_id``, ``n_bytes``, ``spans``, ``kept``.
+
+    Texts are UTF-8 bytes (NULL: none); ``spans`` are the maximal removed runs (begin, end), ``kept`` the remaining
+    bytes. Strings never cross texts and are judged on the input: the first occurrence goes too. Texts shorter
+    than ``length`` keep all. Repeated rows count as copies, whatever their id; an empty input gives an empty
+    result; other columns are not read. Texts are told apart by a 64-bit hash where their places are listed.
+    Building the result runs jobs that keep intermediates in the shared folder.
+    """
+    docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
+    found = repeats(docs, length, gram)
+
+    def run(batches):
+        for batch, part in slices(batches):
+            listed = batch.column(batch.schema.get_field_index("ranges"))
+            spans, kept = [], []
+            for i, ranges in enumerate(listed):
+                text = part.data[part.start[i]:part.end[i]]
+                if not ranges.is_valid or not len(ranges):
+                    spans.append([])
+                    kept.append(text.tobytes())
+                    continue
+                inner = ranges.values
+                change = np.zeros(len(text) + 1, np.int64)
+                np.add.at(change, inner.field("first").to_numpy(), 1)
+                np.add.at(change, inner.field("last").to_numpy() + length, -1)
+                gone = np.cumsum(change[:-1]) > 0
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
+                spans.append([{"begin": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])])
+                kept.append(text[~gone].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(part.end - part.start), pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
+                 pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.join(found, "key", "left").select("doc_id", "text", "ranges").mapInArrow(
+        run, f"doc_id {kind}, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary")

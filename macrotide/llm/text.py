@@ -63,6 +63,11 @@ class Rolling:
     def between(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 
+    def runs(self, size: int) -> np.ndarray:
+        """Hashes of all runs of ``size`` bytes, the same values as ``between`` gives."""
+        n = len(self.sums) - size
+        return mix((self.sums[size:] - self.sums[:n]) * self.back[:n] + np.uint64(size))
+
 
 @dataclass
 class Texts:
