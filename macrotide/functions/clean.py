@@ -17,24 +17,43 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_DAY = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})"
+_TIME = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?(Z|[+-]\d{2}(:?\d{2})?|[A-Za-z]+(/[A-Za-z_]+)*))?"
+
+
+def _dashed(text: Column) -> Column:
+    return F.regexp_replace(text, _DAY, "$1-$3-$4")
+
+
+def _stamp(text: Column) -> Column:
+    """A full day with or without a time of day; a part of a day, a bare year or a year-month is NULL."""
+    return F.when(text.rlike(f"{_DAY}({_TIME})?$"), _dashed(text).try_cast("timestamp"))
+
+
 def to_date_or_null(c: Column | str) -> Column:
-    """``YYYY-MM-DD`` (one-digit month or day allowed) to DATE, anything else to NULL.
+    """Day to DATE, anything else to NULL: ``YYYY-MM-DD`` or ``YYYY/MM/DD``, with one-digit months and days, alone
+    or as the day of a valid stamp (of which the written day counts, whatever its zone).
 
-    The guard keeps out bare years and year-months, which a plain Spark cast would accept.
+    Bare years, year-months and times of day, which a plain Spark cast would accept, are no dates.
     """
     text = F.trim(_col(c).cast("string"))
-    return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text.try_cast("date"))
+    return F.when(_stamp(text).isNotNull(), F.substring_index(F.substring_index(_dashed(text), " ", 1), "T", 1).try_cast("date"))
 
 
 def to_double_or_null(c: Column | str) -> Column:
-    """Number to DOUBLE or NULL; Java's type suffixes (``1.5f``, ``2d``) do not count as numbers."""
+    """Number to DOUBLE or NULL; Java's type suffixes (``1.5f``, ``2d``) do not count as numbers, single
+    underscores between digits (``1_000``) do."""
     text = _col(c).cast("string")
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+    plain = F.when(text.contains("_"), F.when(~text.rlike(r"(^|[^0-9])_|_($|[^0-9])"), F.regexp_replace(text, "_", ""))).otherwise(text)
+    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), plain.try_cast("double"))
 
 
 def to_timestamp_or_null(c: Column | str) -> Column:
-    """ISO stamp to TIMESTAMP or NULL; a stamp without a zone is taken in the session zone (UTC)."""
-    return _col(c).cast("string").try_cast("timestamp")
+    """ISO stamp to TIMESTAMP or NULL; a stamp without a zone is taken in the session zone (UTC).
+
+    A stamp has a full day; times of day would otherwise become stamps of the day of the run.
+    """
+    return _stamp(F.trim(_col(c).cast("string")))
 
 
 def default_geo(c: Column | str, default: str = DEFAULT_GEO) -> Column:

@@ -149,3 +149,42 @@ def test_export_round_trip(spark):
 def test_scratch_lies_in_the_shared_folder(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+RATES = '{"structure":{"dimensions":{"series":[],"observation":[{"id":"TIME_PERIOD","values":[{"id":"2024-03"}]}]}},"dataSets":[{"observations":%s}]}'
+
+
+def _payloads(spark, folder, *lines):
+    path = folder / "docs" / "label=MRR"
+    path.mkdir(parents=True)
+    (path / "a.json").write_text("\n".join(lines))
+    return payloads.read_json(spark, str(folder / "docs"), payloads.SDMX_JSON)
+
+
+def test_text_attributes_do_not_void_a_document(spark, tmp_path):
+    docs = _payloads(spark, tmp_path, RATES % '{"0":[1.5,"x",null]}')
+    assert [tuple(r) for r in payloads.flatten_rates(docs).collect()] == [("2024-03-01", "MRR", 1.5)]
+
+
+@pytest.mark.parametrize("broken", ['{"structure":', RATES % '{"7":[1.5]}', '{"dataSets":[]}'])
+def test_broken_documents_fail_or_are_listed(spark, tmp_path, broken):
+    docs = _payloads(spark, tmp_path, RATES % '{"0":[2]}', broken)
+    with pytest.raises(Exception, match="payload unreadable|beyond the time axis"):
+        payloads.flatten_rates(docs).collect()
+    assert [r["value"] for r in payloads.flatten_rates(docs, strict=False).collect()] == [2.0]
+    assert len(payloads.refused(docs, "rates").collect()) == (0 if "7" in broken else 1)
+
+
+def test_other_header_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("TIME_PERIOD,geo,OBS_VALUE\n2024,DE,1\n")
+    assert [tuple(r) for r in payloads.read_sdmx_csv(spark, str(tmp_path)).collect()] == [("2024-01-01", "DE", "", "", 1.0)]
+    (tmp_path / "b.csv").write_text("geo,TIME_PERIOD,OBS_VALUE\nFR,2024,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        payloads.read_sdmx_csv(spark, str(tmp_path)).collect()
+
+
+def test_stamps_need_a_full_day(spark):
+    from macrotide.functions import clean
+
+    df = spark.createDataFrame([("12:30:00",), ("T10:00",), ("2024",), ("2024-03",), ("2024/1/5 10:00",)], "t string")
+    assert [r[0] is None for r in df.select(clean.to_timestamp_or_null("t")).collect()] == [True] * 4 + [False]

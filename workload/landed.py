@@ -82,6 +82,17 @@ def rates_payloads(spark: SparkSession, sf: str) -> str:
     return _write_json(bodies.select("label", payload.alias("payload")), scratch_path(spark, "rates"), "label")
 
 
+def mixed_payloads(spark: SparkSession, sf: str) -> str:
+    """One rates document per supplier: broken off, with a text attribute beside the value, plain, or without data."""
+    n = F.col("s_suppkey") % 4
+    structure = '"structure":{"dimensions":{"series":[],"observation":[{"id":"TIME_PERIOD","values":[{"id":"2024-03"}]}]}}'
+    text = lambda tail: F.format_string('{%s,"dataSets":[{"observations":{"0":[%s%s]}}]}', F.lit(structure), F.col("s_acctbal").cast("string"), F.lit(tail))
+    doc = F.when(n == 0, F.substring(text(""), 1, 90)).when(n == 1, text(',"x"')).when(n == 2, text(",0")).otherwise(F.lit('{"dataSets":[]}'))
+    path = scratch_path(spark, "mixed")
+    table(spark, sf, "supplier").select(F.lit("MRR").alias("label"), doc.alias("value")).write.partitionBy("label").text(path)
+    return path
+
+
 def energy_pages(spark: SparkSession, sf: str) -> str:
     """One page per series, supplier and month; some values are null tokens, some dates are blank."""
     date = F.to_date("l_shipdate")

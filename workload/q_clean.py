@@ -34,22 +34,30 @@ def p1_coerce_bronze(spark, sf):
     return coerce_bronze(rows, F.lit("2024-02-01T00:00:00+00:00"))
 
 
-@query("p2_try_casts", """
-SELECT event_id, CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN ts::DATE WHEN 2 THEN NULL WHEN 3 THEN ts::DATE END AS d,
-  CASE event_id % 4 WHEN 0 THEN value WHEN 1 THEN value END AS v,
-  CASE WHEN event_id % 3 <> 0 THEN epoch_us(ts::TIMESTAMP) END AS ts_us
-FROM events""")
+# Stamps in forms that one engine or the other might take for something else.
+_ODD = ["2024", "2024-03", "12:30:00", "T10:00", "2024-01-05 10:00:00", "2024-01-05T00:00:00", "2024/01/05", "2024/1/5 10:00",
+        "2024-01-05 junk", "2024-01-05 25:00:00", "2024-13-05", "2024-01/05", "2024-01-05T10:00:00.123456", "2024-01-05T", "1_000", "1__0"]
+_ODD_SQL = "[" + ", ".join(f"'{x}'" for x in _ODD) + "]"
+
+
+@query("p2_try_casts", f"""
+WITH o AS (SELECT event_id, ts, value, {_ODD_SQL}[(event_id % {len(_ODD)} + 1)::INT] AS odd FROM events)
+SELECT event_id, CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN ts::DATE WHEN 2 THEN try_cast(odd AS DATE) WHEN 3 THEN ts::DATE END AS d,
+  CASE event_id % 4 WHEN 0 THEN value WHEN 1 THEN value WHEN 3 THEN CASE WHEN odd = '1_000' THEN 1000 WHEN odd = '2024' THEN 2024 END END AS v,
+  CASE WHEN event_id % 3 <> 0 THEN epoch_us(ts::TIMESTAMP) ELSE epoch_us(try_cast(odd AS TIMESTAMP)) END AS ts_us
+FROM o""")
 def p2_try_casts(spark, sf):
     n = F.col("event_id")
     day = F.date_format("ts", "yyyy-MM-dd")
     text = F.col("value").cast("string")
+    odd = F.element_at(F.array(*[F.lit(x) for x in _ODD]), (n % len(_ODD) + 1).cast("int"))
     raw = table(spark, sf, "events").select(
         "event_id",
-        F.when(n % 5 == 0, F.date_format("ts", "yyyy")).when(n % 5 == 1, day).when(n % 5 == 2, "abc")
+        F.when(n % 5 == 0, F.date_format("ts", "yyyy")).when(n % 5 == 1, day).when(n % 5 == 2, odd)
         .when(n % 5 == 3, F.date_format("ts", "yyyy-M-d")).alias("d"),
         F.when(n % 4 == 0, text).when(n % 4 == 1, F.concat(F.lit(" "), text, F.lit(" ")))
-        .when(n % 4 == 2, F.concat(text, F.lit("f"))).otherwise(".").alias("v"),
-        F.when(n % 3 == 0, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")).alias("t"))
+        .when(n % 4 == 2, F.concat(text, F.lit("f"))).otherwise(odd).alias("v"),
+        F.when(n % 3 == 0, odd).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")).alias("t"))
     return raw.select("event_id", clean.to_date_or_null("d").alias("d"), clean.to_double_or_null("v").alias("v"),
                       F.unix_micros(clean.to_timestamp_or_null("t")).alias("ts_us"))
 

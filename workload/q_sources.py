@@ -61,6 +61,19 @@ def s4_flatten_rates_payload(spark, sf):
     return payloads.flatten_rates(docs).withColumn("obs_date", clean.to_date_or_null("obs_date"))
 
 
+@query("s4_readable_of_mixed_payloads", """
+SELECT DATE '2024-03-01' AS obs_date, 'MRR' AS series_id, s_acctbal AS value FROM supplier WHERE s_suppkey % 4 IN (1, 2)""")
+def s4_readable_of_mixed_payloads(spark, sf):
+    docs = payloads.read_json(spark, landed.mixed_payloads(spark, sf), payloads.SDMX_JSON)
+    return payloads.flatten_rates(docs, strict=False).withColumn("obs_date", clean.to_date_or_null("obs_date"))
+
+
+@query("s4_refused_payloads", "SELECT count(*) AS refused FROM supplier WHERE s_suppkey % 4 IN (0, 3)")
+def s4_refused_payloads(spark, sf):
+    docs = payloads.read_json(spark, landed.mixed_payloads(spark, sf), payloads.SDMX_JSON)
+    return payloads.refused(docs.select("structure", "dataSets", payloads.CORRUPT), "rates").agg(F.count("structure").alias("_s"), F.count("*").alias("refused")).select("refused")
+
+
 @query("s5_read_sdmx_csv", """
 SELECT CASE o_orderkey % 4 WHEN 0 THEN date_trunc('year', o_orderdate)::DATE WHEN 1 THEN date_trunc('month', o_orderdate)::DATE
        ELSE o_orderdate::DATE END AS obs_date,
