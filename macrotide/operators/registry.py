@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macrotide.schemas import NOWCAST_OUTPUT, REGISTRY, REQUIRED
+from macrotide.schemas import KEYS, NOWCAST_OUTPUT, REGISTRY, REQUIRED
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -16,9 +16,23 @@ def conform(df: DataFrame, table: str) -> DataFrame:
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _taken_keys(new: DataFrame, root: str, table: str, key: list[str]) -> DataFrame:
+    """Keys that occur twice in the new rows, or once there and once in the table."""
+    spark = new.sparkSession
+    twice = new.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1").select(*key)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return twice
+    return twice.unionByName(read(spark, root, table).select(*key).join(new.select(*key), key, "left_semi"))
+
+
 def append(df: DataFrame, root: str, table: str) -> None:
-    """Append typed rows; a NULL in a required column fails the write before anything is committed."""
+    """Append typed rows; a NULL in a required column fails the write before anything is committed, and so does a
+    key of the table (``KEYS``) that is there already or comes twice."""
     typed = conform(df, table)
+    key = KEYS.get(table)
+    if key and not _taken_keys(typed, root, table, key).isEmpty():
+        raise ValueError(f"{table}: {', '.join(key)} must be unique")
     checked = typed.select([
         F.coalesce(F.col(c), F.raise_error(F.lit(f"{table}.{c} is required")).cast(typed.schema[c].dataType)).alias(c)
         if c in REQUIRED[table] else F.col(c) for c in typed.columns])

@@ -8,6 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.functions.calendar import minutes_between, seconds_between, trailing_days
+from macrotide.operators import registry
+from macrotide.operators.joins import join_null_safe
+from macrotide.operators.keyed import latest_by
+
+
+def record(events: DataFrame, root: str, table: str) -> None:
+    """Append events to the log table ``status_events`` or ``stage_events``; nothing is ever updated in place."""
+    registry.append(events, root, table)
 
 
 def current_runs(status_events: DataFrame) -> DataFrame:
@@ -16,9 +24,10 @@ def current_runs(status_events: DataFrame) -> DataFrame:
     Events carry ``run_id, started_at, ended_at, status, mode, log_file, event_ts``; a row that ends a
     run need not repeat the start.
     """
-    newest = F.max(F.struct("event_ts", "ended_at", "status", "mode", "log_file"))
-    out = status_events.groupBy("run_id").agg(F.min("started_at").alias("started_at"), newest.alias("_last"))
-    return out.select("run_id", "started_at", *[f"_last.{c}" for c in ("ended_at", "status", "mode", "log_file")])
+    state = ["ended_at", "status", "mode", "log_file"]
+    newest = latest_by(status_events, ["run_id"], [F.col(c).desc_nulls_last() for c in ["event_ts", *state]]).select("run_id", *state)
+    begun = status_events.groupBy("run_id").agg(F.min("started_at").alias("started_at"))
+    return join_null_safe(newest, begun, ["run_id"]).select("run_id", "started_at", *state)
 
 
 def stage_metrics(stage_events: DataFrame) -> DataFrame:
@@ -26,15 +35,13 @@ def stage_metrics(stage_events: DataFrame) -> DataFrame:
 
     Duration is the difference of whole epoch seconds; status and message come from the newest event.
     """
-    order = F.struct("ts", "status")
-    out = stage_events.groupBy("run_id", "stage_name").agg(
-        F.min("ts").alias("started_at"), F.max("ts").alias("ended_at"),
-        F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
-        F.max_by(F.struct("status", "message"), order).alias("_last"))
-    return out.select(
-        "run_id", "stage_name", "started_at", "ended_at",
-        seconds_between("started_at", "ended_at").alias("duration_seconds"), "row_count",
-        F.col("_last.status").alias("status"), F.col("_last.message").alias("error_message"))
+    keys = ["run_id", "stage_name"]
+    newest = latest_by(stage_events, keys, [F.col(c).desc_nulls_last() for c in ["ts", "status", "message"]]).select(*keys, "status", "message")
+    totals = stage_events.groupBy(*keys).agg(
+        F.min("ts").alias("started_at"), F.max("ts").alias("ended_at"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"))
+    return join_null_safe(newest, totals, keys).select(
+        *keys, "started_at", "ended_at", seconds_between("started_at", "ended_at").alias("duration_seconds"), "row_count",
+        "status", F.col("message").alias("error_message"))
 
 
 def recent_activity(runs: DataFrame, stages: DataFrame, as_of: date, days: int = 7) -> DataFrame:

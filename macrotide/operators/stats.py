@@ -30,13 +30,13 @@ def _moment_metrics(y: Column, p: Column) -> dict[str, Column]:
 
 def regression_metrics(df: DataFrame, keys: list[str], actual: str = "y_true", predicted: str = "y_pred",
                        bounded: bool = True) -> DataFrame:
-    """Error metrics per key over the rows that have both values.
+    """Error metrics per key over the rows that have both values; NULL and NaN count as missing in every form.
 
     With ``bounded`` the quantiles come from the same aggregate, which keeps a group's distinct errors
     in one buffer: right for one series and model, whose rows are months. Use ``bounded=False`` for
     pooled groups: moments stay one aggregate, quantiles are found without gathering the group.
     """
-    both = df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
+    both = df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull() & ~F.isnan(actual) & ~F.isnan(predicted))
     y, p = F.col(actual), F.col(predicted)
     parts = _moment_metrics(y, p)
     if bounded:

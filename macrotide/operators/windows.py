@@ -148,8 +148,8 @@ def winsorize(df: DataFrame, column: str, keys: list[str], lower: float = 0.05,
 
 
 def clip(value: Column, low: Column, high: Column) -> Column:
-    """Value limited to the bounds; NULL stays NULL, a NULL bound does not limit."""
-    return F.when(value.isNotNull(), F.least(F.greatest(value, low), high))
+    """Value limited to the bounds; NULL stays NULL, NaN stays NaN, a NULL bound does not limit."""
+    return F.when(F.isnan(value), value).when(value.isNotNull(), F.least(F.greatest(value, low), high))
 
 
 def last_known(df: DataFrame, value: str, keys: list[str], target_month, time: str = "month") -> DataFrame:

@@ -72,16 +72,17 @@ def fact_macro(spine: DataFrame, silver_fx: DataFrame, silver_rates: DataFrame,
     """Monthly drivers on the month spine.
 
     FX joins by month only and its geo (or the default area) is the key of the other two, so a geo
-    without FX in a month has no row for it, and several FX geos give a month several rows. All sides
-    are monthly aggregates; AQE broadcasts those that turn out small.
+    without FX in a month has no row for it, and several FX geos give a month several rows. FX is never
+    dealt by month, of which there are few: the spine, one row per calendar month, goes to every task, and the
+    months without FX are added.
     """
     fx = fx_monthly(silver_fx, cutoff).withColumnRenamed("geo", "fx_geo")
     rates = rates_monthly(silver_rates, cutoff)
     energy = energy_monthly(silver_energy, cutoff)
-    base = (
-        spine.filter(up_to_month("month", cutoff)).join(fx, "month", "left")
-        .withColumn("geo", F.coalesce("fx_geo", F.lit(DEFAULT_GEO)))
-    )
+    months = spine.filter(up_to_month("month", cutoff))
+    covered = fx.join(F.broadcast(months), "month")
+    lacking = months.join(fx.select("month").distinct(), "month", "left_anti")
+    base = covered.unionByName(lacking, allowMissingColumns=True).withColumn("geo", F.coalesce("fx_geo", F.lit(DEFAULT_GEO)))
     return base.join(rates, ["month", "geo"], "left").join(energy, ["month", "geo"], "left").select(
         "month", "geo", "fx_usd_eur_avg", "policy_rate_monthly_avg", "policy_rate_eom",
         "brent_crude_usd", "nat_gas_eu_usd")

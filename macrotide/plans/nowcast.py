@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import numpy as np
@@ -23,7 +24,7 @@ from macrotide.operators.stats import ensemble_mean
 from macrotide.operators.windows import add_expanding, add_previous, last_known, series_window
 from macrotide.plans.features import KEYS, LEVEL, TARGET, align_features, inference_matrix
 from macrotide.schemas import WALK_FORWARD
-from macrotide.session import cut_lineage
+from macrotide.session import cut_lineage, scratch_path
 
 # The learner travels with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(boosting)
@@ -138,26 +139,34 @@ def fit_pooled(matrix: DataFrame, features: list[str], trees: int = 300, seed: i
 
 
 def walk_forward_pooled(matrix: DataFrame, features: list[str], start_after: date = TRAIN_STOP,
-                        seeds: tuple[int, ...] = SEEDS, trees: int = 300) -> DataFrame:
+                        seeds: tuple[int, ...] = SEEDS, trees: int = 300, parallel: int = 4) -> DataFrame:
     """Walk-forward with one pooled MLlib model per test month and seed.
 
-    The loop runs over test months, which the calendar bounds; each fit is a distributed job over all
-    geos. The matrix is written once, so no fit recomputes it, and predictions stay lazy unions.
+    The loop runs over test months, which the calendar bounds; each fit is a distributed job over all geos, and
+    ``parallel`` of them are submitted at a time. The matrix is written once, so no fit recomputes it, and
+    all predictions go to one table in the shared folder. Runs its jobs when it is called.
     """
+    spark = matrix.sparkSession
     lagged = cut_lineage(add_previous(matrix, LEVEL, ["geo"], "previous_level"), "matrix")
     months = [r[0] for r in lagged.filter(F.col("month") > F.lit(start_after))
               .select("month").distinct().orderBy("month").collect()]
-    folds = None
-    for month in months:
+    path = scratch_path(spark, "folds")
+
+    def fold(month: date, seed: int) -> None:
         history = lagged.filter(F.col("month") < F.lit(month))
         test = lagged.filter((F.col("month") == F.lit(month)) & F.col("previous_level").isNotNull())
-        for seed in seeds:
-            scored = fit_pooled(history, features, trees, seed).transform(test).select(
-                *KEYS, TARGET, LEVEL, "previous_level", "y_pred_mom")
-            folds = scored if folds is None else folds.unionByName(scored)
-    if folds is None:
-        return matrix.sparkSession.createDataFrame([], WALK_FORWARD)
-    return _errors(ensemble_mean(folds, [*KEYS, TARGET, LEVEL, "previous_level"]))
+        fit_pooled(history, features, trees, seed).transform(test).select(
+            *KEYS, TARGET, LEVEL, "previous_level", "y_pred_mom").write.parquet(f"{path}/month={month}/seed={seed}")
+
+    if not months:
+        return spark.createDataFrame([], WALK_FORWARD)
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(lambda job: fold(*job), [(m, s) for m in months for s in seeds]))
+    files = [f"{path}/month={m}/seed={s}" for m in months for s in seeds]
+    schema = lagged.select(*KEYS, TARGET, LEVEL, "previous_level", F.lit(0.0).alias("y_pred_mom")).schema
+    folds = spark.read.schema(schema).parquet(*files)
+    mean = folds.groupBy(*KEYS).agg(F.avg("y_pred_mom").alias("y_pred_mom"), *[F.max(c).alias(c) for c in (TARGET, LEVEL, "previous_level")])
+    return _errors(mean)
 
 
 def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:

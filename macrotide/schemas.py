@@ -73,9 +73,18 @@ REGISTRY = {
         ("run_id", T.StringType()), ("month", T.DateType()), ("geo", T.StringType()),
         ("y_true", T.DoubleType()), ("y_pred", T.DoubleType()), ("residual", T.DoubleType()),
     ),
+    "status_events": _fields(
+        ("run_id", T.StringType()), ("started_at", T.TimestampType()), ("ended_at", T.TimestampType()), ("status", T.StringType()),
+        ("mode", T.StringType()), ("log_file", T.StringType()), ("event_ts", T.TimestampType()),
+    ),
+    "stage_events": _fields(
+        ("run_id", T.StringType()), ("stage_name", T.StringType()), ("ts", T.TimestampType()), ("status", T.StringType()),
+        ("row_count", T.LongType()), ("message", T.StringType()),
+    ),
 }
 
-# Columns that must be present before an append; run_id of `runs` must also be unique.
+# Columns whose values must be unique in a table, and columns that must be present before an append.
+KEYS = {"runs": ["run_id"]}
 REQUIRED = {
     "runs": ["run_id", "model_version", "model_type", "started_at_utc", "finished_at_utc",
              "target", "features", "artifact_path"],
@@ -86,4 +95,6 @@ REQUIRED = {
     "nowcast_output": ["month", "geo", "model_version", "y_nowcast", "created_at_utc"],
     "pipeline_runs": ["run_id", "started_at"],
     "stage_metrics": ["run_id", "stage_name", "started_at"],
+    "status_events": ["run_id", "event_ts"],
+    "stage_events": ["run_id", "stage_name", "ts"],
 }

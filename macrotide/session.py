@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-_local_root: str | None = None
+_run_folders: list[str] = []
 
 
 def build_session(app: str = "macrotide", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,20 +33,14 @@ def build_session(app: str = "macrotide", master: str | None = None, **conf: str
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can see, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can see: ``spark.checkpoint.dir``, or the session's warehouse where that is unset.
 
-    Only a local session without that setting gets a temporary folder; on a cluster a machine-local
-    folder would lose data with its executor, so there the setting is required.
+    Inside :func:`run_folder` it is that run's own folder.
     """
-    global _local_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="macrotide-")
-    return _local_root
+    if _run_folders:
+        return _run_folders[-1]
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -53,6 +48,19 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder of one run's intermediates, removed when the run ends; results must be stored or read before."""
+    path = scratch_path(spark, "run")
+    _run_folders.append(path)
+    try:
+        yield path
+    finally:
+        _run_folders.remove(path)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def cut_lineage(df, purpose: str = "stage"):
     """Write a DataFrame to the shared folder and read it back, so later jobs do not recompute it."""
     path = scratch_path(df.sparkSession, purpose)

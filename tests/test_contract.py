@@ -12,9 +12,8 @@ from workload import catalog
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = catalog.QUERIES, catalog.SQL  # the training-text queries are tested in their own folder
-# Learners, importances, file layout and sketches have no SQL counterpart.
-ROWS_ONLY = {"m2_pooled_model", "m3_walk_forward_per_series", "m3_walk_forward_pooled", "m5_feature_importance",
-             "q5_column_profile_approx", "q9_files_per_dataset"}
+# The per-series learner has no SQL counterpart.
+ROWS_ONLY = {"m3_walk_forward_per_series"}
 PYTHON_IN_TASKS = {"m3_walk_forward_per_series", "m3_walk_forward_keys"}
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 
@@ -81,3 +80,21 @@ def test_rates_are_read_once(spark):
 def test_rolling_features_share_one_shuffle(spark):
     plan = plan_of(QUERIES["w5_leak_free_rolling_panel"](spark, SF))
     assert plan.count("Exchange hashpartitioning(geo") == 1  # the panel's aggregate shuffles on its own keys
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["k4_run_status", "k5_stage_metrics"])
+def test_run_log_aggregates_by_hash(spark, name):
+    assert "SortAggregate" not in plan_of(QUERIES[name](spark, SF))
+
+
+@needs_data
+def test_fx_is_not_dealt_by_month(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["j2_fact_macro"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan.index("BroadcastHashJoin [month")
+    above = plan[:join]
+    assert not re.search(r"hashpartitioning\(month#\d+, \d+\)", above.rsplit("Union", 1)[1])

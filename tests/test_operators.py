@@ -17,11 +17,10 @@ def vintages(spark, rows):
     return spark.createDataFrame(rows, "dt string, geo string, series_id string, value double, source string, ingest_ts timestamp")
 
 
-@pytest.mark.parametrize("few_keys", [False, True])
-def test_newest_vintage_wins(spark, few_keys):
+def test_newest_vintage_wins(spark):
     rows = [("d", "g", "s", 1.0, "a", T(10)), ("d", "g", "s", 2.0, "a", T(11)), ("d", "g", "s", 3.0, "a", None),
             ("d", None, "s", 4.0, "a", T(1)), ("d", None, "s", 5.0, "a", T(2)), ("d", "n", "s", 6.0, "a", None), ("d", "n", "s", 7.0, "a", None)]
-    out = keyed.last_write_wins(vintages(spark, rows), few_keys=few_keys)
+    out = keyed.last_write_wins(vintages(spark, rows))
     assert sorted(r.value for r in out.collect()) == [2.0, 5.0, 7.0]
 
 
@@ -239,3 +238,47 @@ def test_latest_run_metrics_keeps_ties(spark):
     runs = spark.createDataFrame([("a", "v1", T(1)), ("b", "v2", T(2)), ("c", "v3", T(2))], "run_id string, model_version string, finished_at_utc timestamp")
     metrics = spark.createDataFrame([(r, "mae", 1.0) for r in "abc"], "run_id string, metric string, value double")
     assert sorted(r.model_version for r in registry.latest_run_metrics(runs, metrics).collect()) == ["v2", "v3"]
+
+
+def test_runs_have_unique_ids(spark):
+    root = scratch_path(spark, "unique")
+    rows = spark.createDataFrame([("a", "v")], "run_id string, model_version string")
+    full = rows.select("*", *[F.lit(x).alias(c) for c, x in (("model_type", "m"), ("target", "t"), ("artifact_path", "p"))],
+                       F.current_timestamp().alias("started_at_utc"), F.current_timestamp().alias("finished_at_utc"), F.array(F.lit("f")).alias("features"))
+    registry.append(full, root, "runs")
+    with pytest.raises(ValueError, match="unique"):
+        registry.append(full, root, "runs")
+    with pytest.raises(ValueError, match="unique"):
+        registry.append(full.withColumn("run_id", F.lit("b")).union(full.withColumn("run_id", F.lit("b"))), root, "runs")
+    assert registry.read(spark, root, "runs").count() == 1
+
+
+def test_snapshots_replace_once(spark):
+    root = scratch_path(spark, "snapshots")
+    rows = lambda *r: spark.createDataFrame(list(r), "month int, v int")
+    keyed.write_snapshot(rows((1, 1), (2, 2)), root)
+    for _ in range(2):
+        out = keyed.replace_in_snapshot(rows((2, 5), (3, 6)), root, ["month"])
+    assert sorted(map(tuple, out.collect())) == [(1, 1), (2, 5), (3, 6)]
+
+
+def test_events_of_a_run_are_recorded(spark):
+    root = scratch_path(spark, "events")
+    for status, second in (("running", 0), ("done", 9)):
+        runlog.record(spark.sql(f"SELECT 'r' AS run_id, timestamp'2024-01-01 00:00:00' AS started_at, '{status}' AS status, "
+                                f"timestamp'2024-01-01 00:00:0{second}' AS event_ts"), root, "status_events")
+    assert [r["status"] for r in runlog.current_runs(registry.read(spark, root, "status_events")).collect()] == ["done"]
+
+
+def test_clip_keeps_nan(spark):
+    df = spark.createDataFrame([(1, float(v)) for v in range(20)] + [(1, float("nan")), (1, None)], "g int, v double")
+    for out in (windows.winsorize(df, "v", ["g"]), orderstats.winsorize_large(df, "v", ["g"])):
+        values = [r["v"] for r in out.collect()]
+        assert sum(v is not None and v != v for v in values) == 1 and sum(v is None for v in values) == 1
+        assert max(v for v in values if v is not None and v == v) == 18.0
+
+
+def test_metrics_leave_out_nan_in_both_forms(spark):
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 2.0), ("a", 3.0, float("nan"))], "k string, y_true double, y_pred double")
+    rows = [stats.regression_metrics(df, ["k"], bounded=b).first().asDict() for b in (True, False)]
+    assert rows[0] == rows[1] and rows[0]["mae"] == 0.5

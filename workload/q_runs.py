@@ -143,6 +143,16 @@ def k1_registry_metrics(spark, sf):
     return registry.read(spark, root, "metrics")
 
 
+@query("k1_registry_importance", """
+SELECT 'run-' || o_custkey AS run_id, o_orderpriority AS feature, round(sum(o_totalprice), 2) AS importance FROM orders GROUP BY o_custkey, o_orderpriority""")
+def k1_registry_importance(spark, sf):
+    root = scratch_path(spark, "ml")
+    rows = table(spark, sf, "orders").groupBy(F.concat(F.lit("run-"), F.col("o_custkey").cast("string")).alias("run_id"), F.col("o_orderpriority").alias("feature")).agg(
+        F.sum("o_totalprice").alias("importance"))
+    registry.append(rows, root, "feature_importance")
+    return rounded(registry.read(spark, root, "feature_importance"), 2)
+
+
 @query("k1_registry_predictions", f"""
 SELECT model_version AS run_id, month, geo, {r('y_actual')} AS y_true, {r('y_nowcast')} AS y_pred, {r('residual')} AS residual FROM nowcasts""", ("nowcasts",))
 def k1_registry_predictions(spark, sf):
@@ -241,9 +251,13 @@ def q5_column_profile_exact(spark, sf):
     return quality.column_profile(table(spark, sf, "orders"), "source", "orders", exact=True)
 
 
-@query("q5_column_profile_approx")
+@query("q5_column_profile_approx", """
+SELECT column_name, true AS within_a_tenth FROM (DESCRIBE lineitem)""")
 def q5_column_profile_approx(spark, sf):
-    return quality.column_profile(table(spark, sf, "lineitem"), "source", "lineitem")
+    rows = table(spark, sf, "lineitem")
+    near = quality.column_profile(rows, "source", "lineitem")
+    exact = quality.column_profile(rows, "source", "lineitem", exact=True).select("column_name", F.col("n_distinct").alias("n"))
+    return near.join(exact, "column_name").select("column_name", (F.abs(F.col("n_distinct") - F.col("n")) <= 0.1 * F.col("n")).alias("within_a_tenth"))
 
 
 @query("q7_non_empty", """
@@ -256,10 +270,18 @@ def q7_non_empty(spark, sf):
 
 
 @query("q8_constraints", """
+WITH t AS (SELECT CASE WHEN event_id % 7 <> 0 THEN date_trunc('month', ts)::DATE END AS month, CASE WHEN event_id % 11 <> 0 THEN event_type END AS geo,
+    CASE WHEN event_id % 13 <> 0 THEN 'v' END AS model_version, CASE WHEN event_id % 17 <> 0 THEN value END AS y_nowcast,
+    CASE WHEN event_id % 19 <> 0 THEN ts END AS created_at_utc FROM events)
 SELECT 'not_null' AS rule, column_name, failures::BIGINT AS failures FROM (
-  SELECT count(*) FILTER (WHERE geo IS NULL) AS month, 0 AS geo, 0 AS model_version, count(*) FILTER (WHERE y_nowcast IS NULL) AS y_nowcast,
-    0 AS created_at_utc FROM nowcasts)
+  SELECT count(*) FILTER (WHERE month IS NULL) AS month, count(*) FILTER (WHERE geo IS NULL) AS geo, count(*) FILTER (WHERE model_version IS NULL) AS model_version,
+    count(*) FILTER (WHERE y_nowcast IS NULL) AS y_nowcast, count(*) FILTER (WHERE created_at_utc IS NULL) AS created_at_utc FROM t)
 UNPIVOT (failures FOR column_name IN (month, geo, model_version, y_nowcast, created_at_utc))
-UNION ALL SELECT 'unique', 'month,geo', count(*) FROM (SELECT 1 FROM nowcasts GROUP BY month, geo HAVING count(*) > 1)""", ("nowcasts",))
+UNION ALL SELECT 'unique', 'month,geo', count(*) FROM (SELECT 1 FROM t WHERE month IS NOT NULL AND geo IS NOT NULL GROUP BY month, geo HAVING count(*) > 1)""")
 def q8_constraints(spark, sf):
-    return quality.check_constraints(proxy.nowcasts(proxy.headline(spark, sf)), REQUIRED["nowcast_output"], ["month", "geo"])
+    n = F.col("event_id")
+    rows = table(spark, sf, "events").select(
+        F.when(n % 7 != 0, F.trunc("ts", "month")).alias("month"), F.when(n % 11 != 0, F.col("event_type")).alias("geo"),
+        F.when(n % 13 != 0, F.lit("v")).alias("model_version"), F.when(n % 17 != 0, F.col("value")).alias("y_nowcast"),
+        F.when(n % 19 != 0, F.col("ts")).alias("created_at_utc"))
+    return quality.check_constraints(rows, REQUIRED["nowcast_output"], ["month", "geo"])

@@ -133,11 +133,18 @@ def s11_export_filtered(spark, sf):
     return rounded(bronze.read_export(spark, path, "month date, index_value double, source string, hicp_yoy double"))
 
 
-@query("q9_files_per_dataset")
+@query("q9_files_per_dataset", """
+SELECT unnest(['energy_prices', 'ecb_rates_eu', 'ecb_fx_eu', 'eurostat_hicp']) AS dataset, true AS as_listed""")
 def q9_files_per_dataset(spark, sf):
     root = scratch_path(spark, "bronze")
     raw = proxy.bronze_events(spark, sf)
     names = ["energy_prices", "ecb_rates_eu", "ecb_fx_eu", "eurostat_hicp"]
     for name in names:
         bronze.write_bronze(raw.filter(F.col("dataset") == name), root, name)
-    return bronze.files_per_dataset(spark, root, names)
+    counted = bronze.files_per_dataset(spark, root, names)
+    listed = None
+    for name in names:
+        one = bronze.read_bronze(spark, root, name).select(F.lit(name).alias("dataset"), F.col("_metadata.file_path").alias("f")).distinct()
+        listed = one if listed is None else listed.unionByName(one)
+    listed = listed.groupBy("dataset").agg(F.count("*").alias("n"))
+    return counted.join(listed, "dataset").select("dataset", (F.col("n_files") == F.col("n")).alias("as_listed"))

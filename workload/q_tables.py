@@ -102,8 +102,7 @@ QUALIFY row_number() OVER (PARTITION BY l_linestatus, l_returnflag
 def a1_last_write_wins_hot_keys(spark, sf):
     rows = table(spark, sf, "lineitem").select(
         "l_linestatus", "l_returnflag", F.to_date("l_shipdate").alias("ts_date"), "l_orderkey", "l_linenumber", "l_extendedprice")
-    return keyed.last_write_wins(rows, ["l_linestatus", "l_returnflag"], "ts_date", ("l_orderkey", "l_linenumber", "l_extendedprice"),
-                                 few_keys=True)
+    return keyed.last_write_wins(rows, ["l_linestatus", "l_returnflag"], "ts_date", ("l_orderkey", "l_linenumber", "l_extendedprice"))
 
 
 @query("a2_fx_monthly", f"SELECT month, geo, {_cols('fx_usd_eur_avg')} FROM fx_monthly", ("fx_monthly",))
@@ -170,6 +169,17 @@ def a8_regression_metrics_pooled(spark, sf):
     return rounded(stats.regression_metrics(rows, ["l_returnflag"], "y", "p", bounded=False), 5)
 
 
+@query("a8_regression_metrics_with_nan", f"""
+SELECT l_returnflag, {_cols(*stats.METRICS, digits=5)} FROM (
+  SELECT l_returnflag, {_METRIC_SQL.format(y='y', p='p')} FROM (
+    SELECT l_returnflag, l_extendedprice / 3001.0::DOUBLE AS y, l_quantity / 1.7::DOUBLE AS p FROM lineitem WHERE l_linenumber <> 7) GROUP BY 1)""")
+def a8_regression_metrics_with_nan(spark, sf):
+    rows = table(spark, sf, "lineitem").select(
+        "l_returnflag", (F.col("l_extendedprice") / 3001.0).alias("y"),
+        F.when(F.col("l_linenumber") == 7, float("nan")).otherwise(F.col("l_quantity") / 1.7).alias("p"))
+    return rounded(stats.regression_metrics(rows, ["l_returnflag"], "y", "p", bounded=False), 5)
+
+
 @query("a9_ensemble_mean", f"SELECT geo, month, {r('avg(y_nowcast)')} AS y_nowcast FROM nowcasts GROUP BY 1, 2", ("nowcasts",))
 def a9_ensemble_mean(spark, sf):
     return rounded(stats.ensemble_mean(proxy.nowcasts(proxy.headline(spark, sf)), ["geo", "month"], "y_nowcast"))
@@ -310,6 +320,17 @@ def w9_winsorize_hot_groups(spark, sf):
     return orderstats.winsorize_large(rows, "o_totalprice", ["o_orderstatus"]).select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
+@query("w9_winsorize_with_nan", _WINSOR.format(
+    keys="l_orderkey, l_linenumber", out="CASE WHEN isnan(x) THEN NULL ELSE least(greatest(x, lo), hi) END AS x, isnan(x) AS was_nan",
+    source="(SELECT l_orderkey, l_linenumber, l_linestatus, CASE WHEN l_linenumber = 7 THEN 'NaN'::DOUBLE ELSE l_extendedprice END AS x FROM lineitem)",
+    group="l_linestatus", value="CASE WHEN NOT isnan(x) THEN x END"))
+def w9_winsorize_with_nan(spark, sf):
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_linestatus", F.when(F.col("l_linenumber") == 7, float("nan")).otherwise(F.col("l_extendedprice")).alias("x"))
+    out = orderstats.winsorize_large(rows, "x", ["l_linestatus"])
+    return out.select("l_orderkey", "l_linenumber", F.when(~F.isnan("x"), F.col("x")).alias("x"), F.isnan("x").alias("was_nan"))
+
+
 @query("w10_previous_level", f"SELECT geo, month, {r('lag(value, 1) OVER (PARTITION BY geo ORDER BY month)')} AS previous_level FROM panel", ("panel",))
 def w10_previous_level(spark, sf):
     return rounded(windows.add_previous(proxy.panel(spark, sf), "value", ["geo"], "previous_level").select("geo", "month", "previous_level"))
