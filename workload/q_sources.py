@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from macrotide.functions import clean
-from macrotide.plans import views
+from macrotide.plans import ingest, views
 from macrotide.plans.gold import fx_monthly
 from macrotide.session import scratch_path
 from macrotide.sources import bronze, payloads
@@ -94,6 +94,36 @@ def s6_flatten_pages(spark, sf):
     return payloads.flatten_pages(docs).withColumn("obs_date", clean.to_date_or_null("obs_date"))
 
 
+@query("s6_payloads_to_staging", """
+WITH fx AS (SELECT l_suppkey, l_shipdate::DATE AS dt, CASE l_linenumber % 4 WHEN 0 THEN 'CNY' WHEN 1 THEN 'GBP' WHEN 2 THEN 'JPY' ELSE 'USD' END AS ccy,
+    max(1 + l_tax) AS value FROM lineitem WHERE day(l_shipdate) <> 13 GROUP BY 1, 2, 3),
+rates AS (SELECT o_custkey, date_trunc('month', o_orderdate)::DATE AS dt,
+    CASE o_orderkey % 3 WHEN 0 THEN 'MRR' WHEN 1 THEN 'DFR' ELSE 'MLF' END AS series_id, max(o_totalprice) AS value FROM orders GROUP BY 1, 2, 3),
+pages AS (SELECT l_suppkey, l_shipdate::DATE AS dt, CASE l_linenumber % 2 WHEN 0 THEN 'POILBREUSDM' ELSE 'PNGASEUUSDM' END AS series_id,
+    CASE WHEN day(l_shipdate) NOT IN (3, 4, 5) THEN max(l_extendedprice) END AS value
+    FROM lineitem WHERE day(l_shipdate) <> 7 GROUP BY l_suppkey, l_shipdate, 3),
+idx AS (SELECT CASE o_orderkey % 4 WHEN 0 THEN date_trunc('year', o_orderdate)::DATE WHEN 1 THEN date_trunc('month', o_orderdate)::DATE ELSE o_orderdate::DATE END AS dt,
+    'CP0' || substr(o_orderpriority, 1, 1) AS series_id, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus ELSE 'EA20' END AS geo, o_totalprice AS value
+    FROM orders WHERE o_orderkey % 4 <> 3 AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0)
+SELECT dt, 'ecb_fx_eu' AS dataset, 'EXR.D.' || ccy || '.EUR.SP00.A' AS series_id, 'EA20' AS geo, value, 'ECB' AS source FROM fx
+UNION ALL SELECT dt, 'ecb_rates_eu', series_id, 'EA20', value, 'ECB' FROM rates
+UNION ALL SELECT dt, 'energy_prices', series_id, 'NA', value, 'stlouisfed_fred' FROM pages
+UNION ALL SELECT dt, 'eurostat_hicp', series_id, geo, value, 'Eurostat' FROM idx""")
+def s6_payloads_to_staging(spark, sf):
+    stamp = F.lit("2024-02-01T00:00:00+00:00")
+    sdmx = lambda path: payloads.read_json(spark, path, payloads.SDMX_JSON)
+    landed_rows = {  # Bronze rows of the four datasets, typed as they would be after the files
+        "ecb_fx_eu": ingest.fx_to_bronze(sdmx(landed.fx_payloads(spark, sf)), stamp),
+        "ecb_rates_eu": ingest.rates_to_bronze(sdmx(landed.rates_payloads(spark, sf)), stamp),
+        "energy_prices": ingest.pages_to_bronze(payloads.read_json(spark, landed.energy_pages(spark, sf), payloads.PAGE_JSON), stamp),
+        "eurostat_hicp": ingest.index_to_bronze(payloads.read_sdmx_csv(spark, landed.index_csv(spark, sf)), stamp)}
+    staged = None
+    for rows in landed_rows.values():
+        one = bronze.stage(rows).drop("ingest_ts")
+        staged = one if staged is None else staged.unionByName(one)
+    return staged
+
+
 @query("s7_attach_catalogue", f"""
 SELECT ts_date, series_id, {r('value')} AS value,
   CASE series_id WHEN 'POILBREUSDM' THEN 'USD per Barrel' ELSE 'USD per MMBtu' END AS unit,
