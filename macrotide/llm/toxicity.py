@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.llm.sides import checked
+from macrotide.llm.sides import checked, sampled
 from macrotide.llm.text import slices
 from macrotide.session import cut_lineage
 
@@ -201,18 +201,17 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              rows: int = LABELLED_ROWS, threshold: float = 0.3) -> DataFrame:
     """Toxicity of every document: ``doc_id``, ``held_out``, ``score`` (0 to 1), ``predicted``, ``words``.
 
-    The lexicon is learned from at most ``rows`` labelled rows (a bound on what reaches the driver: those of
-    smallest hashed id), none of them held out (crc32 of the id modulo 4 is 2). ``labels`` has ``doc_id`` and
-    ``toxic``; NULL is no label, and of several labels the highest counts. Without labels a short list of
+    The lexicon is learned from about ``rows`` labelled rows (all, if there are fewer; drawn by hashed id), none of
+    them held out (crc32 of the id modulo 4 is 2). ``labels`` has ``doc_id`` and ``toxic``; NULL is no label, and of several labels the highest counts. Without labels a short list of
     plain words is used. NULL and empty texts score as texts without evidence. Rows that share an id are scored
     each by their own text, a row without an id is never held out; an empty input gives an empty result; other
     columns are not read.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     marks = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    known = cut_lineage(docs.join(checked(marks, "labels"), "doc_id").select("text", "toxic"), "labelled")
+             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
+    chosen = checked(sampled(cut_lineage(marks, "labels"), rows, "doc_id"), "chosen")
+    known = cut_lineage(docs.join(chosen, "doc_id").select("text", "toxic"), "labelled")
     scored = _evidence(docs, learn(known), ["doc_id"])
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"), "words")
