@@ -64,11 +64,11 @@ def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, items array<long>")
 
 
-def posted(sigs: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """The part of the inverted lists that has to be merged: ``token``, ``doc_id``, ``sig``.
+def posted(sigs: DataFrame, matches: int) -> DataFrame:
+    """The part of the inverted lists that has to be merged: ``doc_id``, ``token``.
 
     A token is a coordinate with its value. A pair with ``matches`` common tokens meets in the rarest
-    ``coordinates - matches + 1`` tokens of either side. Tokens of one document come first in that order and
+    tokens of either side, all but ``matches - 1``. Tokens of one document come first in that order and
     lead nowhere, so only the shared rest of the prefix is posted: frequent values stay unposted unless a
     document has hardly any others, and a document with fewer than ``matches`` shared tokens posts nothing.
     """
@@ -135,7 +135,7 @@ def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int = 80, match
     with a number of tests in proportion to its size. What is left after the rounds are documents outside a
     list's main component: those whose sets can still reach the similarity are tested pair by pair.
     """
-    post = cut_lineage(posted(sigs, len(sigs.select("sig").first()[0]) if sigs.take(1) else COORDINATES, matches), "posted")
+    post = cut_lineage(posted(sigs, matches), "posted")
     ids = checked(post.select("doc_id").distinct(), "posted-ids")
     sets = cut_lineage(_whole_sets(docs.join(ids, "doc_id", "left_semi").repartition(F.xxhash64("doc_id")), width), "sets")
     near = cut_lineage(sigs.join(ids, "doc_id", "left_semi").select("doc_id", "sig"), "near")
