@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.llm.sides import checked
-from macrotide.llm.text import Texts, slices
+from macrotide.llm.text import SLICE_BYTES, Texts, slices
 from macrotide.session import cut_lineage
 
-ORDER, CHUNK_BYTES, QUANTILE, SLACK, LEAST_CALIBRATION = 4, 12 << 20, 0.995, 0.25, 50
+ORDER, CHUNK_BYTES, QUANTILE, SLACK, LEAST_CALIBRATION = 4, 32 << 20, 0.995, 0.25, 50
 
 
 def _grams(texts: Texts, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -28,23 +30,62 @@ def _grams(texts: Texts, order: int) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def _counts(docs: DataFrame, order: int, keys: list[str]) -> DataFrame:
-    """Counts of n-grams, by slice: ``keys`` (columns that are alike in a slice), ``gram``, ``n``."""
+def _parts(texts: Texts, limit: int = SLICE_BYTES):
+    """Runs of texts of about ``limit`` bytes."""
+    row = 0
+    while row < len(texts.start):
+        until = max(row + 1, int(np.searchsorted(texts.end, texts.start[row] + limit, "right")))
+        base = texts.start[row]
+        yield Texts(texts.data[base:texts.end[until - 1]], texts.start[row:until] - base, texts.end[row:until] - base)
+        row = until
+
+
+def _distinct(texts: Texts, order: int) -> np.ndarray:
+    return np.unique(np.concatenate([np.unique(_grams(part, order)[0]) for part in _parts(texts)]))
+
+
+def _counts(docs: DataFrame, order: int) -> DataFrame:
+    """Counts of n-grams: ``gram``, ``n``; counted by slice before the shuffle."""
+    def run(batches):
+        for _, texts in slices(batches):
+            found, n = np.unique(_grams(texts, order)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["gram", "n"])
+
+    return docs.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def _chunk_id(batch: pa.RecordBatch, texts: Texts) -> int:
+    digest = hashlib.blake2b(texts.data.tobytes(), digest_size=8)
+    digest.update(str(batch.column(batch.schema.get_field_index("doc_id")).to_pylist()).encode())
+    digest.update(texts.end.tobytes())
+    return int.from_bytes(digest.digest(), "big", signed=True)
+
+
+def _asked(docs: DataFrame, order: int, chunk_bytes: int) -> DataFrame:
+    """Distinct n-grams of every chunk: ``chunk``, ``gram``."""
     def run(batches):
-        for batch, texts in slices(batches, limit=4 << 20):
-            if keys:
-                by = batch.column(batch.schema.get_field_index(keys[0])).to_numpy()
-            gram, first = _grams(texts, order)
-            if not keys:
-                found, n = np.unique(gram, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["gram", "n"])
-                continue
-            for k in np.unique(by):
-                rows = np.flatnonzero(by == k)
-                found, n = np.unique(np.concatenate([gram[first[i]:first[i + 1]] for i in rows]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), k)), pa.array(found), pa.array(n)], [*keys, "gram", "n"])
-
-    return docs.mapInArrow(run, "".join(f"{k} long, " for k in keys) + "gram long, n long")
+        for batch, texts in slices(batches, limit=chunk_bytes):
+            gram = _distinct(texts, order)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), _chunk_id(batch, texts))), pa.array(gram)], ["chunk", "gram"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "chunk long, gram long")
+
+
+def _packed(docs: DataFrame, chunk_bytes: int) -> DataFrame:
+    """One row per chunk: its documents' ids, languages, lengths, and their texts as one compressed block."""
+    kind = docs.schema["doc_id"].dataType
+
+    def run(batches):
+        for batch, texts in slices(batches, limit=chunk_bytes):
+            one = lambda name: pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(batch.schema.get_field_index(name)))
+            size = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), pa.array(texts.end - texts.start))
+            blob = pa.compress(texts.data.tobytes(), codec="zstd", asbytes=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_chunk_id(batch, texts)]), one("doc_id"), one("mark"), one("lang"), size, pa.array([blob], pa.binary())],
+                ["chunk", "doc_id", "mark", "lang", "size", "blob"])
+
+    return docs.select("doc_id", "mark", "lang", "text").mapInArrow(
+        run, f"chunk long, doc_id array<{kind.simpleString()}>, mark array<long>, lang array<string>, size array<long>, blob binary")
 
 
 def _discounts(table: DataFrame) -> list[float]:
@@ -99,42 +140,50 @@ def probabilities(wanted: DataFrame, tables: list[tuple[DataFrame, DataFrame]])
 def scored(docs: DataFrame, trusted: DataFrame, order: int = ORDER, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Bytes and log-probability of every text: ``doc_id``, ``mark`` (hash of the text), ``lang``, ``n_bytes``, ``logp``.
 
-    ``docs`` has ``doc_id``, ``text``, ``lang``; ``trusted`` the ids to learn from. Documents are dealt into chunks of about
-    ``chunk_bytes``; a chunk asks for the n-grams it holds, once each, and is brought together with their
-    probabilities. So what moves are the texts, once, and each chunk's distinct n-grams.
+    ``docs`` has ``doc_id``, ``text``, ``lang``; ``trusted`` the ids to learn from. Runs of rows of about ``chunk_bytes``
+    are chunks. A chunk asks for the n-grams it holds, once each, and is brought together with their
+    probabilities: what moves are the compressed texts, once, and each chunk's distinct n-grams. The input is read
+    twice and must come in the same order, as a stored table does; a chunk that changed fails the job.
     """
-    text = F.coalesce("text", F.lit(""))
-    total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    chunks = max(1, -(-total // chunk_bytes))
+    docs = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("mark", F.xxhash64("text"))
     known = docs.join(checked(trusted.select("doc_id"), "trusted"), "doc_id", "left_semi").select("text")
-    tables = model(cut_lineage(_counts(known, order, []).groupBy("gram").agg(F.sum("n").alias("n")), "counts"), order)
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    dealt = docs.select("doc_id", "lang", text.alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"))
-    asked = cut_lineage(_counts(dealt.select("chunk", "text"), order, ["chunk"]).select("chunk", "gram").distinct(), "asked")
-    answers = asked.join(probabilities(asked.select("gram").distinct(), tables), "gram")
+    tables = model(cut_lineage(_counts(known, order), "counts"), order)
+    asked = cut_lineage(_asked(docs, order, chunk_bytes), "asked")
+    answers = asked.join(probabilities(asked.select("gram").distinct(), tables), "gram").select("chunk", F.col("gram"), F.col("logp").cast("float").alias("logp"))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         grams = right["gram"].to_numpy()
         by = np.argsort(grams)
-        grams, logp = grams[by], right["logp"].to_numpy()[by]
+        grams, logp = grams[by], right["logp"].to_numpy()[by].astype(float)
         out = []
-        for batch, texts in slices(left.combine_chunks().to_batches()):
-            gram, first = _grams(texts, order)
-            value = logp[np.searchsorted(grams, gram)] if len(gram) else np.zeros(0)
-            sums = np.concatenate([[0.0], np.cumsum(value)])
-            out.append(pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), batch.column(batch.schema.get_field_index("mark")),
-                 batch.column(batch.schema.get_field_index("lang")), pa.array(texts.end - texts.start), pa.array(sums[first[1:]] - sums[first[:-1]])],
-                ["doc_id", "mark", "lang", "n_bytes", "logp"]))
-        return pa.Table.from_batches(out, out[0].schema) if out else pa.table({
-            "doc_id": left["doc_id"], "mark": left["mark"], "lang": left["lang"], "n_bytes": pa.array([], pa.int64()), "logp": pa.array([], pa.float64())})
-
-    marked = dealt.withColumn("mark", F.xxhash64("text"))
-    return marked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        for row in left.to_batches():
+            for i in range(row.num_rows):
+                one = lambda name: row.column(row.schema.get_field_index(name))[i].values
+                end = np.cumsum(one("size").to_numpy())
+                data = pa.decompress(row.column(row.schema.get_field_index("blob"))[i].as_py(), int(end[-1]), codec="zstd", asbytes=True)
+                texts = Texts(np.frombuffer(data, np.uint8), np.append(0, end[:-1]), end)
+                found = [_sums(part, grams, logp, order) for part in _parts(texts)]
+                out.append(pa.RecordBatch.from_arrays(
+                    [one("doc_id"), one("mark"), one("lang"), one("size"), pa.array(np.concatenate(found))], ["doc_id", "mark", "lang", "n_bytes", "logp"]))
+        return pa.Table.from_batches(out, out[0].schema) if out else pa.table(
+            {n: pa.array([], t) for n, t in (("doc_id", left["doc_id"].type.value_type), ("mark", pa.int64()), ("lang", pa.string()), ("n_bytes", pa.int64()), ("logp", pa.float64()))})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _packed(docs, chunk_bytes).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, f"doc_id {kind}, mark long, lang string, n_bytes long, logp double")
 
 
+def _sums(texts: Texts, grams: np.ndarray, logp: np.ndarray, order: int) -> np.ndarray:
+    gram, first = _grams(texts, order)
+    if not len(gram):
+        return np.zeros(len(texts.start))
+    at = np.minimum(np.searchsorted(grams, gram), max(len(grams) - 1, 0))
+    if not len(grams) or (grams[at] != gram).any():
+        raise ValueError("the input came in another order the second time; store it first")
+    sums = np.concatenate([[0.0], np.cumsum(logp[at])])
+    return sums[first[1:]] - sums[first[:-1]]
+
+
 def _calibration(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 8 == 0
 
