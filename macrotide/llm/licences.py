@@ -55,12 +55,24 @@ def _bounds(size: int, threshold: float) -> tuple[int, int]:
 
 def _units(docs: DataFrame) -> DataFrame:
     """Normalised lines of every text, and the whole of a text with several lines: ``doc_id``, ``unit``, ``bigrams``."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    each = docs.select("doc_id", F.explode(F.when(F.size(lines) > 1, F.concat(lines, F.array("text"))).otherwise(lines)).alias("part"))
-    unit = each.select("doc_id", normalised(F.col("part")).alias("unit"))
+    text = F.coalesce("text", F.lit(""))
+    parts = F.concat(F.split(text, "\n"), F.when(text.contains("\n"), F.array(text)).otherwise(F.array().cast("array<string>")))
+    # Normalised below the explode, so that no later condition repeats that work.
+    unit = docs.select("doc_id", F.explode(F.transform(parts, normalised)).alias("unit"))
     return unit.select("doc_id", "unit", (F.length("unit") - F.length(F.translate("unit", " ", ""))).alias("bigrams"))
 
 
+def _joined(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges of whole numbers as few disjoint ones."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(windows):
+        if out and low <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
 def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Best licence of every document: ``doc_id``, ``licence``, ``dice``, ``n_units`` (lines or whole texts that match).
 
@@ -85,7 +97,7 @@ def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", temp
     grams = F.broadcast(spark.createDataFrame(rows, "template int, licence string, t long, low long, high long, bigram string, tn long"))
 
     fits = F.lit(False)
-    for low, high in sorted(set(windows)):
+    for low, high in _joined(windows):
         fits |= F.col("bigrams").between(low, high)
     near = cut_lineage(_units(docs).where(fits), "units")
     once = near.select("unit", "bigrams").distinct()
