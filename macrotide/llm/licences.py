@@ -53,6 +53,11 @@ def _bounds(size: int, threshold: float) -> tuple[int, int]:
     return -int(-size * threshold / (2 - threshold) // 1), int(size * (2 - threshold) / threshold)
 
 
+def _bigrams(words: Column) -> Column:
+    count = F.size(words) - 1
+    return F.zip_with(F.slice(words, F.lit(1), count), F.slice(words, F.lit(2), count), lambda a, b: F.concat_ws(" ", a, b))
+
+
 def _units(docs: DataFrame) -> DataFrame:
     """Normalised lines of every text, and the whole of a text with several lines: ``doc_id``, ``unit``, ``bigrams``."""
     text = F.coalesce("text", F.lit(""))
@@ -99,11 +104,11 @@ def licences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", temp
     fits = F.lit(False)
     for low, high in _joined(windows):
         fits |= F.col("bigrams").between(low, high)
-    near = cut_lineage(_units(docs).where(fits), "units")
-    once = near.select("unit", "bigrams").distinct()
-    words = F.split("unit", " ")
-    pairs = once.withColumn("w", words).select("unit", "bigrams", F.explode(
-        F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).alias("bigram"))
+    # A unit that reaches the threshold against some template of a fitting size has at least this share of its bigrams in it.
+    known = sorted({bigram for *_, bigram, _ in rows})
+    hits = F.size(F.filter(_bigrams(F.split("unit", " ")), lambda x: x.isin(known)))
+    near = cut_lineage(_units(docs).where(fits).where(hits * (2 - threshold) >= F.col("bigrams") * threshold - 1e-9), "units")
+    pairs = near.select("unit", "bigrams").distinct().select("unit", "bigrams", F.explode(_bigrams(F.split("unit", " "))).alias("bigram"))
     common = (pairs.join(grams, (pairs["bigram"] == grams["bigram"]) & F.col("bigrams").between(F.col("low"), F.col("high")))
               .groupBy("unit", "bigrams", "template", "licence", "t", grams["bigram"], "tn").agg(F.count("*").alias("n"))
               .groupBy("unit", "bigrams", "template", "licence", "t").agg(F.sum(F.least("n", "tn")).alias("both")))
