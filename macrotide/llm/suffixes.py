@@ -13,7 +13,8 @@ from macrotide.llm.text import Rolling, mix, slices
 from macrotide.session import cut_lineage
 
 LENGTH, GRAM = 200, 24
-SHARD_BYTES, HOT_CONTEXTS, LISTED_TEXTS = 4 << 20, 16_000, 100_000
+SHARD_BYTES, HOT_CONTEXTS, LISTED_TEXTS = 2 << 20, 16_000, 100_000
+SCAN_BYTES = 1 << 20  # texts hashed at a time: a worker holds some hundred bytes per byte of it
 
 
 # ---- one shard -------------------------------------------------------------------------------------------------------
@@ -158,7 +159,7 @@ def _places(texts: DataFrame, length: int, gram: int) -> DataFrame:
     ``place`` packs the first start the anchor stands for, how many follow, and where the anchor lies.
     """
     def run(batches):
-        for batch, part in slices(batches):
+        for batch, part in slices(batches, limit=SCAN_BYTES):
             owner, at, h, first, last = anchors(part, length, gram)
             key = batch.column(batch.schema.get_field_index("key")).to_numpy()[owner]
             context = Rolling(part.data).between(first, last + length) ^ mix((at - first).astype(np.uint64))
@@ -241,8 +242,8 @@ def _by_hash(contexts: DataFrame, length: int) -> DataFrame:
     """The same for anchors too frequent for one shard: their strings are counted by two 64-bit hashes, combined before the shuffle."""
     def run(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 4096):
-                part = batch.slice(i, 4096)
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024)
                 column = part.column(part.schema.get_field_index("bytes")).cast(pa.large_binary())
                 offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
                 data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
