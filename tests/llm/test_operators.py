@@ -247,6 +247,51 @@ def test_licences(docs):
     assert got == {k: (pytest.approx(v[0]), v[1], v[2]) for k, v in want.items()} and got[78][1] == "MIT"
 
 
+def test_licence_windows(spark):
+    def tokens(t):
+        return re.sub(r"[^a-z0-9]+", " ", t.lower()).split()
+
+    def brute(text):
+        w, best = tokens(text), (0.0, None)
+        for name, t in (*licences.TEMPLATES, *[f for f in licences.FULL_TEXTS if f[0] == "MIT"]):
+            want = tokens(t)
+            bag, size = Counter(zip(want, want[1:])), len(want) - 1
+            for i in range(len(w) - 1):
+                mine, both = Counter(), 0
+                for j in range(i, min(len(w) - 1, i + int(1.5 * size))):
+                    pair = (w[j], w[j + 1])
+                    mine[pair] += 1
+                    both += mine[pair] <= bag[pair]
+                    score = 2 * both / (j - i + 1 + size)
+                    if score >= licences.THRESHOLD:
+                        best = min(best, (-score, name), key=lambda x: (x[0], x[1] or "~"))
+        return best
+
+    fill = " ".join(f"word{i}" for i in range(150))
+    full = dict(licences.FULL_TEXTS)
+    texts = {
+        1: f"# {fill}\nThis program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+           f"the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n{fill}",
+        2: f"{fill} Licensed under the Apache License, Version 2.0 {fill}",
+        3: f"{fill}\n{full['MIT']}\n{fill}",
+        4: f"{fill} This Source Code Form, here and now, is subject to the terms of the the terms of the Mozilla Public License, v. 2.0 {fill}",
+        5: fill, 6: None,
+        7: "Licensed under CC BY",
+        8: "Licensed under CC BY NC licensed under CC BY NC licensed under CC BY NC",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (-r["dice"], r["licence"]) for r in licences.licences(df, full_texts=[("MIT", full["MIT"])]).collect()}
+    assert got == {k: (pytest.approx(score), name) for k, (score, name) in ((k, brute(t or "")) for k, t in texts.items())}
+    assert [got[k][1] for k in (1, 2, 3, 5)] == ["GPL-3.0", "Apache-2.0", "MIT", None]
+
+
+def test_full_licences(spark):
+    fill = " ".join(f"word{i}" for i in range(150))
+    df = spark.createDataFrame([(name, f"{fill}\n{text}\n{fill}") for name, text in licences.FULL_TEXTS], "doc_id string, text string")
+    got = licences.licences(df, templates=licences.TEMPLATES[:1]).collect()
+    assert len(got) == 6 and all(r["licence"] == r["doc_id"] and r["dice"] == 1 for r in got)
+
+
 # ---- rules -----------------------------------------------------------------------------------------------------------
 
 
