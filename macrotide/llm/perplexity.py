@@ -13,7 +13,7 @@ from macrotide.llm.sides import checked
 from macrotide.llm.text import SLICE_BYTES, Texts, slices
 from macrotide.session import cut_lineage
 
-ORDER, CHUNK_BYTES, QUANTILE, SLACK, LEAST_CALIBRATION = 4, 32 << 20, 0.995, 0.25, 50
+ORDER, CHUNK_BYTES, QUANTILE, WINDOW, LEAST_CALIBRATION = 4, 32 << 20, 0.995, 64, 50
 
 
 def _grams(texts: Texts, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +138,8 @@ def probabilities(wanted: DataFrame, tables: list[tuple[DataFrame, DataFrame]])
 
 
 def scored(docs: DataFrame, trusted: DataFrame, order: int = ORDER, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Bytes and log-probability of every text: ``doc_id``, ``mark`` (hash of the text), ``lang``, ``n_bytes``, ``logp``.
+    """Bytes and log-probability of every text: ``doc_id``, ``mark`` (hash of the text), ``lang``, ``n_bytes``, ``logp``,
+    ``spread`` (standard deviation of the log-probability a byte over all windows of 64 bytes).
 
     ``docs`` has ``doc_id``, ``text``, ``lang``; ``trusted`` the ids to learn from. Runs of rows of about ``chunk_bytes``
     are chunks. A chunk asks for the n-grams it holds, once each, and is brought together with their
@@ -164,24 +165,37 @@ def scored(docs: DataFrame, trusted: DataFrame, order: int = ORDER, chunk_bytes:
                 texts = Texts(np.frombuffer(data, np.uint8), np.append(0, end[:-1]), end)
                 found = [_sums(part, grams, logp, order) for part in _parts(texts)]
                 out.append(pa.RecordBatch.from_arrays(
-                    [one("doc_id"), one("mark"), one("lang"), one("size"), pa.array(np.concatenate(found))], ["doc_id", "mark", "lang", "n_bytes", "logp"]))
+                    [one("doc_id"), one("mark"), one("lang"), one("size"), *(pa.array(np.concatenate(x)) for x in zip(*found))],
+                    ["doc_id", "mark", "lang", "n_bytes", "logp", "spread"]))
         return pa.Table.from_batches(out, out[0].schema) if out else pa.table(
-            {n: pa.array([], t) for n, t in (("doc_id", left["doc_id"].type.value_type), ("mark", pa.int64()), ("lang", pa.string()), ("n_bytes", pa.int64()), ("logp", pa.float64()))})
+            {n: pa.array([], t) for n, t in (("doc_id", left["doc_id"].type.value_type), ("mark", pa.int64()), ("lang", pa.string()), ("n_bytes", pa.int64()), ("logp", pa.float64()), ("spread", pa.float64()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return _packed(docs, chunk_bytes).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        score, f"doc_id {kind}, mark long, lang string, n_bytes long, logp double")
+        score, f"doc_id {kind}, mark long, lang string, n_bytes long, logp double, spread double")
 
 
-def _sums(texts: Texts, grams: np.ndarray, logp: np.ndarray, order: int) -> np.ndarray:
+def _sums(texts: Texts, grams: np.ndarray, logp: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of every text, and its spread over windows."""
     gram, first = _grams(texts, order)
     if not len(gram):
-        return np.zeros(len(texts.start))
+        return np.zeros(len(texts.start)), np.zeros(len(texts.start))
     at = np.minimum(np.searchsorted(grams, gram), max(len(grams) - 1, 0))
     if not len(grams) or (grams[at] != gram).any():
         raise ValueError("the input came in another order the second time; store it first")
     sums = np.concatenate([[0.0], np.cumsum(logp[at])])
-    return sums[first[1:]] - sums[first[:-1]]
+    return sums[first[1:]] - sums[first[:-1]], _spread(sums, first)
+
+
+def _spread(sums: np.ndarray, first: np.ndarray, width: int = WINDOW) -> np.ndarray:
+    """Standard deviation over all windows of ``width`` bytes of each text; 0 for a text without two of them."""
+    many = np.maximum(np.diff(first) - width + 1, 0)
+    row = np.repeat(np.arange(len(many)), many)
+    start = first[row] + np.arange(len(row)) - (np.cumsum(many) - many)[row]
+    mean = (sums[start + width] - sums[start]) / width
+    least = np.maximum(many, 1)
+    centre = np.bincount(row, mean, len(many)) / least
+    return np.sqrt(np.bincount(row, (mean - centre[row]) ** 2, len(many)) / least)
 
 
 def _calibration(id_col: Column) -> Column:
@@ -189,16 +203,17 @@ def _calibration(id_col: Column) -> Column:
 
 
 def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            quantile: float = QUANTILE, slack: float = SLACK, order: int = ORDER) -> DataFrame:
-    """Perplexity of every text, and whether it is within its language's limit.
+            quantile: float = QUANTILE, order: int = ORDER) -> DataFrame:
+    """Perplexity of every text, its spread over windows, and whether both are within their language's limits.
 
     Returns ``doc_id``, ``mark`` (hash of the text, to tell rows that share an id), ``n_bytes``, ``perplexity``, ``limit``,
-    ``kept``. Trusted texts are those labelled good (``quality`` 1 in every label); seven eighths of them train the
-    model, the rest set the limits: the ``quantile`` of their log-perplexity in a language, widened by ``slack`` times its
-    distance from the median. A language with under 50 of them, or none (NULL), takes the limit over all.
+    ``spread``, ``spread_limit``, ``kept``. Trusted texts are those labelled good (``quality`` 1 in every label); seven
+    eighths of them train the model, the rest set the limits: the ``quantile`` of their log-perplexity in a language, and
+    that of their spread. Words said over and over are each likely or unlikely for whole windows: the mean may be usual,
+    the spread is not. A language with under 50 of them, or none (NULL), takes the limits over all.
 
-    NULL and empty texts have no perplexity and are not kept. Without trusted text nothing is learned: perplexity and
-    limit are NULL and every other text is kept. Rows are judged each by their own text; an empty input
+    NULL and empty texts have no perplexity and are not kept. Without trusted text nothing is learned: perplexity, spread
+    and limits are NULL and every other text is kept. Rows are judged each by their own text; an empty input
     gives an empty result; other columns are not read.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
@@ -207,13 +222,15 @@ def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = cut_lineage(scored(docs, trusted.where(~_calibration(F.col("doc_id"))), order).withColumn(
         "loss", F.when(F.col("n_bytes") > 0, -F.col("logp") / F.col("n_bytes"))), "scored")
     tried = rows.where("n_bytes > 0").join(checked(trusted.where(_calibration(F.col("doc_id"))), "calibration"), "doc_id", "left_semi")
-    spread = [F.percentile_approx("loss", [0.5, quantile], 10_000).alias("q"), F.count("*").alias("n")]
-    limit = F.col("q")[1] + slack * (F.col("q")[1] - F.col("q")[0])
-    own = tried.where("lang is not null").groupBy("lang").agg(*spread).where(F.col("n") >= LEAST_CALIBRATION).select("lang", limit.alias("own"))
-    pooled = tried.agg(*spread).select(limit.alias("pooled")).first()[0]
+    limits = [F.percentile_approx(c, quantile, 10_000) for c in ("loss", "spread")]
+    own = tried.where("lang is not null").groupBy("lang").agg(
+        limits[0].alias("own"), limits[1].alias("own_spread"), F.count("*").alias("n")).where(F.col("n") >= LEAST_CALIBRATION).drop("n")
+    pooled, pooled_spread = tried.agg(*limits).first()
     learned = pooled is not None
-    judged = rows.join(own, "lang", "left").withColumn("limit", F.coalesce("own", F.lit(pooled).cast("double")))
-    good = (F.col("loss") <= F.col("limit")) if learned else F.lit(True)
+    judged = (rows.join(own, "lang", "left").withColumn("limit", F.coalesce("own", F.lit(pooled).cast("double")))
+              .withColumn("spread_limit", F.coalesce("own_spread", F.lit(pooled_spread).cast("double"))))
+    good = ((F.col("loss") <= F.col("limit")) & (F.col("spread") <= F.col("spread_limit"))) if learned else F.lit(True)
     return judged.select(
         "doc_id", "mark", "n_bytes", F.when(F.lit(learned), F.exp("loss")).alias("perplexity"), F.exp("limit").alias("limit"),
+        F.when(F.lit(learned) & (F.col("n_bytes") > 0), F.col("spread")).alias("spread"), "spread_limit",
         ((F.col("n_bytes") > 0) & F.coalesce(good, F.lit(False))).alias("kept"))

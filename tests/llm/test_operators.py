@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 
 from macrotide.llm import anomaly, exact, langid, licences, mixing, neardup, packing, perplexity, suffixes, toxicity
-from tests.llm.data import LABELS, SCHEMA, documents, labels
+from tests.llm.data import LABELS, SCHEMA, documents, labels, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ROWS = documents()
@@ -212,6 +213,24 @@ def test_quality_by_perplexity(docs, marks):
     assert all(not by[i]["kept"] and by[i]["perplexity"] is None for i in (70, 71, 73))
 
 
+def test_quality_of_repeated_words(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, rng.randint(60, 200)), "en") for i in range(450)]
+    again = [(1000 + i, " ".join(w for w in rng.sample(["the", "and", "on", "ing", "er", "ly"], 4) for _ in range(20)), "en") for i in range(10)]
+    marks = spark.createDataFrame([(r[0], int(r[0] < 1000), 0, 0.0) for r in rows + again], LABELS)
+    out = perplexity.quality(spark.createDataFrame(rows + again, "doc_id long, text string, lang string").coalesce(2).cache(), marks).collect()
+    assert not any(r["kept"] for r in out if r["doc_id"] >= 1000)
+    assert all(r["perplexity"] <= r["limit"] for r in out if r["doc_id"] >= 1000)  # the mean does not tell
+    assert sum(r["kept"] for r in out if r["doc_id"] < 1000) > 0.95 * 450  # two limits, each the largest of some 56 rows
+
+
+def test_spread_over_windows():
+    rng = np.random.default_rng(2)
+    sums, first = np.concatenate([[0.0], np.cumsum(rng.normal(size=400))]), np.array([0, 0, 70, 100, 164, 400])
+    want = [np.std([(sums[i + 64] - sums[i]) / 64 for i in range(a, b - 63)]) if b - a >= 64 else 0.0 for a, b in zip(first, first[1:])]
+    assert perplexity._spread(sums, first) == pytest.approx(want)
+
+
 def test_quality_without_labels(docs, marks):
     out = perplexity.quality(docs, marks.where("false")).collect()
     assert all(r["kept"] == (r["n_bytes"] > 0) and r["perplexity"] is None for r in out)
