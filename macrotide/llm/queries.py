@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macrotide.llm import anomaly, exact, langid, licences, mixing, neardup, packing, perplexity, suffixes, toxicity
+from macrotide.llm import anomaly, exact, langid, licences, mixing, neardup, packing, periodic, perplexity, sketches, spelling, suffixes, toxicity
+from macrotide.llm.text import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -126,3 +127,87 @@ def texts_without_repeats(spark: SparkSession, sf: str) -> DataFrame:
     found = suffixes.without_repeats(table(spark, sf, "documents"), length=200)
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+CRC_SQL = """(SELECT list_transform(range(256), lambda n: list_reduce([n] || range(8), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps)"""
+
+
+def crc32_sql(octets: str, steps: str) -> str:
+    """CRC-32 of a list of byte values, with the table of 256 steps that CRC_SQL derives."""
+    return (f"xor(list_reduce([4294967295::BIGINT] || {octets}, lambda c, b: xor(c >> 8, {steps}[xor(c & 255, b) + 1])), 4294967295)")
+
+
+@query("op11_spelling_variants", f"""
+WITH t AS {CRC_SQL},
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+k AS (SELECT doc_id, run, count(*) AS k FROM r GROUP BY ALL),
+o AS (SELECT run, k, list_transform(string_split(doc_id || ':' || run, ''), lambda c: ord(c)::BIGINT) AS points FROM k),
+e AS (SELECT run, k, len(run) AS m, {crc32_sql("flatten(list_transform(points, lambda p: CASE WHEN p < 128 THEN [p] ELSE [192 + (p >> 6), 128 + (p & 63)] END))", "steps")} AS h FROM o, t),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % m) || substr(run, h % m + 2) ELSE run END AS word, k FROM e),
+v AS (SELECT word, sum(k)::BIGINT AS n FROM w GROUP BY word HAVING len(word) >= 6 AND sum(k) >= 5),
+a AS (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM v),
+x AS (SELECT word, n, left(word, i - 1) || '*' || substr(word, i + 1) AS one, left(word, i - 1) || substr(word, i + 1) AS less FROM a),
+p AS (SELECT DISTINCT * FROM (
+  SELECT l.word, l.n, r.word AS near, r.n AS near_n FROM x l JOIN x r ON l.one = r.one AND l.word <> r.word
+  UNION ALL SELECT x.word, x.n, v.word, v.n FROM x JOIN v ON x.less = v.word
+  UNION ALL SELECT v.word, v.n, x.word, x.n FROM x JOIN v ON x.less = v.word)),
+b AS (SELECT word, count(*) AS n_near, max(near_n) AS near_n, arg_min(near, (-near_n, encode(near))) AS near FROM p GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form,
+             CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n FROM v LEFT JOIN b USING (word)),
+c AS (WITH RECURSIVE c(word, root, depth) AS (SELECT word, word, 0 FROM f UNION ALL SELECT c.word, f.form, depth + 1 FROM c JOIN f ON c.root = f.word WHERE f.form IS NOT NULL)
+      SELECT word, arg_max(root, depth) AS root FROM c GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN c USING (word)""")
+def spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    runs = spelling.runs(table(spark, sf, "documents"))
+    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")))
+    at = (h % F.length("run")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    return spelling.variants(spelling.vocabulary(runs, F.when(h % 199 == 0, cut).otherwise(F.col("run")))).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_document_fingerprints")
+def document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return sketches.fingerprints(table(spark, sf, "documents"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which every tenth repeats a stretch of its words up to its end: ``doc_id``, ``text``."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    n = F.size(words)
+    g = F.floor(h / 10)
+    some = docs.select("doc_id", "text", n.alias("n"), g.alias("g"), h.alias("h")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    some = some.withColumn("p", F.floor(1 + rest / (3 + F.col("g") % 8)).cast("int"))
+    again = F.slice(F.flatten(F.array_repeat(F.slice(words, F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    edited = F.array_join(F.concat(F.slice(words, F.lit(1), F.col("a")), again), " ")
+    return some.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), edited).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs", rf"""
+WITH t AS {CRC_SQL},
+d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^ 	-
+]+'), []) AS w,
+             {crc32_sql("list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)", "steps")} AS h FROM documents, t),
+g AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+q AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM g),
+e AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w[CASE WHEN i >= a THEN a + (i - a) % p ELSE i END + 1]) ELSE w END AS w FROM q),
+o AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM e),
+m AS (SELECT l.doc_id, r.i - l.i AS lag, l.i AS i FROM o l JOIN o r ON l.doc_id = r.doc_id AND l.word = r.word AND r.i > l.i AND 2 * (r.i - l.i) <= l.n),
+s AS (SELECT doc_id, lag, min(i) AS start, count(*) AS m FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, lag ORDER BY i) AS island FROM m) GROUP BY doc_id, lag, island),
+u AS (SELECT doc_id, start, m + lag AS length, min(lag) AS period FROM s WHERE m >= lag AND m + lag >= 12 GROUP BY ALL),
+x AS (SELECT doc_id, count(*) AS n_runs, arg_max(struct_pack(start := start, length := length, period := period), (length, -start, -period)) AS best,
+             string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM u GROUP BY doc_id),
+z AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM u),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM o ANTI JOIN z USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+       1000 * best.length // best.period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM e LEFT JOIN x USING (doc_id) LEFT JOIN k USING (doc_id)""")
+def periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_periods(table(spark, sf, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"], F.lit("\n")))), "")
+    length, period = best["length"], -best["period"]
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-best["start"]).alias("start"), length.alias("length"), period.alias("period"),
+                        F.floor(1000 * length / period).alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
