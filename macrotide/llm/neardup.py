@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import comb
 from operator import add
 
 import numpy as np
@@ -16,7 +17,7 @@ from macrotide.llm.text import mix, seeds, shingles, slices
 from macrotide.session import cut_lineage
 
 COORDINATES = 48
-MATCHES = 24
+MISSED = 1e-6  # share of pairs at the similarity itself that may have too few equal coordinates
 HEADS, ROUNDS, CLASSES = 4, 6, 32
 
 
@@ -29,8 +30,20 @@ def _sets(table, width):
         yield batch, np.concatenate(parts) if parts else h, n
 
 
+def matches_for(percent: int, coordinates: int = COORDINATES) -> int:
+    """Equal coordinates to ask for, so that a pair at ``percent`` is missed less than once in a million; too low a similarity is refused."""
+    p, below = percent / 100, 0.0
+    for k in range(coordinates + 1):
+        below += comb(coordinates, k) * p ** k * (1 - p) ** (coordinates - k)
+        if below > MISSED:
+            if k < 2:
+                raise ValueError(f"{coordinates} coordinates cannot tell pairs at {percent} per cent")
+            return k
+    return coordinates
+
+
 def signatures(docs: DataFrame, width: int, coordinates: int = COORDINATES) -> DataFrame:
-    """``doc_id``, set size, a 128-bit key of the set, and the smallest value under each hash function."""
+    """``doc_id``, ``mark`` (of the text), set size, a 128-bit key of the set, and the smallest value under each hash function."""
     times, plus = seeds(coordinates, 11), seeds(coordinates, 12)
 
     def run(batches):
@@ -47,10 +60,10 @@ def signatures(docs: DataFrame, width: int, coordinates: int = COORDINATES) -> D
             lists = pa.ListArray.from_arrays(
                 np.arange(0, (len(n) + 1) * coordinates, coordinates, dtype=np.int32), pa.array(sig.ravel().view(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), lists],
-                ["doc_id", "n_shingles", "key_a", "key_b", "sig"])
+                [batch.column(0), batch.column(1), pa.array(n), pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), lists],
+                ["doc_id", "mark", "n_shingles", "key_a", "key_b", "sig"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, "
+    return docs.select("doc_id", "mark", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, mark long, n_shingles long, "
                                 "key_a long, key_b long, sig array<int>")
 
 
@@ -61,7 +74,7 @@ def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(border, pa.array(flat.view(np.int64)))], ["doc_id", "items"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, items array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, items array<long>")
 
 
 def posted(sigs: DataFrame, matches: int) -> DataFrame:
@@ -126,19 +139,24 @@ def _able(marked: DataFrame, sets: DataFrame, percent: int, passes: int = 3) ->
     return now
 
 
-def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int = 80, matches: int = MATCHES,
+def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int = 80, matches: int | None = None,
           heads: int = HEADS, rounds: int = ROUNDS) -> DataFrame:
-    """Confirmed links between components of documents that are enough to tell every component: ``u``, ``v``.
+    """Confirmed links between components of sets that are enough to tell every component: ``u``, ``v``.
+
+    ``sigs`` has one row per distinct set: its number ``doc_id``, ``sig``, and id and ``mark`` of a document that has it
+    (``head``, ``mark``), whose text gives the whole set.
 
-    In each round every document of an inverted list is held against a few heads of the list, which a hash
+    In each round every set of an inverted list is held against a few heads of the list, which a hash
     that changes with the round picks, unless links already join the two. So a large group of copies closes
-    with a number of tests in proportion to its size. What is left after the rounds are documents outside a
-    list's main component: those whose sets can still reach the similarity are tested pair by pair.
+    with a number of tests in proportion to its size. What is left after the rounds are sets outside a
+    list's main component: those that can still reach the similarity are tested pair by pair.
     """
+    matches = matches_for(percent) if matches is None else matches
     post = cut_lineage(posted(sigs, matches), "posted")
-    ids = checked(post.select("doc_id").distinct(), "posted-ids")
-    sets = cut_lineage(_whole_sets(docs.join(ids, "doc_id", "left_semi").repartition(F.xxhash64("doc_id")), width), "sets")
-    near = cut_lineage(sigs.join(ids, "doc_id", "left_semi").select("doc_id", "sig"), "near")
+    ids = checked(sigs.select("doc_id", "head", "mark").join(post.select("doc_id").distinct(), "doc_id", "left_semi"), "posted-ids")
+    texts = docs.withColumnRenamed("doc_id", "head").join(ids, ["head", "mark"]).select("doc_id", "text")
+    sets = cut_lineage(_whole_sets(texts.repartition(F.xxhash64("doc_id")), width), "sets")
+    near = cut_lineage(sigs.join(ids.select("doc_id"), "doc_id", "left_semi").select("doc_id", "sig"), "near")
 
     def tested(pairs: DataFrame) -> DataFrame:
         ordered = pairs.where("u <> v").select(
@@ -188,21 +206,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     document; rows without an id link with nothing, have a NULL component and are kept. Other columns of
     the input are not read.
 
-    Candidates come from signatures: at similarity 0.8 a pair misses the threshold of 24 equal coordinates
-    of 48 once in ten million; every candidate is confirmed on whole sets of 64-bit shingle hashes.
-    Building the result runs jobs that write intermediates to the shared folder.
+    Candidates come from signatures of 48 coordinates: as many must be equal as a pair at the similarity misses less than once in
+    a million (24 at 80 per cent; 29 per cent and less are refused). Every candidate is confirmed on whole sets of
+    64-bit shingle hashes. Each distinct set is compared under a number of its own, so an id on several rows
+    brings the links of all its texts. Building the result runs jobs that write intermediates to the shared folder.
     """
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
     sigs = cut_lineage(signatures(docs, width), "signatures")
     some = sigs.where("n_shingles > 0 and doc_id is not null")
-    heads = cut_lineage(some.groupBy("key_a", "key_b", "n_shingles").agg(
-        F.min("doc_id").alias("head"), F.first("sig").alias("sig")), "sets-heads")
-    one = heads.groupBy(F.col("head").alias("doc_id")).agg(F.first("sig").alias("sig"), F.count("*").alias("n"))
-    found = components(links(docs, one.select("doc_id", "sig"), width, percent)
-                       .unionByName(_shared_ids(some, heads)))
     keys = ["key_a", "key_b", "n_shingles"]
-    groups = heads.join(found.withColumnRenamed("node", "head"), "head", "left").select(
-        *keys, F.coalesce("component", "head").alias("component"))
+    heads = cut_lineage(some.groupBy(*keys).agg(F.min(F.struct("doc_id", "mark")).alias("one"), F.first("sig").alias("sig")).select(
+        *keys, "one.doc_id", "one.mark", "sig", F.monotonically_increasing_id().alias("node")), "sets-heads")
+    numbered = heads.select(F.col("node").alias("doc_id"), F.col("doc_id").alias("head"), "mark", "sig")
+    found = cut_lineage(components(links(docs, numbered, width, percent).unionByName(_shared_ids(some, heads))), "found")
+    least = found.join(heads.select("node", "doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("least"))
+    groups = heads.join(found.join(least, "component").select("node", "least"), "node", "left").select(
+        *keys, F.coalesce("least", "doc_id").alias("component"))
     return (sigs.join(groups, keys, "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNull(), None).otherwise(
                 F.coalesce("component", "doc_id")).alias("component_id"))
@@ -210,8 +229,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _shared_ids(some: DataFrame, heads: DataFrame) -> DataFrame:
-    """Links between sets that one id carries (an id on several rows with different texts)."""
-    twice = some.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    """Links between the sets of one id (an id on several rows with different texts): ``u``, ``v``, each to the first of them."""
     keys = ["key_a", "key_b", "n_shingles"]
-    return some.join(twice, "doc_id").join(heads.select(*keys, "head"), keys).where("doc_id <> head").select(
-        F.col("doc_id").alias("u"), F.col("head").alias("v")).distinct()
+    twice = some.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    held = some.join(twice, "doc_id").join(heads.select(*keys, "node"), keys).select("doc_id", "node").distinct()
+    first = held.groupBy("doc_id").agg(F.min("node").alias("v"))
+    return held.join(first, "doc_id").where("node <> v").select(F.col("node").alias("u"), "v").distinct()

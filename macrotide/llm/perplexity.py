@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from macrotide.llm.sides import checked
 from macrotide.llm.text import SLICE_BYTES, Texts, slices
-from macrotide.session import cut_lineage
+from macrotide.session import cut_lineage, scratch_path
 
 ORDER, CHUNK_BYTES, QUANTILE, WINDOW, LEAST_CALIBRATION = 4, 32 << 20, 0.995, 64, 50
 
@@ -54,25 +54,29 @@ def _counts(docs: DataFrame, order: int) -> DataFrame:
     return docs.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _chunk_id(batch: pa.RecordBatch, texts: Texts) -> int:
-    digest = hashlib.blake2b(texts.data.tobytes(), digest_size=8)
-    digest.update(str(batch.column(batch.schema.get_field_index("doc_id")).to_pylist()).encode())
-    digest.update(texts.end.tobytes())
-    return int.from_bytes(digest.digest(), "big", signed=True)
+def _unpacked(row: pa.RecordBatch, i: int) -> Texts:
+    """Texts of a stored chunk."""
+    end = np.cumsum(row.column(row.schema.get_field_index("size"))[i].values.to_numpy())
+    data = pa.decompress(row.column(row.schema.get_field_index("blob"))[i].as_py(), int(end[-1]), codec="zstd", asbytes=True)
+    return Texts(np.frombuffer(data, np.uint8), np.append(0, end[:-1]), end)
 
 
-def _asked(docs: DataFrame, order: int, chunk_bytes: int) -> DataFrame:
+def _asked(chunks: DataFrame, order: int) -> DataFrame:
     """Distinct n-grams of every chunk: ``chunk``, ``gram``."""
     def run(batches):
-        for batch, texts in slices(batches, limit=chunk_bytes):
-            gram = _distinct(texts, order)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), _chunk_id(batch, texts))), pa.array(gram)], ["chunk", "gram"])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                gram = _distinct(_unpacked(batch, i), order)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), batch.column(0)[i].as_py())), pa.array(gram)], ["chunk", "gram"])
+
+    return chunks.select("chunk", "size", "blob").mapInArrow(run, "chunk long, gram long")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "chunk long, gram long")
 
+def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
+    """One stored row per chunk: its documents' ids, marks, languages, lengths, and their texts as one compressed block.
 
-def _packed(docs: DataFrame, chunk_bytes: int) -> DataFrame:
-    """One row per chunk: its documents' ids, languages, lengths, and their texts as one compressed block."""
+    Stored in buckets of ``chunk``, so that bringing answers to a chunk moves the answers only.
+    """
     kind = docs.schema["doc_id"].dataType
 
     def run(batches):
@@ -81,11 +85,16 @@ def _packed(docs: DataFrame, chunk_bytes: int) -> DataFrame:
             size = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), pa.array(texts.end - texts.start))
             blob = pa.compress(texts.data.tobytes(), codec="zstd", asbytes=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_chunk_id(batch, texts)]), one("doc_id"), one("mark"), one("lang"), size, pa.array([blob], pa.binary())],
-                ["chunk", "doc_id", "mark", "lang", "size", "blob"])
+                [one("doc_id"), one("mark"), one("lang"), size, pa.array([blob], pa.binary())], ["doc_id", "mark", "lang", "size", "blob"])
 
-    return docs.select("doc_id", "mark", "lang", "text").mapInArrow(
-        run, f"chunk long, doc_id array<{kind.simpleString()}>, mark array<long>, lang array<string>, size array<long>, blob binary")
+    rows = docs.select("doc_id", "mark", "lang", "text").mapInArrow(
+        run, f"doc_id array<{kind.simpleString()}>, mark array<long>, lang array<string>, size array<long>, blob binary")
+    spark, name = docs.sparkSession, f"chunks_{uuid.uuid4().hex}"
+    rows.select(F.monotonically_increasing_id().alias("chunk"), "*").write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").option(
+        "path", scratch_path(spark, "chunks")).saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files stay in the shared folder
+    return stored
 
 
 def _discounts(table: DataFrame) -> list[float]:
@@ -142,14 +151,14 @@ def scored(docs: DataFrame, trusted: DataFrame, order: int = ORDER, chunk_bytes:
     ``spread`` (standard deviation of the log-probability a byte over all windows of 64 bytes).
 
     ``docs`` has ``doc_id``, ``text``, ``lang``; ``trusted`` the ids to learn from. Runs of rows of about ``chunk_bytes``
-    are chunks. A chunk asks for the n-grams it holds, once each, and is brought together with their
-    probabilities: what moves are the compressed texts, once, and each chunk's distinct n-grams. The input is read
-    twice and must come in the same order, as a stored table does; a chunk that changed fails the job.
+    are stored as chunks, in whatever order the rows come. A chunk asks for the n-grams it holds, once each, and is
+    brought together with their probabilities: what moves are each chunk's distinct n-grams.
     """
     docs = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("mark", F.xxhash64("text"))
     known = docs.join(checked(trusted.select("doc_id"), "trusted"), "doc_id", "left_semi").select("text")
     tables = model(cut_lineage(_counts(known, order), "counts"), order)
-    asked = cut_lineage(_asked(docs, order, chunk_bytes), "asked")
+    chunks = _chunks(docs, chunk_bytes)
+    asked = cut_lineage(_asked(chunks, order), "asked")
     answers = asked.join(probabilities(asked.select("gram").distinct(), tables), "gram").select("chunk", F.col("gram"), F.col("logp").cast("float").alias("logp"))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -160,10 +169,7 @@ def scored(docs: DataFrame, trusted: DataFrame, order: int = ORDER, chunk_bytes:
         for row in left.to_batches():
             for i in range(row.num_rows):
                 one = lambda name: row.column(row.schema.get_field_index(name))[i].values
-                end = np.cumsum(one("size").to_numpy())
-                data = pa.decompress(row.column(row.schema.get_field_index("blob"))[i].as_py(), int(end[-1]), codec="zstd", asbytes=True)
-                texts = Texts(np.frombuffer(data, np.uint8), np.append(0, end[:-1]), end)
-                found = [_sums(part, grams, logp, order) for part in _parts(texts)]
+                found = [_sums(part, grams, logp, order) for part in _parts(_unpacked(row, i))]
                 out.append(pa.RecordBatch.from_arrays(
                     [one("doc_id"), one("mark"), one("lang"), one("size"), *(pa.array(np.concatenate(x)) for x in zip(*found))],
                     ["doc_id", "mark", "lang", "n_bytes", "logp", "spread"]))
@@ -171,7 +177,7 @@ def scored(docs: DataFrame, trusted: DataFrame, order: int = ORDER, chunk_bytes:
             {n: pa.array([], t) for n, t in (("doc_id", left["doc_id"].type.value_type), ("mark", pa.int64()), ("lang", pa.string()), ("n_bytes", pa.int64()), ("logp", pa.float64()), ("spread", pa.float64()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _packed(docs, chunk_bytes).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, f"doc_id {kind}, mark long, lang string, n_bytes long, logp double, spread double")
 
 
@@ -180,10 +186,7 @@ def _sums(texts: Texts, grams: np.ndarray, logp: np.ndarray, order: int) -> tupl
     gram, first = _grams(texts, order)
     if not len(gram):
         return np.zeros(len(texts.start)), np.zeros(len(texts.start))
-    at = np.minimum(np.searchsorted(grams, gram), max(len(grams) - 1, 0))
-    if not len(grams) or (grams[at] != gram).any():
-        raise ValueError("the input came in another order the second time; store it first")
-    sums = np.concatenate([[0.0], np.cumsum(logp[at])])
+    sums = np.concatenate([[0.0], np.cumsum(logp[np.searchsorted(grams, gram)])])
     return sums[first[1:]] - sums[first[:-1]], _spread(sums, first)
 
 

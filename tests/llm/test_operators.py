@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from macrotide.llm import anomaly, exact, langid, licences, mixing, neardup, packing, perplexity, suffixes, toxicity
 from tests.llm.data import LABELS, SCHEMA, documents, labels, prose
@@ -163,6 +164,28 @@ def test_large_group_of_copies_closes(spark):
     assert sorted(rows_of(neardup.near_duplicates(df, width=4))) == sorted(brute_near(rows, 4))
 
 
+@pytest.mark.parametrize("parts", [2, 3, 5, 8])
+def test_near_copies_of_every_text_of_an_id(spark, parts):
+    rng = random.Random(6)
+    texts = [prose(rng, 200) for _ in range(3)]
+    rows = [(1, t) for t in texts] + [(2 + i, t.replace(" ", " edit ", 1)) for i, t in enumerate(texts)] + [(9, prose(rng, 50)), (8, texts[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = rows_of(neardup.near_duplicates(df))
+    assert sorted(got) == sorted(brute_near(rows, 5)) and {i: c for i, _, c, _ in got} == {1: 1, 2: 1, 3: 1, 4: 1, 8: 1, 9: 9}
+
+
+def test_matches_follow_the_similarity(spark):
+    assert neardup.matches_for(80) == 24 and neardup.matches_for(60) < 20
+    with pytest.raises(ValueError):
+        neardup.matches_for(20)
+    rng, rows = random.Random(7), []
+    for i in range(60):
+        base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:92] + [f"x{rng.randrange(5000)}" for _ in range(28)]))]
+    got = rows_of(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=55))
+    assert sorted(got) == sorted(brute_near(rows, 5, 55)) and not any(kept for i, _, _, kept in got if i % 2)
+
+
 # ---- language --------------------------------------------------------------------------------------------------------
 
 
@@ -231,6 +254,60 @@ def test_spread_over_windows():
     assert perplexity._spread(sums, first) == pytest.approx(want)
 
 
+def brute_kneser_ney(texts, order):
+    """Log-probability of an n-gram by the textbook recursion over dictionaries."""
+    counts = Counter()
+    for t in texts:
+        padded = b"\0" * (order - 1) + t.encode()
+        counts.update(padded[i:i + order] for i in range(len(t.encode())))
+    levels = {order: counts}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    def discount(k, a):
+        n = [sum(v == c for v in levels[k].values()) for c in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+        c = min(a, 3)
+        d = c - (c + 1) * y * n[c + 1] / n[c] if n[c] else 0.5 * c
+        return min(max(d, 0.05), c - 0.05)
+    def p(g):
+        if not g:
+            return 1 / 256
+        k = len(g)
+        inside = {x: a for x, a in levels[k].items() if x[:-1] == g[:-1]}
+        if not inside:
+            return p(g[1:])
+        total, taken = sum(inside.values()), sum(min(a, discount(k, a)) for a in inside.values())
+        own = max(inside[g] - discount(k, inside[g]), 0) / total if g in inside else 0
+        return own + taken / total * p(g[1:])
+    return p
+
+
+def test_perplexity_by_hand(spark):
+    texts = {1: "abracadabra abba", 2: "cab dab cab", 3: "zz top", 4: "", 5: "été"}
+    p = brute_kneser_ney([texts[1], texts[2]], 3)
+    rows = spark.createDataFrame([(i, t, None) for i, t in texts.items()], "doc_id long, text string, lang string")
+    out = perplexity.scored(rows, spark.createDataFrame([(1,), (2,)], "doc_id long"), order=3)
+    for r in out.collect():
+        b = texts[r["doc_id"]].encode()
+        padded = b"\0\0" + b
+        assert r["n_bytes"] == len(b) and r["logp"] == pytest.approx(sum(math.log(p(padded[i:i + 3])) for i in range(len(b))), rel=1e-5)
+
+
+def test_quality_in_any_order(spark, docs, marks):
+    def of(df):
+        return sorted(str([None if v is None else round(v, 5) if isinstance(v, float) else v for v in r]) for r in rows_of(perplexity.quality(df, marks)))
+
+    stored = of(docs)
+    assert of(docs.orderBy(F.rand()).repartition(6)) == stored  # never twice in the same order
+    assert of(docs.where("doc_id < 50").unionByName(docs.where("doc_id >= 50 or doc_id is null"))) == stored
+
+
+def test_answers_move_and_texts_stay(docs, marks):
+    scored = perplexity.scored(docs.select("doc_id", "text", "lang"), marks.select("doc_id").where("doc_id < 30"))
+    plan = scored._jdf.queryExecution().sparkPlan().toString() + scored._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and not re.search(r"Exchange hashpartitioning\(chunk[^\n]*\n[^\n]*blob", plan)
+
+
 def test_quality_without_labels(docs, marks):
     out = perplexity.quality(docs, marks.where("false")).collect()
     assert all(r["kept"] == (r["n_bytes"] > 0) and r["perplexity"] is None for r in out)
