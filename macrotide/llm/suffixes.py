@@ -14,6 +14,7 @@ from macrotide.session import cut_lineage
 
 LENGTH, GRAM = 200, 24
 SHARD_BYTES, HOT_CONTEXTS, LISTED_TEXTS = 2 << 20, 16_000, 100_000
+LONGEST = 1 << 16  # two distances below it are packed beside a place
 SCAN_BYTES = 1 << 20  # texts hashed at a time: a worker holds some hundred bytes per byte of it
 
 
@@ -153,6 +154,16 @@ def repeated(data: np.ndarray, first: np.ndarray, last: np.ndarray, length: int)
 # ---- all texts -------------------------------------------------------------------------------------------------------
 
 
+def _repeated_anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Anchors that more than one place has: ``anchor``; counted by slice and by task before the shuffle."""
+    def run(batches):
+        for _, part in slices(batches, limit=SCAN_BYTES):
+            found, n = np.unique(anchors(part, length, gram)[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int32))], ["anchor", "n"])
+
+    return texts.select("text").mapInArrow(run, "anchor long, n int").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+
+
 def _places(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """Anchors of every text: ``anchor``, ``context`` (hash of all bytes of its strings), ``key`` of the text, ``place``.
 
@@ -163,7 +174,7 @@ def _places(texts: DataFrame, length: int, gram: int) -> DataFrame:
             owner, at, h, first, last = anchors(part, length, gram)
             key = batch.column(batch.schema.get_field_index("key")).to_numpy()[owner]
             context = Rolling(part.data).between(first, last + length) ^ mix((at - first).astype(np.uint64))
-            place = ((first - part.start[owner]) << 20) | ((last - first) << 10) | (at - first)
+            place = ((first - part.start[owner]) << 32) | ((last - first) << 16) | (at - first)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h.view(np.int64)), pa.array(context.view(np.int64)), pa.array(key), pa.array(place)], ["anchor", "context", "key", "place"])
 
@@ -179,7 +190,7 @@ def _contexts(texts: DataFrame, length: int) -> DataFrame:
             inner = listed.flatten()
             anchor, context, place, lone = (inner.field(n).to_numpy(zero_copy_only=False) for n in ("anchor", "context", "place", "lone"))
             owner = np.repeat(np.arange(len(part.start)), np.diff(border))
-            first, starts = place >> 20, ((place >> 10) & 1023) + 1
+            first, starts = place >> 32, ((place >> 16) & 0xFFFF) + 1
             begin = part.start[owner] + first
             data = part.data
             yield pa.RecordBatch.from_arrays(
@@ -269,14 +280,18 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     ``texts`` has ``doc_id``, ``text``, ``key`` (hash of the text). Every string of ``length`` bytes belongs to an anchor,
     and equal strings to equal anchors at the same distance, so anchor groups can be told apart without any text. A
     context, all bytes of an anchor's strings, that occurs twice is settled. Contexts that occur once meet those of
-    the same anchor in a shard, whose suffix array has equal strings side by side.
+    the same anchor in a shard, whose suffix array has equal strings side by side. Anchors of one place only are
+    left out before anything is stored: texts are scanned twice instead.
     """
-    places = cut_lineage(_places(texts.select("key", "text"), length, gram), "places")
+    if not gram < length < LONGEST:
+        raise ValueError(f"length {length} must lie between gram ({gram}) and {LONGEST}")
+    often = _repeated_anchors(texts, length, gram)
+    places = cut_lineage(_places(texts.select("key", "text"), length, gram).join(often.hint("shuffle_hash"), "anchor", "left_semi"), "places")
     contexts = cut_lineage(places.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")), "contexts")
     groups = contexts.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
     needed = cut_lineage(contexts.join(groups, "anchor").select("anchor", "context", (F.col("n") == 1).alias("lone"), "m", "one.key", "one.place"), "needed")
     ranges = places.join(contexts.where("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select(
-        "key", F.shiftright("place", 20).alias("first"), F.shiftright("place", 10).bitwiseAND(1023).alias("more")).select(
+        "key", F.shiftright("place", 32).alias("first"), F.shiftright("place", 16).bitwiseAND(0xFFFF).alias("more")).select(
         "key", "first", (F.col("first") + F.col("more")).alias("last")).distinct()
 
     for part, find in ((needed.where(F.col("m") <= hot), _shards), (needed.where(F.col("m") > hot), _by_hash)):

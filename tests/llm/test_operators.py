@@ -450,6 +450,24 @@ def test_repeated_strings_go(spark, docs, hot, monkeypatch):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("length", [200, 3000])
+def test_long_repeated_strings_go(spark, length):
+    rng = random.Random(length)
+    common = prose(rng, 1500)[:6000]
+    texts = [prose(rng, 300) + common + prose(rng, 200), common[:length - 1] + "é" + prose(rng, 900), "x" + common[100:100 + length], prose(rng, 900), None, "ab" * 4000]
+    count = Counter(b[i:i + length] for b in ((t or "").encode() for t in texts) for i in range(len(b) - length + 1))
+    out = {r["doc_id"]: r for r in suffixes.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), length=length).collect()}
+    for i, t in enumerate(texts):
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - length + 1):
+            if count[b[k:k + length]] > 1:
+                gone[k:k + length] = True
+        assert bytes(out[i]["kept"]) == np.frombuffer(b, np.uint8)[~gone].tobytes()
+    with pytest.raises(ValueError):
+        suffixes.without_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"), length=1 << 16)
+
+
 # ---- toxicity --------------------------------------------------------------------------------------------------------
 
 
