@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -35,39 +35,11 @@ def last_write_wins(df: DataFrame, keys: list[str] = VINTAGE_KEY, stamp: str = "
 def replace_by_key(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Delete every old row whose key occurs in ``new``, then insert ``new``.
 
-    Write the result with :func:`write_snapshot`: never overwrite a path being read.
+    For a stored table use :func:`macrotide.operators.versions.replace`, which rewrites the touched parts only.
     """
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
 
 
-def _snapshots(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the finished snapshots below a folder."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = files.globStatus(hadoop.Path(f"{root}/snapshot-*/_SUCCESS")) or []
-    return sorted(int(s.getPath().getParent().getName().split("-")[1]) for s in done)
-
-
-def write_snapshot(df: DataFrame, root: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write a table beside its earlier snapshots; readers see it once it is complete."""
-    path = f"{root}/snapshot-{max(_snapshots(df.sparkSession, root), default=0) + 1:08d}"
-    df.write.partitionBy(*partition_by).parquet(path)
-    return path
-
-
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest complete snapshot."""
-    return spark.read.parquet(f"{root}/snapshot-{_snapshots(spark, root)[-1]:08d}")
-
-
-def replace_in_snapshot(new: DataFrame, root: str, keys: list[str]) -> DataFrame:
-    """Replace rows by key in the newest snapshot and return the next one; doing it twice equals once."""
-    spark = new.sparkSession
-    rows = replace_by_key(read_snapshot(spark, root), new, keys) if _snapshots(spark, root) else new
-    write_snapshot(rows, root)
-    return read_snapshot(spark, root)
-
-
 def append_if_absent(df: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Add rows whose key is not there yet; columns ``new`` lacks are NULL.
 

@@ -1,76 +1,101 @@
-"""Exact order statistics of groups of any size.
+"""Exact order statistics of groups of any size, by repeated narrowing.
 
-A window or ``percentile`` would bring a whole group into one task. Here a mergeable quantile sketch
-brackets the wanted ranks, exact counts below each bracket and the values inside it are aggregated
-before any shuffle, and only the inside of the bracket (about two sketch errors wide, i.e. 0.06 % of
-the group) is ranked.
+A window or ``percentile`` would bring a whole group into one task. Here every wanted rank has an open interval that
+holds it, at first the whole line. A mergeable quantile sketch of the values inside proposes two bounds around the rank; exact
+counts, combined before the shuffle, tell which of the five places (below, at the first bound, between, at the second,
+above) has it. A round narrows an interval about 300 times. Once an interval has a bounded number of values, they are
+gathered beside the counts and the rank is read off. Frequent values become bounds, so ties cannot hold a round up.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.operators.joins import join_null_safe
 from macrotide.operators.windows import clip
 from macrotide.session import cut_lineage
 
-# The sketch's rank error is at most n / _ACCURACY; brackets are three such errors wide on each side.
+# The sketch's rank error is at most n / _ACCURACY; its levels are _LEVELS steps apart, and bounds lie one step outside a rank's own.
 _ACCURACY = 10_000
-_MARGIN = 3.0 / _ACCURACY
-# Groups up to this size are ranked whole: there, one rank is wider than the margin.
-_SMALL = 20_000
+_LEVELS = 1_000
+# Values of one interval that are gathered in one buffer.
+GATHERED = 10_000
+
+
+def _sketch(value: Column) -> Column:
+    return F.percentile_approx(value, [i / _LEVELS for i in range(_LEVELS + 1)], _ACCURACY)
 
 
 def order_statistics(df: DataFrame, keys: list[str], value: str,
-                     ranks: dict[str, tuple[float, Column]], small: int = _SMALL) -> DataFrame:
+                     ranks: dict[str, tuple[float, Column]], gathered: int = GATHERED) -> DataFrame:
     """Values at given ranks, one row per key: ``keys..., n, <name>...``.
 
-    ``ranks`` maps a name to ``(p, rank)``: ``rank`` is a 0-based position as an expression of ``n``
-    (the number of present values) that lies within one position of ``p * n``.
+    ``ranks`` maps a name to ``(p, rank)``: ``rank`` is a 0-based position as an expression of ``n``, the number of present
+    values; ``p`` tells about where it lies and is not used. Keys without a present value give no row; NULL keys are a group.
+    Two passes over the rows serve groups of up to some three million values, two more each 300 times larger.
+    Runs its jobs when it is called.
     """
     names = list(ranks)
-    present = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    levels = []
-    for p, _ in ranks.values():
-        levels += [max(p - _MARGIN, 0.0), min(p + _MARGIN, 1.0)]
-    sized = present.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.percentile_approx("_v", levels, _ACCURACY).alias("_q"))
-    # Written once: the sketch is not recomputed, and the join below is planned by the real size. Few
-    # keys are broadcast and the rows are not shuffled; many keys are shuffled with the rows, where AQE
-    # splits a hot key because the other side has a single row for it.
-    brackets = cut_lineage(sized.select(
-        *keys, "n",
-        *[rank.cast("long").alias(f"_r{i}") for i, (_, rank) in enumerate(ranks.values())],
-        *[F.when(F.col("n") > small, F.col("_q")[j]).alias(f"_b{j}") for j in range(len(levels))],
-    ), "brackets")
-    lows = [F.col(f"_b{2 * i}") for i in range(len(names))]
-    highs = [F.col(f"_b{2 * i + 1}") for i in range(len(names))]
-    # The segment grows with the value and changes at every bracket end, so rows outside all brackets
-    # collapse to one count per segment and rows inside to one count per value, before the shuffle.
+    each = range(len(names))
     v = F.col("_v")
-    segment = sum((F.coalesce((v >= lo).cast("int"), F.lit(0)) + F.coalesce((v > hi).cast("int"), F.lit(0))
-                   for lo, hi in zip(lows, highs)), F.lit(0))
-    inside = F.lit(False)
-    for lo, hi in zip(lows, highs):
-        inside = inside | F.coalesce((v >= lo) & (v <= hi), F.lit(True))
-    fixed = [*keys, "n", *[f"_r{i}" for i in range(len(names))]]
-    counted = (
-        join_null_safe(present, brackets, keys)
-        .groupBy(*fixed, segment.alias("_segment"), F.when(inside, v).alias("_v"))
-        .agg(F.count("*").alias("_c"))
-    )
-    w = Window.partitionBy(*keys).orderBy("_segment", "_v")
-    upto = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cumulated = counted.withColumn("_upto", upto)
-
-    def at(i: int) -> Column:
-        hit = (F.col("_upto") > F.col(f"_r{i}")) & (F.col("_upto") - F.col("_c") <= F.col(f"_r{i}"))
-        missed = F.raise_error(F.lit("rank outside its bracket")).cast("double")
-        return F.max(F.when(hit, F.when(v.isNull(), missed).otherwise(v)))
-
-    return cumulated.groupBy(*keys, "n").agg(*[at(i).alias(name) for i, name in enumerate(names)])
+    present = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(v.isNotNull() & ~F.isnan("_v"))
+    nothing = F.lit(None).cast("double")
+    share = 3 / _LEVELS + 2 / _ACCURACY  # of an interval's values that can lie between the two bounds
+    sized = present.groupBy(*keys).agg(F.count("*").alias("n"), _sketch(v).alias("_q"))
+    # Written once per round: sketches are not recomputed, and joins are planned by the real size. Few keys are
+    # broadcast and the rows are not shuffled; many keys are shuffled with the rows, where AQE splits a hot key because
+    # the other side has a single row for it.
+    state = cut_lineage(sized.select(*keys, "n", *[c for i, (_, rank) in enumerate(ranks.values()) for c in (
+        rank.cast("long").alias(f"_p{i}"), nothing.alias(f"_lo{i}"), nothing.alias(f"_hi{i}"), F.col("n").alias(f"_m{i}"), F.col("_q").alias(f"_q{i}"),
+        nothing.alias(f"_v{i}"))]), "intervals")
+
+    def inside(i: int, low: str = "_lo", high: str = "_hi") -> Column:
+        return (F.col(f"{low}{i}").isNull() | (v > F.col(f"{low}{i}"))) & (F.col(f"{high}{i}").isNull() | (v < F.col(f"{high}{i}")))
+
+    while True:
+        # Bounds a, b: sketch levels one step outside the rank's own; a small interval is taken whole.
+        small = [F.col(f"_m{i}") <= gathered for i in each]
+        step = [F.floor(F.col(f"_p{i}") / F.col(f"_m{i}") * _LEVELS).cast("int") for i in each]
+        bounded = state.select(
+            *state.columns,
+            *[F.when(~small[i], F.get(f"_q{i}", F.greatest(step[i] - 1, F.lit(0)))).alias(f"_a{i}") for i in each],
+            *[F.when(~small[i], F.get(f"_q{i}", F.least(step[i] + 2, F.lit(_LEVELS)))).alias(f"_b{i}") for i in each]
+        ).drop(*[f"_q{i}" for i in each])
+        limits = bounded.select(*keys, *[f"_{x}{i}" for i in each for x in ("lo", "hi", "a", "b", "m", "v")]).where(
+            reduce(Column.__or__, [F.col(f"_v{i}").isNull() for i in each]))
+        counts = []
+        for i in each:
+            here = F.col(f"_v{i}").isNull() & inside(i)
+            gather = here & inside(i, "_a", "_b") & (F.col(f"_m{i}") * share <= gathered)
+            counts += [F.count_if(here & (v < F.col(f"_a{i}"))).alias(f"_lt_a{i}"), F.count_if(here & (v <= F.col(f"_a{i}"))).alias(f"_le_a{i}"),
+                       F.count_if(here & (F.col(f"_b{i}").isNull() | (v < F.col(f"_b{i}")))).alias(f"_lt_b{i}"),
+                       F.count_if(here & (F.col(f"_b{i}").isNull() | (v <= F.col(f"_b{i}")))).alias(f"_le_b{i}"),
+                       F.collect_list(F.when(gather | (here & (F.col(f"_m{i}") <= gathered)), v)).alias(f"_all{i}")]
+        counted = join_null_safe(bounded, join_null_safe(present, limits, keys).groupBy(*keys).agg(*counts), keys, "left")
+        out = []
+        for i in each:
+            p, m, a, b = (F.col(f"_{x}{i}") for x in "pmab")
+            lt_a, le_a, lt_b, le_b = (F.col(f"_{x}{i}") for x in ("lt_a", "le_a", "lt_b", "le_b"))
+            done = F.col(f"_v{i}").isNotNull()
+            below, first, between, second = p < lt_a, p < le_a, p < lt_b, p < le_b  # in this order
+            picked = F.get(F.sort_array(f"_all{i}"), (p - le_a).cast("int"))
+            got = F.when(F.size(f"_all{i}") == lt_b - le_a, picked)
+            out += [
+                F.when(done, F.col(f"_v{i}")).when(below, nothing).when(first, a).when(between, got).when(second, b).alias(f"_v{i}"),
+                F.when(below, p).when(between, p - le_a).when(second, p).otherwise(p - le_b).alias(f"_p{i}"),
+                F.when(below, F.col(f"_lo{i}")).when(between, F.coalesce(a, F.col(f"_lo{i}"))).otherwise(b).alias(f"_lo{i}"),
+                F.when(below, a).when(between, F.coalesce(b, F.col(f"_hi{i}"))).otherwise(F.col(f"_hi{i}")).alias(f"_hi{i}"),
+                F.when(below, lt_a).when(between, lt_b - le_a).otherwise(m - le_b).alias(f"_m{i}")]
+        state = cut_lineage(counted.select(*keys, "n", *out), "intervals")
+        open_ = reduce(Column.__or__, [F.col(f"_v{i}").isNull() for i in each])
+        if state.where(open_).isEmpty():
+            return state.select(*keys, "n", *[F.col(f"_v{i}").alias(name) for i, name in enumerate(names)])
+        again = join_null_safe(present, state.where(open_), keys).groupBy(*keys).agg(
+            *[_sketch(F.when(F.col(f"_v{i}").isNull() & inside(i) & (F.col(f"_m{i}") > gathered), v)).alias(f"_q{i}") for i in each])
+        state = cut_lineage(join_null_safe(state, again, keys, "left"), "intervals")
 
 
 def winsorize_large(df: DataFrame, column: str, keys: list[str], lower: float = 0.05,

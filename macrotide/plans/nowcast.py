@@ -5,9 +5,6 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -15,20 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from macrotide.functions import boosting
-from macrotide.functions.boosting import BoostingParams
 from macrotide.functions.numeric import level_from_change, residual
 from macrotide.operators.keyed import append_if_absent, replace_by_key
 from macrotide.operators.quality import non_finite
-from macrotide.operators.stats import ensemble_mean
 from macrotide.operators.windows import add_expanding, add_previous, last_known, series_window
 from macrotide.plans.features import KEYS, LEVEL, TARGET, align_features, inference_matrix
 from macrotide.schemas import WALK_FORWARD
 from macrotide.session import cut_lineage, scratch_path
 
-# The learner travels with the task, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(boosting)
-
 # First training end, ensemble seeds and least number of training rows.
 TRAIN_STOP = date(2023, 7, 1)
 SEEDS = (42, 123, 456)
@@ -78,49 +69,6 @@ def baseline_walk_forward(matrix: DataFrame, start_after: date, models: tuple[st
     return _errors(tall, "model")
 
 
-def walk_forward(matrix: DataFrame, features: list[str], start_after: date = TRAIN_STOP,
-                 seeds: tuple[int, ...] = SEEDS, params: BoostingParams = BoostingParams(),
-                 blocks: int = 1, warm_start: bool = False) -> DataFrame:
-    """One model per geo, month and seed, trained on all earlier rows of the geo; seeds are averaged.
-
-    With ``warm_start`` each month's model adds trees to the one of the month before, which needs a
-    geo's folds in one block; otherwise every fold is trained from scratch.
-
-    A task gets one geo, one block of test months and one seed, i.e. at most the months of one series.
-    With many geos ``blocks=1`` is right: history is then sent once per seed, not once per fold. With
-    few geos, more blocks spread the folds over the cluster.
-    """
-    if warm_start and blocks != 1:
-        raise ValueError("warm_start needs blocks=1: each fold continues the one before")
-    ordered = add_previous(matrix.select(*KEYS, *features, TARGET, LEVEL), LEVEL, ["geo"], "previous_level")
-    position = F.row_number().over(series_window(["geo"]))
-    n_test = F.sum((F.col("month") > F.lit(start_after)).cast("int")).over(series_window(["geo"]))
-    marked = ordered.withColumn("_position", position).withColumn("_fold", n_test)
-    # Test row f belongs to block f % blocks; a block needs every row before its last fold, so all
-    # rows go to all blocks and each block predicts only its own folds.
-    members = F.explode(F.array(*[
-        F.struct(F.lit(b).alias("_block"), F.lit(s).alias("_seed")) for b in range(blocks) for s in seeds])).alias("_m")
-    spread = marked.select("*", members).select("*", "_m.*").drop("_m")
-    is_test = (F.col("month") > F.lit(start_after)) & (F.col("_position") > 1)
-    spread = spread.withColumn("_predict", is_test & (F.col("_fold") % blocks == F.col("_block")))
-
-    def predict(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("month", ignore_index=True)
-        x, y = pdf[features].to_numpy(float), pdf[TARGET].to_numpy(float)
-        at = np.flatnonzero(pdf["_predict"].to_numpy())
-        model, change = None, []
-        for i in at:
-            model = boosting.fit(x[:i], y[:i], int(pdf["_seed"].iloc[0]), params, model if warm_start else None)
-            change.append(boosting.predict(model, x[i:i + 1], params)[0])
-        out = pdf.loc[at, ["geo", "month", TARGET, LEVEL, "previous_level"]]
-        return out.assign(y_pred_mom=np.asarray(change, dtype=float))
-
-    schema = "geo string, month date, hicp_mom double, target_hicp_index double, previous_level double, y_pred_mom double"
-    members_pred = spread.groupBy("geo", "_block", "_seed").applyInPandas(predict, schema)
-    averaged = ensemble_mean(members_pred, [*KEYS, TARGET, LEVEL, "previous_level"])
-    return _errors(averaged)
-
-
 def gbt(features: list[str], trees: int = 300, seed: int = 42) -> Pipeline:
     """Boosted-tree pipeline with fixed depth, rate and subsampling (MLlib has no L1/L2 penalties).
 
@@ -169,6 +117,13 @@ def walk_forward_pooled(matrix: DataFrame, features: list[str], start_after: dat
     return _errors(mean)
 
 
+def errors_beside_baseline(rows: DataFrame, matrix: DataFrame, start_after: date = TRAIN_STOP, baseline: str = "expanding_mean") -> DataFrame:
+    """Mean absolute level error of walk-forward rows and of a closed-form model, per geo: ``geo, n_months, mae, baseline_mae``."""
+    naive = baseline_walk_forward(matrix, start_after, (baseline,)).groupBy("geo").agg(F.avg("abs_error").alias("baseline_mae"))
+    own = rows.groupBy("geo").agg(F.count("*").alias("n_months"), F.avg("abs_error").alias("mae"))
+    return own.join(naive, "geo").select("geo", "n_months", "mae", "baseline_mae")
+
+
 def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
     """``feature, importance`` rows of a fitted pipeline (one per feature, so driver-sized by design)."""
     names = model.stages[0].getInputCols()

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from macrotide.operators import keyed, orderstats, quality, registry, runlog, stats, windows
+from macrotide.operators import keyed, orderstats, quality, registry, runlog, stats, versions, windows
 from macrotide.session import scratch_path
 
 T = lambda h: datetime(2024, 1, 1, h)
@@ -152,9 +152,10 @@ def test_winsorize_bounds_from_early_rows(spark):
     assert out[0].x == 2.0 and out[-1].x == 37.0
 
 
+@pytest.mark.parametrize("gathered", [10_000, 30])
 @pytest.mark.parametrize("shape", ["normal", "ties", "skewed"])
-def test_order_statistics_of_large_groups(spark, shape):
-    """The bracketed path (groups above `small`) against a plain sort."""
+def test_order_statistics_of_large_groups(spark, shape, gathered):
+    """Against a plain sort; with 30 values gathered at most, intervals need several rounds."""
     rng = np.random.default_rng(3)
     draw = {"normal": lambda: rng.normal(size=60_000), "ties": lambda: rng.integers(0, 5, 60_000).astype(float),
             "skewed": lambda: np.exp(rng.normal(size=60_000) * 8)}[shape]()
@@ -162,13 +163,26 @@ def test_order_statistics_of_large_groups(spark, shape):
     df = spark.createDataFrame(pdf).repartition(8)
     n = F.col("n")
     out = orderstats.order_statistics(df, ["k"], "v", {
-        "low": (0.05, F.floor(n * 0.05)), "mid": (0.5, F.floor((n - 1) * 0.5)), "top": (1.0, n - 1)}, small=30_000)
+        "low": (0.05, F.floor(n * 0.05)), "mid": (0.5, F.floor((n - 1) * 0.5)), "top": (1.0, n - 1)}, gathered=gathered)
     for row in out.collect():
         ranked = np.sort(pdf.loc[pdf.k == row.k, "v"].to_numpy())
         assert row.n == len(ranked)
         assert (row.low, row.mid, row.top) == (ranked[int(len(ranked) * 0.05)], ranked[(len(ranked) - 1) // 2], ranked[-1])
 
 
+def test_median_of_a_million_values_in_one_group(spark):
+    """Distinct values, one frequent one at the edge of an interval, and no window over the group."""
+    df = spark.range(1_000_000, numPartitions=8).select(F.lit(None).cast("string").alias("k"), F.when(F.col("id") % 2 == 0, -1.0).otherwise(
+        (F.col("id") * 7919 % 1_000_003).cast("double")).alias("v"))
+    values = np.sort(np.where(np.arange(1_000_000) % 2 == 0, -1.0, np.arange(1_000_000) * 7919 % 1_000_003))
+    n = F.col("n")
+    out = orderstats.order_statistics(df, ["k"], "v", {"last_tie": (0.5, F.lit(499_999)), "first_other": (0.5, F.lit(500_000)), "p90": (0.9, F.floor(n * 0.9))})
+    assert tuple(out.first())[1:] == (1_000_000, values[499_999], values[500_000], values[900_000])
+    bounds = orderstats.winsorize_large(df, "v", ["k"])
+    assert "Window" not in bounds._jdf.queryExecution().executedPlan().toString()
+    assert bounds.agg(F.max("v")).first()[0] == values[949_999]
+
+
 def test_large_quantiles_interpolate(spark):
     values = np.random.default_rng(1).normal(size=25_001)
     df = spark.createDataFrame(pd.DataFrame({"k": 1, "v": values})).repartition(4)
@@ -253,13 +267,52 @@ def test_runs_have_unique_ids(spark):
     assert registry.read(spark, root, "runs").count() == 1
 
 
-def test_snapshots_replace_once(spark):
-    root = scratch_path(spark, "snapshots")
-    rows = lambda *r: spark.createDataFrame(list(r), "month int, v int")
-    keyed.write_snapshot(rows((1, 1), (2, 2)), root)
-    for _ in range(2):
-        out = keyed.replace_in_snapshot(rows((2, 5), (3, 6)), root, ["month"])
-    assert sorted(map(tuple, out.collect())) == [(1, 1), (2, 5), (3, 6)]
+def month_rows(spark, *rows):
+    return spark.createDataFrame([(M(m), g, v) for m, g, v in rows], "month date, geo string, v int")
+
+
+def test_replace_rewrites_touched_parts_only(spark):
+    root = scratch_path(spark, "versioned")
+    assert versions.versions(spark, root) == []
+    with pytest.raises(LookupError):
+        versions.read(spark, root)
+    versions.create(month_rows(spark, (1, "a", 1), (2, "a", 2), (2, "b", 3), (3, "a/=b", 4)), root, "month")
+    before = dict(map(tuple, versions.parts(spark, root).collect()))
+    new = month_rows(spark, (2, "a", 20), (4, "c", 5))
+    want = [(M(1), "a", 1), (M(2), "a", 20), (M(2), "b", 3), (M(3), "a/=b", 4), (M(4), "c", 5)]
+    for number in (2, 3):  # twice leaves the same rows as once
+        assert versions.replace(new.select("v", "geo", "month"), root, ["month", "geo"]) == number
+        assert sorted(map(tuple, versions.read(spark, root).collect())) == want
+    after = dict(map(tuple, versions.parts(spark, root).collect()))
+    one, two, three, four = (str(M(i)) for i in (1, 2, 3, 4))
+    assert after[one] == before[one] and after[three] == before[three] and after[two] != before[two] and four in after
+    assert versions.read(spark, root, version=1).count() == 4
+    assert [tuple(r) for r in versions.read(spark, root, only=[four]).collect()] == [(M(4), "c", 5)]
+    assert versions.replace(new.limit(0), root, ["month", "geo"]) == 3  # nothing to do, no version
+    with pytest.raises(ValueError):
+        versions.replace(new, root, ["geo"])
+    with pytest.raises(Exception, match="is missing"):
+        versions.replace(month_rows(spark, (2, None, 1)), root, ["month", "geo"])
+    assert len(versions.expire(spark, root, keep=1)) == 3 and versions.versions(spark, root) == [3]
+    assert sorted(map(tuple, versions.read(spark, root).collect())) == want
+
+
+def test_one_of_two_writers_gets_a_version(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = scratch_path(spark, "versioned")
+    versions.create(month_rows(spark, (1, "a", 1)), root, "month")
+    with pytest.raises(versions.Conflict):
+        versions.create(month_rows(spark, (1, "a", 1)), root, "month")
+    with ThreadPoolExecutor(3) as pool:  # the losers start again from the winner's version: no change is lost
+        list(pool.map(lambda i: versions.replace(month_rows(spark, (i, "a", i)), root, ["month", "geo"], tries=8), (1, 2, 3)))
+    assert sorted(map(tuple, versions.read(spark, root).collect())) == [(M(i), "a", i) for i in (1, 2, 3)]
+    files, path = versions._files(spark, root)
+    files.create(path(f"{root}/manifests/.claim-00000005"), False).close()  # a writer that died
+    with pytest.raises(versions.Conflict):
+        versions.replace(month_rows(spark, (9, "a", 9)), root, ["month", "geo"])
+    versions.release(spark, root, 5)
+    assert versions.replace(month_rows(spark, (9, "a", 9)), root, ["month", "geo"]) == 5
 
 
 def test_events_of_a_run_are_recorded(spark):

@@ -1,15 +1,15 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from macrotide.functions import boosting
-from macrotide.functions.boosting import BoostingParams
 from macrotide.functions.calendar import month_spine
-from macrotide.plans import features, gold, nowcast, pipeline, views
+from macrotide.operators import keyed, registry, runlog
+from macrotide.plans import batch, features, gold, nowcast, pipeline, views
 from macrotide.plans.silver import select_series, to_silver
 from macrotide.schemas import NOWCAST_OUTPUT, SILVER
+from macrotide.session import scratch_path
 
 M = lambda n: date(2020 + (n - 1) // 12, (n - 1) % 12 + 1, 1)
 LONG = "ts_date date, geo string, series_id string, value double"
@@ -182,70 +182,6 @@ def test_align(spark):
     assert out.columns == ["geo", "month", "lag_3m", "new", "lag_1m"] and out.first().new == 0.0
 
 
-def fit_predict(x, y, x_new, seed, p):
-    return boosting.predict(boosting.fit(x, y, seed, p), x_new, p)
-
-
-def test_booster_learns_a_step():
-    x = np.linspace(0, 1, 200)[:, None]
-    y = (x[:, 0] > 0.5).astype(float)
-    # The leaf penalty shrinks the fit a little.
-    out = fit_predict(x, y, np.array([[0.1], [0.9]]), 42, BoostingParams(trees=200, column_share=1.0))
-    assert abs(out[0]) < 0.05 and abs(out[1] - 1) < 0.05
-    again = fit_predict(x, y, np.array([[0.1], [0.9]]), 42, BoostingParams(trees=200, column_share=1.0))
-    assert (out == again).all()
-
-
-def test_penalised_leaf_by_hand():
-    x, y = np.array([[0.0], [0.0], [1.0], [1.0]]), np.array([0.0, 0.0, 1.0, 1.0])
-    p = BoostingParams(trees=1, depth=1, rate=1.0, row_share=1.1, column_share=1.0, l1=0.1, l2=1.0)
-    # Base 0.5, gradient sums -1 and +1, leaves (1 - 0.1) / (2 + 1) = 0.3.
-    np.testing.assert_allclose(fit_predict(x, y, x, 1, p), [0.2, 0.2, 0.8, 0.8])
-
-
-def test_warm_start_adds_trees_and_keeps_predictions_consistent():
-    rng = np.random.default_rng(2)
-    x, y = rng.normal(size=(60, 4)), rng.normal(size=60)
-    p = BoostingParams(trees=5)
-    first = boosting.fit(x[:50], y[:50], 1, p)
-    more = boosting.fit(x, y, 1, p, first)
-    assert len(more.trees) == 10 and len(first.trees) == 5
-    np.testing.assert_allclose(more.fitted, boosting.predict(more, x, p))
-
-
-SMALL = BoostingParams(trees=8)
-
-
-def test_walk_forward_rows_and_blocks(spark):
-    matrix = features.training_matrix(design(spark, 42), CUT)
-    names = features.feature_columns(matrix)
-    one = nowcast.walk_forward(matrix, names, CUT, (1, 2), SMALL).orderBy("geo", "month").collect()
-    split = nowcast.walk_forward(matrix, names, CUT, (1, 2), SMALL, blocks=3).orderBy("geo", "month").collect()
-    assert len(one) == 12 and one == split
-    row = one[0]
-    assert row.month == M(37) and row.residual == pytest.approx(row.y_true_level - row.y_pred_level)
-
-
-def test_walk_forward_warm_start(spark):
-    matrix = features.training_matrix(design(spark, 39, ("a",)), CUT)
-    names = features.feature_columns(matrix)
-    cold = nowcast.walk_forward(matrix, names, CUT, (1,), SMALL).orderBy("month").collect()
-    warm = nowcast.walk_forward(matrix, names, CUT, (1,), SMALL, warm_start=True).orderBy("month").collect()
-    assert cold[0] == warm[0] and cold[1].y_pred_mom != warm[1].y_pred_mom
-    with pytest.raises(ValueError):
-        nowcast.walk_forward(matrix, names, CUT, (1,), SMALL, blocks=2, warm_start=True)
-
-
-def test_walk_forward_trains_on_the_past_only(spark):
-    a = features.training_matrix(design(spark, 42, ("a",)), CUT)
-    names = features.feature_columns(a)
-    late = F.col("month") > F.lit(M(39))
-    b = a.withColumn("hicp_mom", F.when(late, F.col("hicp_mom") + 1).otherwise(F.col("hicp_mom")))
-    run = lambda m: {r.month: r.y_pred_mom for r in nowcast.walk_forward(m, names, CUT, (1,), SMALL).collect()}
-    first, second = run(a), run(b)
-    assert all(first[M(i)] == second[M(i)] for i in (37, 38, 39, 40)) and first[M(41)] != second[M(41)]
-
-
 def test_baselines_by_hand(spark):
     df = spark.createDataFrame([("g", M(i), m, l) for i, m, l in [(1, 0.1, 10.0), (2, 0.3, 13.0), (3, 0.2, 15.6), (4, 0.4, 21.84)]],
                                "geo string, month date, hicp_mom double, target_hicp_index double")
@@ -263,13 +199,76 @@ def test_pooled_model_walk_forward_importance_and_persistence(spark, tmp_path):
     out = nowcast.walk_forward_pooled(matrix, names, M(38), (42,), trees=2)
     assert sorted((r.geo, r.month) for r in out.collect()) == [(g, M(i)) for g in "ab" for i in (39, 40)]
     assert nowcast.walk_forward_pooled(matrix, names, M(50), (42,), trees=2).count() == 0
+    beside = {r.geo: r for r in nowcast.errors_beside_baseline(out, matrix, M(38)).collect()}
+    naive = nowcast.baseline_walk_forward(matrix, M(38), ("expanding_mean",)).collect()
+    for g in "ab":
+        assert beside[g].n_months == 2 and beside[g].baseline_mae == pytest.approx(np.mean([r.abs_error for r in naive if r.geo == g]))
+        assert beside[g].mae == pytest.approx(np.mean([r.abs_error for r in out.collect() if r.geo == g]))
     model = nowcast.fit_pooled(matrix, names, 2)
+    weights = nowcast.feature_importance(model, spark)
+    ranked = keyed.top_features(weights, 3).collect()
+    assert [r.importance for r in ranked] == sorted((r.importance for r in weights.collect()), reverse=True)[:3]
     assert sum(r.importance for r in nowcast.feature_importance(model, spark).collect()) == pytest.approx(1.0)
     loaded = nowcast.load_model(nowcast.save_model(model, str(tmp_path / "m")))
     predict = lambda m: [r.y_pred_mom for r in m.transform(matrix).orderBy("geo", "month").collect()]
     assert predict(model) == predict(loaded)
 
 
+def test_pooled_walk_forward_trains_on_the_past_only(spark):
+    a = features.training_matrix(design(spark, 41, ("a",)), CUT)
+    names = features.feature_columns(a)
+    b = a.withColumn("hicp_mom", F.when(F.col("month") > F.lit(M(39)), F.col("hicp_mom") + 1).otherwise(F.col("hicp_mom")))
+    run = lambda m: {r.month: r.y_pred_mom for r in nowcast.walk_forward_pooled(m, names, M(38), (1,), trees=2).collect()}
+    first, second = run(a), run(b)
+    assert all(first[M(i)] == second[M(i)] for i in (39, 40)) and first[M(41)] != second[M(41)]
+
+
+def test_batch_counts_rows_and_continues_after_a_failure(spark):
+    stamps = iter(datetime(2024, 1, 1) + timedelta(seconds=i) for i in range(100))
+    root, broken = scratch_path(spark, "batch"), [True]
+
+    def third(tables):
+        if broken[0]:
+            raise ValueError("no source\nsecond line")
+        return tables["a"].join(tables["b"], "id")
+
+    stages = {"a": lambda _: spark.range(10), "b": lambda t: t["a"].where("id % 2 = 0"), "c": third, "d": lambda t: t["c"].limit(0)}
+    first = batch.Batch(spark, root, "r1", lambda: next(stamps))
+    with pytest.raises(ValueError):
+        first.run(stages)
+    assert first.computed == ["a", "b"]
+    broken[0] = False
+    again = batch.Batch(spark, root, "r1", lambda: next(stamps))
+    tables = again.run(stages)
+    assert again.computed == ["c", "d"] and tables["c"].count() == 5  # a and b are read, not made
+    log = runlog.stage_metrics(registry.read(spark, root, "stage_events")).collect()
+    assert {(r.stage_name, r.row_count, r.status) for r in log} == {("a", 10, "success"), ("b", 5, "success"), ("c", 5, "success"), ("d", 0, "success")}
+    failed = registry.read(spark, root, "stage_events").where("status = 'failed'").first()
+    assert (failed.stage_name, failed.message, failed.row_count) == ("c", "no source", 0)
+    assert [r.status for r in runlog.current_runs(registry.read(spark, root, "status_events")).collect()] == ["success"]
+    other = batch.Batch(spark, root, "r2", lambda: next(stamps))
+    other.run(stages)
+    assert other.computed == ["a", "b", "c", "d"]  # another run has tables of its own
+
+
+def test_full_batch_reaches_the_key_figures(spark):
+    months = [f"20{y:02d}-{m:02d}-01" for y in (20, 21) for m in range(1, 13)]
+    rows = [(d, n, s, "EA20", str(v + i), "x", "2024-01-01T00:00:00+00:00") for i, d in enumerate(months) for n, s, v in [
+        ("eurostat_hicp", "CP00", 100), ("ecb_fx_eu", "EXR.D.USD.EUR.SP00.A", 1), ("ecb_rates_eu", "MRR", 4), ("energy_prices", "POILBREUSDM", 80)]]
+    raw = spark.createDataFrame(rows, "dt string, dataset string, series_id string, geo string, value string, source string, ingest_ts string")
+    from macrotide.sources.bronze import stage
+
+    staging = {d: stage(raw.filter(F.col("dataset") == d)) for d in ("eurostat_hicp", "ecb_fx_eu", "ecb_rates_eu", "energy_prices")}
+    predict = lambda t: t.where(F.col("month") == F.lit(date(2021, 12, 1))).select(
+        F.lit(date(2022, 1, 1)).alias("month"), "geo", F.lit("v").alias("model_version"), F.lit(125.0).alias("y_nowcast"), F.lit(None).cast("double").alias("y_actual"),
+        F.lit(None).cast("double").alias("residual"), F.lit("2022-01-02").cast("timestamp").alias("created_at_utc"))
+    stages = batch.full(spark, staging, date(2022, 1, 31), predict, date(2020, 1, 1))
+    tables = batch.Batch(spark, scratch_path(spark, "batch"), "r").run(stages)
+    row = tables["report.key_figures"].first()
+    assert (row.current_hicp_index, row.nowcast_hicp_index, row.nowcast_base_index) == (123.0, 125.0, 112.0)
+    assert tables["report.macro_wide"].count() == 25 and list(tables) == list(stages)
+
+
 def test_future_rows_and_nowcast(spark):
     source = design(spark, 40)
     source = source.unionByName(source.filter("geo = 'a'").withColumns({

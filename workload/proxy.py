@@ -195,7 +195,11 @@ def index(spark: SparkSession, sf: str) -> DataFrame:
 
 def headline(spark: SparkSession, sf: str) -> DataFrame:
     """Index facts of the headline series that have a geo and a value."""
-    return index(spark, sf).filter((F.col("series_id") == "CP00") & F.col("geo").isNotNull() & F.col("hicp_index").isNotNull())
+    return headline_of(index(spark, sf))
+
+
+def headline_of(facts: DataFrame) -> DataFrame:
+    return facts.filter((F.col("series_id") == "CP00") & F.col("geo").isNotNull() & F.col("hicp_index").isNotNull())
 
 
 def macro(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,10 +7,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.operators import keyed, quality, registry, runlog
-from macrotide.plans import views
+from macrotide.operators import keyed, quality, registry, runlog, versions
+from macrotide.plans import batch, gold, views
 from macrotide.schemas import REQUIRED
-from macrotide.session import scratch_path
+from macrotide.session import cut_lineage, scratch_path
 from macrotide.sources.bronze import stage
 from workload import proxy
 from workload.proxy import table
@@ -197,6 +197,63 @@ def k3_replace_panel(spark, sf):
     return rounded(keyed.replace_by_key(proxy.panel(spark, sf), new, ["geo", "month"]))
 
 
+def _panel_changes(spark, sf) -> DataFrame:
+    o = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "P")
+    return o.groupBy(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("geo"), F.trunc("o_orderdate", "month").alias("month")).agg(
+        (F.max("o_totalprice") / 3001.0).alias("value"))
+
+
+def _replaced_panel(spark, sf) -> tuple[str, int]:
+    """Root of a versioned panel in which the same rows were replaced twice, and its first version."""
+    root = scratch_path(spark, "panel")
+    first = versions.create(proxy.panel(spark, sf).select("geo", "month", "value"), root, "month")
+    new = cut_lineage(_panel_changes(spark, sf), "changes")
+    for _ in range(2):
+        versions.replace(new, root, ["geo", "month"])
+    return root, first
+
+
+@query("k3_replace_versioned", f"""
+SELECT geo, month, {r('value')} AS value FROM panel p WHERE NOT EXISTS (
+  SELECT 1 FROM orders o WHERE o.o_orderstatus = 'P' AND 'C' || o.o_custkey = p.geo AND date_trunc('month', o.o_orderdate)::DATE = p.month)
+UNION ALL SELECT 'C' || o_custkey, date_trunc('month', o_orderdate)::DATE, {r('max(o_totalprice) / 3001.0::DOUBLE')}
+FROM orders WHERE o_orderstatus = 'P' GROUP BY 1, 2""", ("panel",))
+def k3_replace_versioned(spark, sf):
+    return rounded(versions.read(spark, _replaced_panel(spark, sf)[0]))
+
+
+@query("k3_untouched_parts", """
+SELECT month, month NOT IN (SELECT date_trunc('month', o_orderdate)::DATE FROM orders WHERE o_orderstatus = 'P') AS same_files FROM (
+  SELECT month FROM panel UNION SELECT date_trunc('month', o_orderdate)::DATE FROM orders WHERE o_orderstatus = 'P')""", ("panel",))
+def k3_untouched_parts(spark, sf):
+    root, first = _replaced_panel(spark, sf)
+    before, now = versions.parts(spark, root, first).withColumnRenamed("folder", "was"), versions.parts(spark, root)
+    return now.join(before, "part", "left").select(F.to_date("part").alias("month"), F.coalesce(F.col("folder") == F.col("was"), F.lit(False)).alias("same_files"))
+
+
+@query("k5_observed_batch", "\nUNION ALL ".join(
+    f"SELECT '{stage}' AS stage_name, {count} AS row_count, 'success' AS status, true AS as_read_back FROM {source}" for stage, count, source in (
+        ("gold.fact_hicp", "count(*)", "fact_index"), ("gold.headline", "count(*)", "headline"), ("gold.fact_macro", "count(*)", "fact_macro"),
+        ("gold.fact_cpi_features", "count(*)", "features"), ("ml.nowcast_output", "count(*)", "nowcasts"), ("report.hicp_wide", "count(*)", "hicp_wide"),
+        ("report.macro_wide", "count(*)", "macro_wide"), ("report.key_figures", "count(DISTINCT geo)", "hicp_wide"))),
+    ("fact_index", "headline", "fact_macro", "features", "nowcasts", "hicp_wide", "macro_wide"))
+def k5_observed_batch(spark, sf):
+    """Rows of every stage of a batch from staged rows to key figures, as counted by the writes, beside the stored tables."""
+    root = scratch_path(spark, "batch")
+    tables = batch.Batch(spark, root, "run").run({
+        "gold.fact_hicp": lambda _: proxy.index(spark, sf),
+        "gold.headline": lambda t: proxy.headline_of(t["gold.fact_hicp"]),
+        "gold.fact_macro": lambda _: proxy.macro(spark, sf),
+        "gold.fact_cpi_features": lambda t: gold.fact_cpi_features(t["gold.fact_hicp"], t["gold.fact_macro"]),
+        "ml.nowcast_output": lambda t: proxy.nowcasts(t["gold.headline"]),
+        "report.hicp_wide": lambda t: views.hicp_wide(t["gold.headline"], t["ml.nowcast_output"], geo=None),
+        "report.macro_wide": lambda t: views.macro_wide(t["gold.fact_macro"]),
+        "report.key_figures": lambda t: views.key_figures(t["report.hicp_wide"], t["report.macro_wide"])})
+    log = runlog.stage_metrics(registry.read(spark, root, "stage_events"))
+    back = quality.row_counts(tables).withColumnRenamed("table_name", "stage_name")
+    return log.join(back, "stage_name").select("stage_name", "row_count", "status", (F.col("row_count") == F.col("n_rows")).alias("as_read_back"))
+
+
 @query("j5_latest_run_metrics", """
 SELECT r.model_version, epoch_us(r.finished_at) AS finished_us, m.metric, m.value FROM model_runs r JOIN (
   SELECT 'run-' || o_custkey AS run_id, 'mae' AS metric, min(o_totalprice) AS value FROM orders GROUP BY o_custkey
