@@ -52,8 +52,8 @@ def order_statistics(df: DataFrame, keys: list[str], value: str,
         rank.cast("long").alias(f"_p{i}"), nothing.alias(f"_lo{i}"), nothing.alias(f"_hi{i}"), F.col("n").alias(f"_m{i}"), F.col("_q").alias(f"_q{i}"),
         nothing.alias(f"_v{i}"))]), "intervals")
 
-    def inside(i: int, low: str = "_lo", high: str = "_hi") -> Column:
-        return (F.col(f"{low}{i}").isNull() | (v > F.col(f"{low}{i}"))) & (F.col(f"{high}{i}").isNull() | (v < F.col(f"{high}{i}")))
+    def inside(i: int) -> Column:
+        return (F.col(f"_lo{i}").isNull() | (v > F.col(f"_lo{i}"))) & (F.col(f"_hi{i}").isNull() | (v < F.col(f"_hi{i}")))
 
     while True:
         # Bounds a, b: sketch levels one step outside the rank's own; a small interval is taken whole.
@@ -66,15 +66,23 @@ def order_statistics(df: DataFrame, keys: list[str], value: str,
         ).drop(*[f"_q{i}" for i in each])
         limits = bounded.select(*keys, *[f"_{x}{i}" for i in each for x in ("lo", "hi", "a", "b", "m", "v")]).where(
             reduce(Column.__or__, [F.col(f"_v{i}").isNull() for i in each]))
+        # Rows collapse to one count per place, and per value where values are gathered, before the shuffle.
+        places, gathers = [], []
+        for i in each:
+            a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
+            place = F.when(v < a, 0).when(v == a, 1).when(b.isNull() | (v < b), 2).when(v == b, 3).otherwise(4)
+            places.append(F.when(F.col(f"_v{i}").isNull() & inside(i), place).alias(f"_at{i}"))
+            gathers.append((F.col(f"_m{i}") * share <= gathered) | (F.col(f"_m{i}") <= gathered))
+        placed = join_null_safe(present, limits, keys).select(*keys, "_v", *places, *[g.alias(f"_g{i}") for i, g in enumerate(gathers)])
+        wanted = reduce(Column.__or__, [F.coalesce(F.col(f"_g{i}") & (F.col(f"_at{i}") == 2), F.lit(False)) for i in each])
+        collapsed = placed.groupBy(*keys, *[f"_at{i}" for i in each], *[f"_g{i}" for i in each], F.when(wanted, v).alias("_v")).agg(F.count("*").alias("_c"))
         counts = []
         for i in each:
-            here = F.col(f"_v{i}").isNull() & inside(i)
-            gather = here & inside(i, "_a", "_b") & (F.col(f"_m{i}") * share <= gathered)
-            counts += [F.count_if(here & (v < F.col(f"_a{i}"))).alias(f"_lt_a{i}"), F.count_if(here & (v <= F.col(f"_a{i}"))).alias(f"_le_a{i}"),
-                       F.count_if(here & (F.col(f"_b{i}").isNull() | (v < F.col(f"_b{i}")))).alias(f"_lt_b{i}"),
-                       F.count_if(here & (F.col(f"_b{i}").isNull() | (v <= F.col(f"_b{i}")))).alias(f"_le_b{i}"),
-                       F.collect_list(F.when(gather | (here & (F.col(f"_m{i}") <= gathered)), v)).alias(f"_all{i}")]
-        counted = join_null_safe(bounded, join_null_safe(present, limits, keys).groupBy(*keys).agg(*counts), keys, "left")
+            at, c = F.col(f"_at{i}"), F.col("_c")
+            upto = lambda place, at=at, c=c: F.sum(F.when(at <= place, c).otherwise(0))
+            counts += [*[upto(k).alias(f"_{name}{i}") for k, name in enumerate(("lt_a", "le_a", "lt_b", "le_b"))],
+                       F.flatten(F.collect_list(F.when((at == 2) & F.col(f"_g{i}"), F.array_repeat(v, c.cast("int"))))).alias(f"_all{i}")]
+        counted = join_null_safe(bounded, collapsed.groupBy(*keys).agg(*counts), keys, "left")
         out = []
         for i in each:
             p, m, a, b = (F.col(f"_{x}{i}") for x in "pmab")
