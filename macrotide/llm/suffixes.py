@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.llm.anchors import anchors
-from macrotide.llm.sides import checked
 from macrotide.llm.text import Rolling, mix, slices
 from macrotide.session import cut_lineage
 
 LENGTH, GRAM = 200, 24
-SHARD_BYTES, HOT_CONTEXTS, LISTED_TEXTS = 2 << 20, 16_000, 100_000
+SHARD_BYTES, HOT_CONTEXTS = 2 << 20, 16_000
 LONGEST = 1 << 16  # two distances below it are packed beside a place
 SCAN_BYTES = 1 << 20  # texts hashed at a time: a worker holds some hundred bytes per byte of it
 
@@ -281,16 +280,17 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     and equal strings to equal anchors at the same distance, so anchor groups can be told apart without any text. A
     context, all bytes of an anchor's strings, that occurs twice is settled. Contexts that occur once meet those of
     the same anchor in a shard, whose suffix array has equal strings side by side. Anchors of one place only are
-    left out before anything is stored: texts are scanned twice instead.
+    left out before anything is stored: texts are scanned twice instead. All sides grow with the input, so joins are
+    shuffles at every size.
     """
     if not gram < length < LONGEST:
         raise ValueError(f"length {length} must lie between gram ({gram}) and {LONGEST}")
     often = _repeated_anchors(texts, length, gram)
-    places = cut_lineage(_places(texts.select("key", "text"), length, gram).join(often.hint("shuffle_hash"), "anchor", "left_semi"), "places")
+    places = cut_lineage(_places(texts.select("key", "text"), length, gram).join(often.hint("merge"), "anchor", "left_semi"), "places")
     contexts = cut_lineage(places.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one")), "contexts")
     groups = contexts.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
-    needed = cut_lineage(contexts.join(groups, "anchor").select("anchor", "context", (F.col("n") == 1).alias("lone"), "m", "one.key", "one.place"), "needed")
-    ranges = places.join(contexts.where("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select(
+    needed = cut_lineage(contexts.join(groups.hint("merge"), "anchor").select("anchor", "context", (F.col("n") == 1).alias("lone"), "m", "one.key", "one.place"), "needed")
+    ranges = places.join(contexts.where("n > 1").select("anchor", "context").hint("merge"), ["anchor", "context"], "left_semi").select(
         "key", F.shiftright("place", 32).alias("first"), F.shiftright("place", 16).bitwiseAND(0xFFFF).alias("more")).select(
         "key", "first", (F.col("first") + F.col("more")).alias("last")).distinct()
 
@@ -299,7 +299,7 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
             continue
         lists = part.groupBy("key").agg(F.collect_list(F.struct("anchor", "context", "place", "lone")).alias("listed"))
         one = texts.groupBy("key").agg(F.min("doc_id").alias("_one"))
-        lists = checked(lists.join(one, "key").select(F.col("key").alias("_key"), "_one", "listed"), "listed", LISTED_TEXTS)
+        lists = lists.join(one.hint("merge"), "key").select(F.col("key").alias("_key"), "_one", "listed").hint("merge")
         cut = texts.join(lists, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_one"))).select("key", "text", "listed")
         ranges = ranges.unionByName(cut_lineage(find(_contexts(cut, length), length), "repeats"))
     return ranges.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
@@ -340,5 +340,5 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.join(found, "key", "left").select("doc_id", "text", "ranges").mapInArrow(
+    return docs.join(found.hint("merge"), "key", "left").select("doc_id", "text", "ranges").mapInArrow(
         run, f"doc_id {kind}, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary")
