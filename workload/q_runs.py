@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.operators import keyed, quality, registry, runlog, versions
+from macrotide.operators import keyed, quality, registry, rules, runlog, versions
 from macrotide.plans import batch, gold, views
 from macrotide.schemas import REQUIRED
 from macrotide.session import cut_lineage, scratch_path
@@ -342,3 +342,47 @@ def q8_constraints(spark, sf):
         F.when(n % 13 != 0, F.lit("v")).alias("model_version"), F.when(n % 17 != 0, F.col("value")).alias("y_nowcast"),
         F.when(n % 19 != 0, F.col("ts")).alias("created_at_utc"))
     return quality.check_constraints(rows, REQUIRED["nowcast_output"], ["month", "geo"])
+
+
+def _declared_sql() -> str:
+    """The declared rules one by one, as a reader of the declaration would write them."""
+    source = {"dim_time": "spine", "fact_hicp": "fact_index", "fact_macro": "fact_macro", "gold_nowcast_input": "nowcast_input",
+              "v_hicp_dashboard_wide": "hicp_wide", "v_macro_monthly_wide": "macro_wide"}
+    one = "SELECT '{0}' AS table_name, '{1}' AS rule, '{2}' AS column_name, count(*) AS failures, count(*) = 0 AS passed FROM {3}".format
+    parts = [one(t, "not_null", c, f"{source[t]} WHERE {c} IS NULL") for t, declared in rules.GOLD.items() for c in declared.required]
+    parts.append(one("dim_time", "unique", "month", "(SELECT month FROM spine GROUP BY month HAVING count(*) > 1)"))
+    parts.append(one("v_hicp_dashboard_wide", "accepted_values", "source", "hicp_wide WHERE source NOT IN ('actual', 'nowcast')"))
+    return "\nUNION ALL ".join(parts)
+
+
+@query("q8_declared_gold_rules", _declared_sql(), ("spine", "fact_index", "fact_macro", "nowcast_input", "hicp_wide", "macro_wide"))
+def q8_declared_gold_rules(spark, sf):
+    head, nowcasts = proxy.stored_gold(spark, sf)
+    macro = cut_lineage(proxy.macro(spark, sf), "macro")
+    return rules.check_all({
+        "dim_time": proxy.spine(spark), "fact_hicp": proxy.index(spark, sf), "fact_macro": macro,
+        "gold_nowcast_input": proxy.nowcast_input(spark, sf), "v_hicp_dashboard_wide": views.hicp_wide(head, nowcasts, geo=None),
+        "v_macro_monthly_wide": views.macro_wide(macro)})
+
+
+@query("q8_declared_rules_one_scan", """
+WITH t AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 9 <> 0 THEN l_suppkey END AS supplier, l_returnflag,
+    CASE WHEN l_linenumber = 7 THEN 'nan'::DOUBLE ELSE l_extendedprice END AS price FROM lineitem)
+SELECT *, failures = 0 AS passed FROM (
+  SELECT 'lineitem' AS table_name, 'not_null' AS rule, 'supplier' AS column_name, count(*) FILTER (WHERE supplier IS NULL) AS failures FROM t
+  UNION ALL SELECT 'lineitem', 'not_null', 'l_orderkey', count(*) FILTER (WHERE l_orderkey IS NULL) FROM t
+  UNION ALL SELECT 'lineitem', 'accepted_values', 'l_returnflag', count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')) FROM t
+  UNION ALL SELECT 'lineitem', 'finite', 'price', count(*) FILTER (WHERE isnan(price) OR isinf(price)) FROM t
+  UNION ALL SELECT 'lineitem', 'unique', 'l_orderkey,l_linenumber', count(*) FROM (
+    SELECT 1 FROM t WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+  UNION ALL SELECT 'lineitem', 'unique', 'supplier,l_orderkey', count(*) FROM (
+    SELECT 1 FROM t WHERE supplier IS NOT NULL AND l_orderkey IS NOT NULL GROUP BY supplier, l_orderkey HAVING count(*) > 1)
+  UNION ALL SELECT 'lineitem', 'minimum_rows', 'supplier', count(*) FROM (
+    SELECT 1 FROM t WHERE supplier IS NOT NULL GROUP BY supplier HAVING count(*) < 550))""")
+def q8_declared_rules_one_scan(spark, sf):
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 9 != 0, F.col("l_suppkey")).alias("supplier"), "l_returnflag",
+        F.when(F.col("l_linenumber") == 7, F.lit(float("nan"))).otherwise(F.col("l_extendedprice")).alias("price"))
+    return rules.check(rows, "lineitem", rules.Rules(
+        required=("supplier", "l_orderkey"), accepted={"l_returnflag": ("A", "N")}, finite=("price",),
+        unique=(("l_orderkey", "l_linenumber"), ("supplier", "l_orderkey")), least={("supplier",): 550}))

@@ -10,7 +10,7 @@ from macrotide.functions import clean
 from macrotide.plans import ingest, views
 from macrotide.plans.gold import fx_monthly
 from macrotide.session import scratch_path
-from macrotide.sources import bronze, payloads
+from macrotide.sources import bronze, compaction, payloads
 from workload import landed, proxy
 from workload.registry import query, r, rounded
 
@@ -178,3 +178,34 @@ def q9_files_per_dataset(spark, sf):
         listed = one if listed is None else listed.unionByName(one)
     listed = listed.groupBy("dataset").agg(F.count("*").alias("n"))
     return counted.join(listed, "dataset").select("dataset", (F.col("n_files") == F.col("n")).alias("as_listed"))
+
+
+def _compacted(spark, raw) -> str:
+    """Root of a dataset that landed in three batches: two packed as they came, and retired, the third not packed yet."""
+    root = scratch_path(spark, "bronze")
+    batch = F.pmod(F.xxhash64("ingest_ts", "series_id"), F.lit(3))
+    for i in range(3):
+        bronze.write_bronze(raw.filter(batch == i), root, "rows")
+        if i < 2:
+            compaction.compact(spark, root, "rows")
+    compaction.retire(spark, root, "rows")
+    return root
+
+
+@query("s2_compacted_bronze", """
+SELECT dt, dataset, series_id, coalesce(nullif(geo, ''), 'NA') AS geo, nullif(value, '') AS value, source, ingest_ts FROM bronze_events""", ("bronze_events",))
+def s2_compacted_bronze(spark, sf):
+    back = compaction.read_compacted(spark, _compacted(spark, proxy.bronze_events(spark, sf)), "rows")
+    return back.select("dt", "dataset", "series_id", "geo", F.nullif("value", F.lit("")).alias("value"), "source", "ingest_ts")
+
+
+@query("q9_files_after_compaction", """
+SELECT substr(dt, 1, 7) AS month, count(*) AS n_rows, 0 AS day_files FROM bronze_index GROUP BY 1""", ("bronze_index",))
+def q9_files_after_compaction(spark, sf):
+    """Packed rows per month beside the day files left, once everything is packed and retired."""
+    root = _compacted(spark, proxy.bronze_index(spark, sf))
+    compaction.compact(spark, root, "rows")
+    compaction.retire(spark, root, "rows")
+    left = len(compaction.day_files(spark, root, "rows"))
+    packed = compaction.read_compacted(spark, root, "rows")
+    return packed.groupBy(F.substring("dt", 1, 7).alias("month")).agg(F.count("*").alias("n_rows")).withColumn("day_files", F.lit(left))

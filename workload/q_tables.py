@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.functions.numeric import ratio_change
-from macrotide.operators import keyed, orderstats, quality, stats, windows
+from macrotide.operators import keyed, orderstats, quality, stats, vintages, windows
 from macrotide.plans import features as feature_plan
 from macrotide.plans import gold, views
 from macrotide.plans.silver import all_series, dataset_labels
+from macrotide.session import scratch_path
 from macrotide.sources.bronze import stage
 from workload import proxy
 from workload.proxy import CUTOFF, FEATURE_NAMES, ROLLING_SQL, ROLLING_WINDOWS, TRAIN_STOP, table
@@ -95,6 +96,18 @@ def a1_last_write_wins(spark, sf):
     return newest.withColumn("ingest_us", F.unix_micros("ingest_ts")).drop("ingest_ts")
 
 
+@query("a1_merged_batches", "SELECT dt, dataset, series_id, geo, value, source, ingest_us FROM lww_events", ("lww_events",))
+def a1_merged_batches(spark, sf):
+    """The vintages in three batches, each merged into the bucketed store of those before."""
+    staged, keys, buckets = stage(proxy.bronze_events(spark, sf)), ["dataset", "dt", "geo", "series_id"], 8
+    batch = F.pmod(F.xxhash64("ingest_ts", "value"), F.lit(3))
+    first, second = scratch_path(spark, "vintages"), scratch_path(spark, "vintages")
+    vintages.create(staged.filter(batch == 0), first, buckets, keys)
+    vintages.merge(staged.filter(batch == 1), first, second, buckets, keys)
+    newest = vintages.merged(staged.filter(batch == 2), second, buckets, keys).select(*staged.columns)
+    return newest.withColumn("ingest_us", F.unix_micros("ingest_ts")).drop("ingest_ts")
+
+
 @query("a1_last_write_wins_hot_keys", """
 SELECT l_linestatus, l_returnflag, l_shipdate::DATE AS ts_date, l_orderkey, l_linenumber, l_extendedprice FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_linestatus, l_returnflag
