@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -98,10 +99,24 @@ def evidence(machine, text: str) -> tuple[float, int]:
             free.append((start, end))
         elif weight > best.get(start, 0.0):
             best[start] = weight
-    total = sum(w for at, w in best.items() if not any(a <= at < b for a, b in free))
+    begin, until = _joined(free)
+    total = sum(w for at, w in best.items() if not (k := bisect_right(begin, at)) or at >= until[k - 1])
     return total, len(line.split())
 
 
+def _joined(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the union of spans, in order, so that a place is looked up and not held against every span."""
+    begin: list[int] = []
+    until: list[int] = []
+    for a, b in sorted(spans):
+        if until and a <= until[-1]:
+            until[-1] = max(until[-1], b)
+        else:
+            begin.append(a)
+            until.append(b)
+    return begin, until
+
+
 def _entries(words: set[str]) -> set[str]:
     """What may become an entry: whole words, and stems of four to six letters that a longer word begins with."""
     out = {f"{w} " for w in words if len(w) < 40}

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -489,6 +490,25 @@ def test_toxicity_without_labels(docs, marks):
     assert by[77] == 1 and sum(by.values()) == 1
 
 
+def test_evidence_matches_brute_force():
+    rng = random.Random(5)
+    lexicon = toxicity.Lexicon({"aa ": 1.0, "ab": 2.0, "aba": 4.0, "b ": 8.0, "bb a": 16.0}, ("ab a", "b b", "a ab b"))
+    machine = lexicon.automaton()
+    for _ in range(300):
+        line = toxicity.fold(" ".join("".join(rng.choice("ab") for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(0, 12))))
+        spans = [(i, i + len(f) - 1) for f in map(toxicity.fold, lexicon.exceptions) for i in range(len(line)) if line.startswith(f, i)]
+        total = sum(max((w for e, w in lexicon.weights.items() if line.startswith(f" {e}", i)), default=0.0)
+                    for i in range(len(line)) if not any(a <= i < b for a, b in spans))
+        assert toxicity.evidence(machine, line) == (total, len(line.split()))
+
+
+def test_evidence_of_a_long_text_with_many_exceptions():
+    machine = toxicity.Lexicon({"idiot ": 2.0, "trash ": 1.0}).automaton()
+    start = time.time()
+    assert toxicity.evidence(machine, "you idiot trash can " * 50_000) == (100_000.0, 200_000)
+    assert time.time() - start < 10
+
+
 # ---- packing ---------------------------------------------------------------------------------------------------------
 
 
