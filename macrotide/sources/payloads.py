@@ -51,10 +51,15 @@ def _has_currencies() -> Column:
     return _has_data() & (_dimension_position(dims, "CURRENCY") > 0) & (_dimension_position(dims, "CURRENCY_DENOM") > 0)
 
 
-def refused(payloads: DataFrame, kind: str) -> DataFrame:
-    """Documents that a flattener does not accept: ``kind`` is ``fx``, ``rates`` or ``pages``."""
+def accepted(payloads: DataFrame, kind: str) -> Column:
+    """Whether a flattener accepts a document: ``kind`` is ``fx``, ``rates`` or ``pages``."""
     content = {"fx": _has_currencies, "rates": _has_data, "pages": lambda: F.col("observations").isNotNull()}[kind]()
-    return payloads.filter(~_readable(payloads, content))
+    return _readable(payloads, content)
+
+
+def refused(payloads: DataFrame, kind: str) -> DataFrame:
+    """Documents that a flattener does not accept."""
+    return payloads.filter(~accepted(payloads, kind))
 
 
 def _dimension_position(dims: Column, name: str) -> Column:

@@ -6,10 +6,10 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from macrotide.operators import keyed, rules, versions, vintages
+from macrotide.operators import keyed, profiles, rules, versions, vintages
 from macrotide.schemas import BRONZE_COLUMNS
 from macrotide.session import scratch_path
-from macrotide.sources import bronze, compaction
+from macrotide.sources import bronze, compaction, payloads, quarantine
 
 
 def plan_of(df) -> str:
@@ -167,3 +167,56 @@ def test_files_with_a_day_column_of_their_own(spark):
     compaction.compact(spark, root, "x", dt_in_file=True)
     back = compaction.read_compacted(spark, root, "x", dt_in_file=True)
     assert content(back) == before and back.filter(F.col("dt") != F.col("dt_in_file")).count() == 0
+
+
+# ---- profiles by day ----------------------------------------------------------------------------
+
+
+def profile_rows(spark, days, seed):
+    pick = random.Random(seed)
+    rows = [(date(2024, 1 + d // 28, 1 + d % 28), pick.choice([None, float("nan"), pick.random() * 1000]), f"t{pick.randint(0, 400)}", None)
+            for d in days for _ in range(100)]
+    return spark.createDataFrame(rows, "d date, v double, t string, none int"), rows
+
+
+def test_profile_of_days_equals_that_of_the_whole(spark):
+    root, names = scratch_path(spark, "profile"), ["v", "t", "none"]
+    first, a = profile_rows(spark, range(40), 1)
+    second, b = profile_rows(spark, range(30, 70), 2)  # days 30 to 39 come anew
+    profiles.store(first, root, "d", names)
+    was = {r["part"]: r["folder"] for r in versions.parts(spark, root).collect()}
+    for _ in range(2):
+        profiles.store(second, root, "d", names)
+    now = {r["part"]: r["folder"] for r in versions.parts(spark, root).collect()}
+    assert was["2024-01-01"] == now["2024-01-01"] and was["2024-02-01"] != now["2024-02-01"]
+
+    rows = [r for r in a if r[0] < min(x[0] for x in b)] + b
+    by = {r["column_name"]: r for r in profiles.profile(spark, root).collect()}
+    numbers = sorted(r[1] for r in rows if r[1] is not None and r[1] == r[1])
+    assert {r["n_rows"] for r in by.values()} == {len(rows)}
+    assert by["v"]["n_null"] == sum(r[1] is None for r in rows) and by["none"]["n_null"] == len(rows)
+    assert by["v"]["least"] == numbers[0]
+    for p, q in zip((0.25, 0.5, 0.75), by["v"]["quantiles"]):
+        assert abs(sum(x <= q for x in numbers) / len(numbers) - p) < 0.04
+    assert abs(by["t"]["n_distinct"] - 401) < 30 and by["none"]["n_distinct"] == 0
+    assert by["t"]["quantiles"] is None and by["none"]["quantiles"] is None
+
+
+# ---- documents sorted out -----------------------------------------------------------------------
+
+
+def test_accepted_and_refused_are_what_landed(spark, tmp_path):
+    texts = ['{"observations":[{"date":"2024-01-01","value":"1"}]}', '{"observations":[{"date"', '{"other":1}', '{"observations":[]}']
+    for i, text in enumerate(texts):
+        folder = tmp_path / f"series_id=s{i}"
+        folder.mkdir()
+        (folder / "page.json").write_text(text)
+    path = scratch_path(spark, "sorted")
+    docs = payloads.read_json(spark, str(tmp_path), payloads.PAGE_JSON)
+    for _ in range(2):
+        assert quarantine.sort_out(docs, "pages", path) == {"accepted": 2, "refused": 2}
+    good, bad = quarantine.accepted(spark, path), quarantine.refused(spark, path)
+    assert {r["series_id"] for r in good.collect()} == {"s0", "s3"}
+    assert {(r["series_id"], r["reason"]) for r in bad.collect()} == {("s1", "unreadable"), ("s2", "incomplete")}
+    assert [r[payloads.CORRUPT] for r in bad.filter("reason = 'unreadable'").collect()] == [texts[1]]
+    assert payloads.flatten_pages(good).count() == 1

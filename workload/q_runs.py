@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from macrotide.operators import keyed, quality, registry, rules, runlog, versions
+from macrotide.operators import keyed, profiles, quality, registry, rules, runlog, versions
 from macrotide.plans import batch, gold, views
 from macrotide.schemas import REQUIRED
 from macrotide.session import cut_lineage, scratch_path
@@ -317,6 +317,22 @@ def q5_column_profile_approx(spark, sf):
     return near.join(exact, "column_name").select("column_name", (F.abs(F.col("n_distinct") - F.col("n")) <= 0.1 * F.col("n")).alias("within_a_tenth"))
 
 
+@query("q5_profile_by_day", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_null, {low}::DOUBLE AS least, {high}::DOUBLE AS greatest, "
+    f"true AS distinct_near FROM lineitem" for c, low, high in (
+        ("l_orderkey", "min(l_orderkey)", "max(l_orderkey)"), ("l_extendedprice", "min(l_extendedprice)", "max(l_extendedprice)"),
+        ("l_returnflag", "NULL", "NULL"))))
+def q5_profile_by_day(spark, sf):
+    """The profile united from stored days: half of them stored first, then the others, then some of these once more."""
+    rows, names = table(spark, sf, "lineitem"), ["l_orderkey", "l_extendedprice", "l_returnflag"]
+    root, year = scratch_path(spark, "profile"), F.year("l_shipdate")
+    for days in (year < 1995, year >= 1995, year == 1997):
+        profiles.store(rows.filter(days), root, "l_shipdate", names)
+    exact = quality.column_profile(rows.select(*names), "source", "lineitem", exact=True).select("column_name", F.col("n_distinct").alias("n"))
+    return profiles.profile(spark, root).join(exact, "column_name").select(
+        "column_name", "n_rows", "n_null", "least", "greatest", (F.abs(F.col("n_distinct") - F.col("n")) <= 0.07 * F.col("n")).alias("distinct_near"))
+
+
 @query("q7_non_empty", """
 SELECT 'v_hicp_dashboard_wide' AS table_name, count(*) AS n_rows FROM hicp_wide UNION ALL
 SELECT 'v_macro_monthly_wide', count(*) FROM macro_wide""", ("hicp_wide", "macro_wide"))

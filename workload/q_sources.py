@@ -10,7 +10,7 @@ from macrotide.functions import clean
 from macrotide.plans import ingest, views
 from macrotide.plans.gold import fx_monthly
 from macrotide.session import scratch_path
-from macrotide.sources import bronze, compaction, payloads
+from macrotide.sources import bronze, compaction, payloads, quarantine
 from workload import landed, proxy
 from workload.registry import query, r, rounded
 
@@ -74,6 +74,24 @@ def s4_refused_payloads(spark, sf):
     return payloads.refused(docs.select("structure", "dataSets", payloads.CORRUPT), "rates").agg(F.count("structure").alias("_s"), F.count("*").alias("refused")).select("refused")
 
 
+@query("s4_sorted_out_payloads", """
+SELECT 'accepted' AS status, NULL::VARCHAR AS reason, count(*) AS documents, round(sum(s_acctbal), 6) AS value, true AS as_written FROM supplier WHERE s_suppkey % 4 IN (1, 2)
+UNION ALL SELECT 'refused', 'unreadable', count(*), NULL, true FROM supplier WHERE s_suppkey % 4 = 0
+UNION ALL SELECT 'refused', 'incomplete', count(*), NULL, true FROM supplier WHERE s_suppkey % 4 = 3""")
+def s4_sorted_out_payloads(spark, sf):
+    """Accepted and refused documents of one write; accepted ones are flattened strictly afterwards."""
+    path = scratch_path(spark, "sorted")
+    counts = quarantine.sort_out(payloads.read_json(spark, landed.mixed_payloads(spark, sf), payloads.SDMX_JSON), "rates", path)
+    good = payloads.flatten_rates(quarantine.accepted(spark, path)).agg(F.count("*").alias("documents"), F.sum("value").alias("value")).select(
+        F.lit("accepted").alias("status"), F.lit(None).cast("string").alias("reason"), "documents", F.round("value", 6).alias("value"),
+        (F.col("documents") == counts["accepted"]).alias("as_written"))
+    bad = quarantine.refused(spark, path).groupBy("reason").agg(F.count("*").alias("documents"))
+    total = bad.agg(F.sum("documents").alias("n"))
+    return good.unionByName(bad.select(
+        F.lit("refused").alias("status"), "reason", "documents", F.lit(None).cast("double").alias("value"),
+        (F.lit(counts["refused"]) == total.scalar()).alias("as_written")))
+
+
 @query("s5_read_sdmx_csv", """
 SELECT CASE o_orderkey % 4 WHEN 0 THEN date_trunc('year', o_orderdate)::DATE WHEN 1 THEN date_trunc('month', o_orderdate)::DATE
        ELSE o_orderdate::DATE END AS obs_date,
