@@ -10,128 +10,149 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from macrotide.llm.text import Rolling, Texts, Words, find_words, slices
+from macrotide.llm.text import Rolling, Texts, find_words, slices
 from macrotide.session import cut_lineage
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-PIECE_BYTES, WORD_BYTES, ROWS_PER_LANGUAGE, STEPS = 8, 32, 2_000, 3
+ROWS_PER_LANGUAGE, STEPS = 2_000, 3
 _SMOOTHING, _SLICE = 0.5, 4 << 20
 
 
-def read_vocabulary(spark: SparkSession, path: str = VOCABULARY, longest: int = PIECE_BYTES) -> list[bytes]:
-    """Pieces of a public byte-level vocabulary (lines of base64 and rank) of at most ``longest`` bytes, and all single bytes.
+def read_vocabulary(spark: SparkSession, path: str = VOCABULARY) -> list[bytes]:
+    """Pieces of a public byte-level vocabulary (lines of base64 and rank), whatever their length, and all single bytes.
 
     The file belongs to the installation of the driver; its size is fixed whatever the input.
     """
     with open(path, "rb") as file:
         pieces = {base64.b64decode(line.split()[0]) for line in file if line.strip()}
-    return sorted({p for p in pieces if len(p) <= longest} | {bytes([b]) for b in range(256)})
+    return sorted(pieces | {bytes([b]) for b in range(256)})
 
 
 @dataclass
 class Model:
-    """Hashes of the pieces in order, their rows in ``probability`` (pieces x languages), and the languages."""
+    """For every length the prefixes of pieces (hashes in order, and the row of the piece that ends there or -1), the
+    languages, and the pieces' probabilities (pieces x languages)."""
 
-    hashes: np.ndarray
-    rows: np.ndarray
+    prefixes: list[tuple[np.ndarray, np.ndarray]]
     languages: list[str]
     probability: np.ndarray
-    longest: int
 
     @classmethod
-    def of(cls, pieces: list[bytes], languages: list[str], longest: int = PIECE_BYTES) -> Model:
-        data = np.frombuffer(b"".join(pieces), np.uint8)
+    def of(cls, pieces: list[bytes], languages: list[str], longest: int | None = None) -> Model:
+        """A model of equal probabilities over pieces of at most ``longest`` bytes (None: all)."""
         size = np.array([len(p) for p in pieces])
-        end = np.cumsum(size)
-        h = Rolling(data).between(end - size, end)
-        order = np.argsort(h)
-        return cls(h[order], order, languages, np.ones((len(pieces), len(languages))) / len(pieces), longest)
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, self.rows[at], -1)
-
-
-def _stretches(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words cut into stretches of WORD_BYTES at most: start, end, text, and whether a word begins there."""
-    size = words.end - words.start
-    parts = -(-size // WORD_BYTES)
-    if (parts == 1).all():
-        return words.start, words.end, words.text, np.ones(len(size), bool)
-    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    start = np.repeat(words.start, parts) + nth * WORD_BYTES
-    return start, np.minimum(start + WORD_BYTES, np.repeat(words.end, parts)), np.repeat(words.text, parts), nth == 0
+        start = np.cumsum(size) - size
+        rolling = Rolling(np.frombuffer(b"".join(pieces), np.uint8))
+        prefixes = []
+        for length in range(1, min(longest or size.max(), size.max()) + 1):
+            rows = np.flatnonzero(size >= length)
+            h = rolling.between(start[rows], start[rows] + length)
+            rows = np.where(size[rows] == length, rows, -1)
+            order = np.lexsort((-rows, h))
+            h, rows = h[order], rows[order]
+            first = np.append(True, h[1:] != h[:-1])
+            prefixes.append((h[first], rows[first]))
+        return cls(prefixes, languages, np.ones((len(pieces), len(languages))) / len(pieces))
+
+
+def _log_sums(x: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Logarithms of the sums of exp(x) over runs of rows that begin at ``heads``."""
+    top = np.maximum.reduceat(x, heads)
+    part = np.exp(x - np.repeat(top, np.diff(np.append(heads, len(x))), axis=0))
+    return top + np.log(np.add.reduceat(part, heads))
 
 
 class Lattice:
-    """All pieces inside distinct words: for every place and length the piece's row, words ordered by length."""
+    """All pieces inside distinct words, as edges between nodes, one node before, between and after their bytes.
+
+    Nodes are numbered by their distance from the word's begin, then by word, the longest word first: a sweep takes one
+    distance of all words at a time, and costs the same per byte whatever the words' lengths. Every byte has to be a
+    piece. Sums are kept as logarithms, so that a word of any length has a score.
+    """
 
     def __init__(self, model: Model, data: np.ndarray, start: np.ndarray, end: np.ndarray, blank: np.ndarray):
         size = end - start + blank
-        order = np.argsort(-size, kind="stable")
-        start, end, blank, size = start[order], end[order], blank[order], size[order]
-        self.order, self.size = order, size
-        self.first = np.cumsum(size + 1) - (size + 1)  # one more node than bytes
-        buffer = np.full(int((size + 1).sum()), 32, np.uint8)
+        self.order = np.argsort(-size, kind="stable")
+        start, end, blank, self.size = start[self.order], end[self.order], blank[self.order], size[self.order]
+        first = np.cumsum(self.size) - self.size
+        buffer = np.full(int(size.sum()), 32, np.uint8)
         owner = np.repeat(np.arange(len(size)), end - start)
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(end - start) - (end - start), end - start)
-        buffer[self.first[owner] + blank[owner] + inside] = data[start[owner] + inside]
+        buffer[first[owner] + blank[owner] + inside] = data[start[owner] + inside]
         rolling = Rolling(buffer, lower=True)
-        until = np.repeat(self.first + size, size + 1)
-        place = np.arange(len(buffer))
-        self.pieces = []
-        for length in range(1, model.longest + 1):
-            fits = np.flatnonzero(place + length <= until)
-            row = np.full(len(buffer), -1)
-            row[fits] = model.find(rolling.between(fits, fits + length))
-            self.pieces.append(row)
-        self.active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), "right")
+        self.longest = int(self.size[0]) if len(size) else 0
+        self.width = np.searchsorted(-self.size, -np.arange(self.longest + 1), "right")  # words of that many bytes or more
+        self.layer = np.concatenate([[0], np.cumsum(self.width)])  # first node of each distance
+        self.last = self.layer[self.size] + np.arange(len(size))
+
+        at = np.repeat(np.arange(self.longest), self.width[1:])
+        word = np.arange(len(at)) - np.repeat(np.cumsum(self.width[1:]) - self.width[1:], self.width[1:])
+        kind = np.int32 if self.layer[-1] < 1 << 31 else np.int64
+        edges = [[np.zeros(0, kind)] for _ in range(4)]
+        for length, (hashes, rows) in enumerate(model.prefixes, 1):
+            fits = at + length <= self.size[word]
+            at, word = at[fits], word[fits]
+            place = first[word] + at
+            h = rolling.between(place, place + length)
+            k = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            known = hashes[k] == h
+            at, word, row = at[known], word[known], rows[k[known]]
+            whole = row >= 0
+            for one, values in zip(edges, (self.layer[at] + word, self.layer[at + length] + word, row, word)):
+                one.append(values[whole].astype(kind))
+        target = np.concatenate(edges[1])
+        by_target = np.argsort(target, kind="stable")
+        self.target = target[by_target]
+        self.source, self.row, self.word = (np.concatenate(edges[i])[by_target] for i in (0, 2, 3))
 
     def forward(self, p: np.ndarray) -> np.ndarray:
-        """Probability of all ways to reach every node, one column per language."""
-        alpha = np.zeros((len(self.pieces[0]), p.shape[1]))
-        alpha[self.first] = 1.0
-        for j, n in enumerate(self.active, 1):
-            at = self.first[:n] + j
-            for length in range(1, min(j, len(self.pieces)) + 1):
-                row = self.pieces[length - 1][at - length]
-                has = np.flatnonzero(row >= 0)
-                alpha[at[has]] += alpha[at[has] - length] * p[row[has]]
+        """Logarithm of the probability of all ways to reach every node, one column per language."""
+        log_p = np.log(p)
+        alpha = np.zeros((self.layer[-1], p.shape[1]))
+        bounds = np.searchsorted(self.target, self.layer)
+        heads = np.flatnonzero(np.append(True, self.target[1:] != self.target[:-1]))  # of all nodes but the words' first
+        nodes = self.layer - len(self.size)
+        for j in range(1, self.longest + 1):
+            a, b = bounds[j], bounds[j + 1]
+            alpha[self.layer[j]:self.layer[j + 1]] = _log_sums(
+                alpha[self.source[a:b]] + log_p[self.row[a:b]], heads[nodes[j]:nodes[j + 1]] - a)
         return alpha
 
+    def _backward(self, log_p: np.ndarray) -> np.ndarray:
+        """Logarithm of the probability of all ways from every node to the end of its word."""
+        beta = np.zeros(self.layer[-1])
+        by_source = np.argsort(self.source, kind="stable")
+        source, target, row = self.source[by_source], self.target[by_source], self.row[by_source]
+        bounds = np.searchsorted(source, self.layer)
+        for j in range(self.longest - 1, -1, -1):
+            a, b = bounds[j], bounds[j + 1]
+            heads = np.flatnonzero(np.append(True, source[a + 1:b] != source[a:b - 1]))
+            beta[self.layer[j]:self.layer[j] + self.width[j + 1]] = _log_sums(beta[target[a:b]] + log_p[row[a:b]], heads)
+        return beta
+
+    def occurrences(self, counts: np.ndarray, pieces: int) -> np.ndarray:
+        """How often every piece occurs as a substring in words that occur ``counts`` times."""
+        return np.bincount(self.row, counts[self.order][self.word], pieces)
+
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of every piece in words that occur ``counts`` times, for one language."""
-        alpha = self.forward(p[:, None])[:, 0]
-        beta = np.zeros_like(alpha)
-        last = self.first + self.size
-        beta[last] = 1.0
-        for j in range(len(self.active), 0, -1):
-            at = self.first[: self.active[j - 1]] + j - 1  # nodes with a byte after them
-            left = last[: self.active[j - 1]] - at
-            for length in range(1, len(self.pieces) + 1):
-                row = self.pieces[length - 1][at]
-                has = np.flatnonzero((row >= 0) & (left >= length))
-                beta[at[has]] += p[row[has]] * beta[at[has] + length]
-        scale = np.repeat(counts[self.order] / np.maximum(alpha[last], 1e-300), self.size + 1)
-        out = np.zeros(len(p))
-        for length, row in enumerate(self.pieces, 1):
-            has = np.flatnonzero(row >= 0)
-            out += np.bincount(row[has], alpha[has] * p[row[has]] * beta[has + length] * scale[has], len(p))
-        return out
+        log_p = np.log(p)
+        alpha, beta = self.forward(p[:, None])[:, 0], self._backward(log_p)
+        use = np.exp(alpha[self.source] + log_p[self.row] + beta[self.target] - alpha[self.last][self.word])
+        return np.bincount(self.row, use * counts[self.order][self.word], len(p))
 
     def scores(self, p: np.ndarray) -> np.ndarray:
         """Log probability of every word in its original order."""
         out = np.empty((len(self.size), p.shape[1]))
-        out[self.order] = np.log(np.maximum(self.forward(p)[self.first + self.size], 1e-300))
+        out[self.order] = self.forward(p)[self.last]
         return out
 
 
 def _distinct(texts: Texts):
-    """Distinct stretches of a slice: start, end, blank before, and for every occurrence its number and its text."""
-    start, end, text, blank = _stretches(find_words(texts))
-    h = Rolling(texts.data, lower=True).between(start, end) ^ blank.astype(np.uint64)
-    _, pick, which = np.unique(h, return_index=True, return_inverse=True)
-    return start[pick], end[pick], blank[pick].astype(np.int64), which, text
+    """Distinct words of a slice, whole: start, end, blank before, and for every occurrence its number and its text."""
+    words = find_words(texts)
+    _, pick, which = np.unique(Rolling(texts.data, lower=True).between(words.start, words.end), return_index=True, return_inverse=True)
+    return words.start[pick], words.end[pick], np.ones(len(pick), np.int64), which, words.text
 
 
 def _counted(sample: DataFrame, model: Model, first: bool) -> np.ndarray:
@@ -140,7 +161,7 @@ def _counted(sample: DataFrame, model: Model, first: bool) -> np.ndarray:
 
     def run(batches):
         model = sent.value
-        total = np.zeros((len(model.hashes), len(model.languages)))
+        total = np.zeros(model.probability.shape)
         for batch, texts in slices(batches, limit=_SLICE):
             spoken = batch.column(batch.schema.get_field_index("language")).to_numpy()
             start, end, blank, which, text = _distinct(texts)
@@ -151,16 +172,14 @@ def _counted(sample: DataFrame, model: Model, first: bool) -> np.ndarray:
                     continue
                 lattice = Lattice(model, texts.data, start[own], end[own], blank[own])
                 if first:
-                    scale = np.repeat(counts[own][lattice.order], lattice.size + 1)
-                    for row in lattice.pieces:
-                        total[:, k] += np.bincount(row[row >= 0], scale[row >= 0], len(total))
+                    total[:, k] += lattice.occurrences(counts[own], len(total))
                 else:
                     total[:, k] += lattice.expected(model.probability[:, k], counts[own])
         piece, k = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(k), pa.array(total[piece, k])], ["piece", "language", "n"])
 
     found = sample.mapInArrow(run, "piece long, language long, n double").groupBy("piece", "language").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros((len(model.hashes), len(model.languages)))
+    out = np.zeros(model.probability.shape)
     out[found["piece"], found["language"]] = found["n"]
     return out
 
@@ -204,8 +223,8 @@ def languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     Learns from text and language of rows that are not held out (crc32 of the id modulo 4 is 2), a bounded number of
     each language; rows without an id count as not held out. A text's probability in a language is the product over
-    its words of the sum over all ways to cut the word, with its leading blank, into pieces of the vocabulary; words
-    of over 32 bytes go in stretches of 32. NULL and empty texts, texts without a letter, and all texts if
+    its words (A-Z in lower case) of the sum over all ways to cut the word, with its leading blank, into pieces of the
+    vocabulary; words and pieces have any length. NULL and empty texts, texts without a letter, and all texts if
     there is nothing to learn from, are ``und`` with score 0. Repeated rows are predicted each for itself; an empty
     input gives an empty result; other columns are not read.
 

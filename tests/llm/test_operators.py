@@ -216,6 +216,31 @@ def test_segmentations_are_summed():
     assert sum(u * len(x) for u, x in zip(uses, pieces)) == pytest.approx(2 * 5)
 
 
+def test_words_and_pieces_of_any_length_are_summed_whole(spark):
+    pieces = langid.read_vocabulary(spark)
+    assert max(map(len, pieces)) > 32
+    model = langid.Model.of(pieces, ["x", "y"])
+    p = np.random.default_rng(3).random((len(pieces), 2))
+    p /= p.sum(axis=0)
+    index = {x: i for i, x in enumerate(pieces)}
+    texts = ["Something", "x", "internationalisation-of-something%20important/" * 4, "\u65e5\u672c\u8a9e\u306e\u6587\u7ae0\u306f\u7a7a\u767d\u306a\u3057" * 9, "ab" * 20_000]
+    data = [t.encode() for t in texts]
+    end = np.cumsum([len(d) for d in data])
+    lattice = langid.Lattice(model, np.frombuffer(b"".join(data), np.uint8), end - [len(d) for d in data], end, np.ones(len(data), int))
+    got = lattice.scores(p)
+    assert np.isfinite(got).all()
+    for i, text in enumerate(texts[:4]):
+        word = b" " + text.lower().encode()
+        for k in range(2):
+            ways = [0.0]
+            for j in range(1, len(word) + 1):
+                terms = [ways[a] + math.log(p[index[word[a:j]], k]) for a in range(j) if word[a:j] in index]
+                ways.append(max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms)))
+            assert got[i, k] == pytest.approx(ways[-1])
+    uses = lattice.expected(p[:, 0], np.arange(1.0, 6.0))
+    assert sum(u * len(x) for u, x in zip(uses, pieces)) == pytest.approx(sum((i + 1) * (len(d) + 1) for i, d in enumerate(data)))
+
+
 # ---- perplexity ------------------------------------------------------------------------------------------------------
 
 
