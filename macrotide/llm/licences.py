@@ -6,7 +6,7 @@ import re
 from collections import Counter
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from macrotide.session import cut_lineage
@@ -123,14 +123,20 @@ def _windows(docs: DataFrame, templates, threshold: float) -> DataFrame:
 
     each = runs.groupBy("template", "run").agg(F.first("hits").alias("hits")).select("template", "run", F.inline("hits"))
     at = each.join(grams, ["template", "bigram"]).groupBy("template", "run", "bigram", "tn").agg(F.sort_array(F.collect_list("pos")).alias("at"))
-    placed = at.select("template", "run", "tn", "at", F.posexplode("at").alias("k", "pos"))
-    before = F.coalesce(F.when(F.col("k") >= F.col("tn"), F.get("at", F.col("k") - F.col("tn"))), F.lit(-1))
-    marked = (placed.select("template", "run", F.struct("pos", before.alias("before")).alias("hit"))
-              .groupBy("template", "run").agg(F.sort_array(F.collect_list("hit")).alias("hits")).join(sizes, "template"))
-    best = f"""array_max(transform(filter(transform(hits, (x, i) -> struct(i, x.pos as pos)), y -> get(hits, y.i + low - 1).pos - y.pos < high), y ->
-        aggregate(slice(hits, y.i + 1, high), struct(0 as n, 0D as best), (a, x) -> struct(
+    placed = at.select("template", "run", F.inline(F.expr(
+        "transform(at, (p, k) -> struct(p as pos, coalesce(get(at, k - tn), -1) as before))"))).join(sizes, "template")
+    # A hit counts in the widest window of every start from behind `before`, at most high - 1 ahead of it, up to its own place.
+    steps = placed.selectExpr("template", "run", """stack(3, pos, 0, pos, before, greatest(before, pos - high) + 1, 1, null, null,
+        pos + 1, -1, null, null) as (place, step, pos, before)""")
+    most = F.sum("step").over(Window.partitionBy("template", "run").orderBy("place")).cast("int")
+    marked = (steps.withColumn("most", most).where("pos is not null").groupBy("template", "run")
+              .agg(F.sort_array(F.collect_list(F.struct("pos", "before", "most"))).alias("hits"), F.max("most").alias("most"))
+              .join(sizes, "template").where("most >= low"))
+    # No window of a start is better than one that holds nothing but its most hits; starts that cannot exceed the best so far are passed over.
+    best = """aggregate(filter(transform(hits, (x, i) -> struct(i, x.pos as pos, x.most as most)), y -> y.most >= low), 0D, (top, y) -> if(
+        2 * y.most / (y.most + t) <= top, top, greatest(top, aggregate(slice(hits, y.i + 1, high), struct(0 as n, 0D as best), (a, x) -> struct(
             a.n + if(x.before < y.pos, 1, 0) as n,
-            if(x.pos - y.pos < high, greatest(a.best, 2 * (a.n + if(x.before < y.pos, 1, 0)) / (x.pos - y.pos + 1 + t)), a.best) as best), a -> a.best)))"""
+            if(x.pos - y.pos < high, greatest(a.best, 2 * (a.n + if(x.before < y.pos, 1, 0)) / (x.pos - y.pos + 1 + t)), a.best) as best), a -> a.best))))"""
     scored = marked.select("template", "run", "licence", F.expr(best).alias("dice")).where(F.col("dice") >= threshold)
     return runs.select("doc_id", "template", "run").join(scored, ["template", "run"]).select("doc_id", "licence", "dice")
 

@@ -369,6 +369,16 @@ def test_licences(docs):
     assert got == {k: (pytest.approx(v[0]), v[1], v[2]) for k, v in want.items()} and got[78][1] == "MIT"
 
 
+def test_licences_of_long_texts_full_of_licence_words(spark):
+    mit = dict(licences.FULL_TEXTS)["MIT"]
+    rows = [(1, "permission is hereby granted free of charge to any person obtaining a copy of this software " * 5_000),
+            (2, "licensed under the apache license version 2 0 " * 10_000), (3, (mit + "\n") * 300),
+            (4, mit.replace("copies", "prints")), (5, (mit.replace("copies", "prints") + "\nno licence word here\n") * 40)]
+    got = {r["doc_id"]: (r["licence"], r["dice"]) for r in licences.licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == (None, 0.0) and got[2] == ("Apache-2.0", 1.0) and got[3] == ("MIT", 1.0)
+    assert got[4][0] == "MIT" and 0.9 < got[4][1] < 1 and got[5] == got[4]
+
+
 def test_licence_windows(spark):
     def tokens(t):
         return re.sub(r"[^a-z0-9]+", " ", t.lower()).split()
