@@ -50,9 +50,13 @@ def append_if_absent(df: DataFrame, new: DataFrame, keys: list[str]) -> DataFram
     return df.unionByName(new.join(taken, keys, "left_anti"), allowMissingColumns=True)
 
 
-def newest_rows(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
-    """The n newest rows of a table (a distributed top-k, not a global sort)."""
-    return df.orderBy(*_newest_first(order)).limit(n)
+def newest_rows(df: DataFrame, order: list[str], n: int = 5, landed: str | None = None) -> DataFrame:
+    """The n newest rows of a table (a distributed top-k, not a global sort).
+
+    ``landed`` names a column that numbers rows as they arrived: of equally new rows those that came first are taken,
+    whatever task reads them. Without it any of them may be.
+    """
+    return df.orderBy(*_newest_first(order), *[F.col(landed).asc()] * (landed is not None)).limit(n)
 
 
 def top_features(importance: DataFrame, n: int = 10) -> DataFrame:

@@ -35,8 +35,8 @@ def read_bronze(spark: SparkSession, root: str, dataset: str, dt_in_file: bool =
     )
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Typed staging rows: bad values become NULL, blank geo becomes the default area."""
+def stage(df: DataFrame, *carried: str) -> DataFrame:
+    """Typed staging rows: bad values become NULL, blank geo becomes the default area; ``carried`` columns stay as they are."""
     return df.select(
         clean.to_date_or_null("dt").alias("dt"),
         "dataset",
@@ -45,6 +45,7 @@ def stage(df: DataFrame) -> DataFrame:
         clean.to_double_or_null("value").alias("value"),
         "source",
         clean.to_timestamp_or_null("ingest_ts").alias("ingest_ts"),
+        *carried,
     )
 
 

@@ -33,6 +33,13 @@ def test_vintage_ties_and_order_independence(spark):
         assert keyed.last_write_wins(once.unionByName(vintages(spark, rows))).count() == 1
 
 
+def test_newest_rows_settle_ties_by_arrival(spark):
+    tied = spark.range(0, 4000, 1, 8).select(F.col("id"), F.lit(T(10)).alias("ingest_ts"), (F.col("id") % 7).alias("value"))
+    for parts in (1, 3, 16):
+        out = keyed.newest_rows(tied.repartition(parts, F.xxhash64("id")), ["ingest_ts"], 5, "id").collect()
+        assert [r.id for r in out] == [0, 1, 2, 3, 4]
+
+
 def test_hot_key_sends_one_row_per_task(spark):
     df = spark.range(0, 3000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("stamp"))

@@ -79,7 +79,7 @@ SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS dt, 'eurostat_h
 FROM orders""")
 
 
-def bronze_events(spark: SparkSession, sf: str) -> DataFrame:
+def bronze_events(spark: SparkSession, sf: str, *carried: str) -> DataFrame:
     e = table(spark, sf, "events")
     n, user = F.col("event_id"), F.col("user_id") % 10
     return e.select(
@@ -92,6 +92,7 @@ def bronze_events(spark: SparkSession, sf: str) -> DataFrame:
         F.when(n % 50 == 0, ".").when(n % 77 == 0, "").otherwise(F.col("value").cast("string")).alias("value"),
         F.lit("events").alias("source"),
         _iso("ts").alias("ingest_ts"),
+        *carried,
     )
 
 

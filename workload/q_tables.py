@@ -361,8 +361,10 @@ def w11_expanding_window(spark, sf):
 
 @query("o1_newest_rows", "SELECT dt, dataset, series_id, geo, value, ingest_us FROM staged_events ORDER BY ingest_us DESC, series_id DESC LIMIT 5", ("staged_events",))
 def o1_newest_rows(spark, sf):
-    staged = stage(proxy.bronze_events(spark, sf)).withColumn("ingest_us", F.unix_micros("ingest_ts"))
-    return keyed.newest_rows(staged.select("dt", "dataset", "series_id", "geo", "value", "ingest_us"), ["ingest_us", "series_id"], 5)
+    # Events are numbered as they arrive; their stamps have whole seconds here, so several can be equally new.
+    staged = stage(proxy.bronze_events(spark, sf, "event_id"), "event_id").withColumn("ingest_us", F.unix_micros("ingest_ts"))
+    newest = keyed.newest_rows(staged, ["ingest_us", "series_id"], 5, "event_id")
+    return newest.select("dt", "dataset", "series_id", "geo", "value", "ingest_us")
 
 
 @query("o2_ordered_view", f"SELECT month, geo, {_cols('fx_usd_eur_avg')} FROM fact_macro ORDER BY month, geo", ("fact_macro",))
