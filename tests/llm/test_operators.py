@@ -448,6 +448,29 @@ def test_rule_statistics(docs, marks):
     assert all(not (t[6] and t[7]) and 0 <= t[8] <= 1 for t in out)
 
 
+def test_forest_learns_from_every_labelled_row(spark):
+    """Ranges and threshold of 24,000 labelled rows are those of all of them: the verdicts follow from the scores by brute force."""
+    i, n = F.col("id"), 24_000
+    word = lambda k: F.concat(F.lit("w"), F.pmod(F.xxhash64(i, k), F.lit(5000)).cast("string"), F.when(F.pmod(F.xxhash64(k, i), F.lit(400)) < (i % 40) * F.when(i % 40 >= 36, 3).otherwise(1), "#").otherwise(""))
+    rows = spark.range(0, n, 1, 8).select(i.alias("doc_id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(70)), word)).alias("text"))
+    bad = lambda d: d % 40 >= 36
+    marks = spark.range(0, n, 1, 8).select(i.alias("doc_id"), F.when(i % 40 >= 36, 0).otherwise(1).alias("quality"))
+    stats = rows_of(anomaly.rule_statistics(rows))
+    x = anomaly.features({c: np.array([r[k] for r in stats], float) for k, c in enumerate(["doc_id", *anomaly.BASE, *anomaly.MORE]) if k})
+    x = x[[not bad(r[0]) for r in stats]]
+    found = anomaly.Limits.of(spark.createDataFrame(x.tolist(), [f"c{k}" for k in range(x.shape[1])]), [f"c{k}" for k in range(x.shape[1])])
+    assert np.allclose(found.low, np.quantile(x, anomaly.TAIL, axis=0)) and np.allclose(found.high, np.quantile(x, 1 - anomaly.TAIL, axis=0))
+
+    out = rows_of(anomaly.quality_rules(rows, marks))
+    passed = [t for t in out if not t[6]]
+    good, poor = (np.sort([t[8] for t in passed if bad(t[0]) == b]) for b in (False, True))
+    scores = np.unique([t[8] for t in passed])
+    gain = {c: (poor > c).mean() - 10 * (good > c).mean() for c in scores if c >= np.quantile(good, 0.99, method="higher")}
+    best = max(gain, key=lambda c: (gain[c], -c))
+    assert len(out) == n and all(t[7] == (not t[6] and t[8] <= best) for t in out)
+    assert (poor > best).mean() > 0.5 and (good > best).mean() <= 0.01
+
+
 def test_forest_isolates_outliers():
     rng = np.random.default_rng(0)
     x = np.vstack([rng.normal(size=(300, 3)), [[9, 9, 9]]])
