@@ -37,7 +37,9 @@ def to_date_or_null(c: Column | str) -> Column:
     Bare years, year-months and times of day, which a plain Spark cast would accept, are no dates.
     """
     text = F.trim(_col(c).cast("string"))
-    return F.when(_stamp(text).isNotNull(), F.substring_index(F.substring_index(_dashed(text), " ", 1), "T", 1).try_cast("date"))
+    # A day as ISO writes it needs no pattern: of ten such characters the plain cast takes nothing else.
+    iso = (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-") & F.substring(text, 10, 1).between("0", "9")
+    return F.when(iso, text.try_cast("date")).when(_stamp(text).isNotNull(), F.substring_index(F.substring_index(_dashed(text), " ", 1), "T", 1).try_cast("date"))
 
 
 def to_double_or_null(c: Column | str) -> Column:
@@ -45,7 +47,8 @@ def to_double_or_null(c: Column | str) -> Column:
     underscores between digits (``1_000``) do."""
     text = _col(c).cast("string")
     plain = F.when(text.contains("_"), F.when(~text.rlike(r"(^|[^0-9])_|_($|[^0-9])"), F.regexp_replace(text, "_", ""))).otherwise(text)
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), plain.try_cast("double"))
+    # A text that ends in a digit has no suffix, whatever the pattern would cost.
+    return F.when(F.substring(text, -1, 1).between("0", "9") | ~text.rlike(r"[0-9.][dDfF]\s*$"), plain.try_cast("double"))
 
 
 def to_timestamp_or_null(c: Column | str) -> Column:

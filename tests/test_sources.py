@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from macrotide.functions import clean
 from macrotide.session import scratch_path, shared_root
 from macrotide.sources import bronze, payloads
 
@@ -188,3 +189,22 @@ def test_stamps_need_a_full_day(spark):
 
     df = spark.createDataFrame([("12:30:00",), ("T10:00",), ("2024",), ("2024-03",), ("2024/1/5 10:00",)], "t string")
     assert [r[0] is None for r in df.select(clean.to_timestamp_or_null("t")).collect()] == [True] * 4 + [False]
+
+
+def test_landed_documents_repeat_their_structure_compressed(spark):
+    from workload import landed
+
+    for write, kind in ((landed.fx_payloads, "fx"), (landed.rates_payloads, "rates")):
+        path = write(spark, "/root/testdata/sf0.001")
+        docs = payloads.read_json(spark, path, payloads.SDMX_JSON)
+        assert docs.count() > 100 and payloads.refused(docs.select("structure", "dataSets", payloads.CORRUPT), kind).isEmpty()
+        text = spark.read.text(path).agg(F.sum(F.length("value"))).first()[0]
+        files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+        assert sum(f.length for f in files) * 3 < text and all(f.path.endswith(f".{landed.CODEC}") for f in files)
+
+
+def test_plain_days_and_numbers_keep_their_meaning(spark):
+    texts = ["2024-01-01", "2024-01-1T", "2024-01-1\t", "2024-02-30", "2024-1-001", " 2024-01-01 ", "1.5", "1.5f", "2d ", "1_0", "x5"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(clean.to_date_or_null("t").cast("string"), clean.to_double_or_null("t")).collect()
+    assert [r[0] for r in rows] == ["2024-01-01", None, None, None, None, "2024-01-01", *[None] * 5]
+    assert [r[1] for r in rows] == [None] * 6 + [1.5, None, None, 10.0, None]

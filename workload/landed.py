@@ -1,11 +1,14 @@
 """Landed files for the source readers, written by Spark from the driver tables.
 
 Every list or map collected here is bounded by the calendar (days of a month, months of a year) or by
-the four quoted currencies.
+the four quoted currencies. Rows are dealt once, by the key of the document they end up in: the aggregates
+that build a document follow without a further exchange.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,30 +16,28 @@ from macrotide.session import scratch_path
 from workload.proxy import _pick, table
 
 CURRENCIES = ["CNY", "GBP", "JPY", "USD"]
+CODEC = "lz4"  # of landed JSON, which repeats its structure in every document
 
 
-def _dimension(name: str, codes: Column) -> Column:
-    return F.struct(F.lit(name).alias("id"), F.transform(codes, lambda c: F.struct(c.alias("id"))).alias("values"))
-
-
-def _constant(name: str, *codes: str) -> Column:
-    return _dimension(name, F.array(*[F.lit(c) for c in codes]))
+def _constant(name: str, *codes: str) -> dict:
+    return {"id": name, "values": [{"id": c} for c in codes]}
 
 
-def _structure(series: list[Column], times: Column) -> Column:
-    return F.struct(F.struct(
-        F.array(*series).alias("series"), F.array(_dimension("TIME_PERIOD", times)).alias("observation"),
-    ).alias("dimensions")).alias("structure")
+def _documents(series: list[dict], periods: list[str], n: Column, start: Column, data: Column) -> Column:
+    """SDMX-JSON text. The structure is the same in all documents but for its first ``n`` periods, which begin with ``start``."""
+    entries = [json.dumps({"id": f"@{p}"}) for p in periods]
+    width = len(entries[0]) + 1
+    times = F.replace(F.substring(F.lit(",".join(entries)), F.lit(1), n * width - 1), F.lit("@"), start)
+    head = f'{{"structure":{{"dimensions":{{"series":{json.dumps(series)},"observation":[{{"id":"TIME_PERIOD","values":['
+    return F.concat(F.lit(head), times, F.lit(']}]}},"dataSets":['), F.to_json(data), F.lit("]}"))
 
 
-def _observation_map(index: Column, value: Column) -> Column:
-    entry = F.struct(index.cast("string"), F.array(value, F.lit(0.0)))
-    return F.map_from_entries(F.collect_list(entry))
+def _observation(index: Column, value: Column) -> Column:
+    return F.struct(index.cast("string"), F.array(value, F.lit(0.0)))
 
 
-def _write_json(payloads: DataFrame, path: str, *partitions: str) -> str:
-    text = payloads.select(*partitions, F.to_json("payload").alias("value"))
-    writer = text.write
+def _write_lines(documents: DataFrame, path: str, *partitions: str) -> str:
+    writer = documents.select(*partitions, "value").write.option("compression", CODEC)
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.text(path)
@@ -45,41 +46,45 @@ def _write_json(payloads: DataFrame, path: str, *partitions: str) -> str:
 
 def fx_payloads(spark: SparkSession, sf: str) -> str:
     """One SDMX-JSON document per supplier and month; observations of the 13th are null."""
-    day = F.to_date("l_shipdate")
-    daily = table(spark, sf, "lineitem").groupBy(
-        "l_suppkey", F.trunc(day, "month").alias("month"), F.dayofmonth(day).alias("day"),
-        (F.col("l_linenumber") % 4).alias("ccy"),
-    ).agg(F.max(1 + F.col("l_tax")).alias("rate"))
+    date = F.to_date("l_shipdate")
+    rows = table(spark, sf, "lineitem").select(
+        "l_suppkey", F.trunc(date, "month").alias("month"), F.dayofmonth(date).alias("day"),
+        (F.col("l_linenumber") % 4).alias("ccy"), (1 + F.col("l_tax")).alias("rate")).repartition("l_suppkey", "month")
+    daily = rows.groupBy("l_suppkey", "month", "day", "ccy").agg(F.max("rate").alias("rate"))
     value = F.when(F.col("day") != 13, F.col("rate"))
-    series = daily.groupBy("l_suppkey", "month", "ccy").agg(
-        _observation_map(F.col("day") - 1, value).alias("observations"))
-    bodies = series.groupBy("l_suppkey", "month").agg(F.map_from_entries(F.collect_list(F.struct(
-        F.concat(F.lit("0:"), F.col("ccy").cast("string"), F.lit(":0:0:0")), F.struct("observations")))).alias("series"))
-    times = F.transform(F.sequence("month", F.last_day("month")), lambda d: F.date_format(d, "yyyy-MM-dd"))
-    structure = _structure([
+    bodies = daily.groupBy("l_suppkey", "month").agg(F.collect_list(
+        F.struct("ccy", _observation(F.col("day") - 1, value).alias("one"))).alias("quoted"))
+
+    def observed(n: int) -> Column:
+        own = F.transform(F.filter("quoted", lambda q: q["ccy"] == n), lambda q: q["one"])
+        return F.struct(F.lit(f"0:{n}:0:0:0").alias("key"), F.struct(F.map_from_entries(own).alias("observations")).alias("body"))
+
+    series = F.array(*[observed(n) for n in range(len(CURRENCIES))])
+    present = F.map_from_entries(F.filter(series, lambda s: F.size(s["body"]["observations"]) > 0))
+    text = _documents([
         _constant("FREQ", "D"), _constant("CURRENCY", *CURRENCIES), _constant("CURRENCY_DENOM", "EUR"),
-        _constant("EXR_TYPE", "SP00"), _constant("EXR_SUFFIX", "A")], times)
-    payload = F.struct(structure, F.array(F.struct("series")).alias("dataSets"))
-    return _write_json(bodies.select(payload.alias("payload")), scratch_path(spark, "fx"))
+        _constant("EXR_TYPE", "SP00"), _constant("EXR_SUFFIX", "A")],
+        [f"{d:02d}" for d in range(1, 32)], F.dayofmonth(F.last_day("month")), F.date_format("month", "yyyy-MM-"), F.struct(present.alias("series")))
+    return _write_lines(bodies.select(text.alias("value")), scratch_path(spark, "fx"))
 
 
 def rates_payloads(spark: SparkSession, sf: str) -> str:
     """One document per label, customer and year with monthly periods; odd customers have no series level."""
     o = table(spark, sf, "orders")
     date = F.to_date("o_orderdate")
-    monthly = o.groupBy(
+    key = ["label", "o_custkey", "year"]
+    rows = o.select(
         _pick(F.col("o_orderkey") % 3, "MRR", "DFR", "MLF").alias("label"), "o_custkey",
-        F.year(date).alias("year"), F.month(date).alias("m"),
-    ).agg(F.max("o_totalprice").alias("rate"))
-    bodies = monthly.groupBy("label", "o_custkey", "year").agg(
-        _observation_map(F.col("m") - 1, F.col("rate")).alias("observations"))
-    times = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.format_string("%04d-%02d", F.col("year"), m))
+        F.year(date).alias("year"), F.month(date).alias("m"), "o_totalprice").repartition(*key)
+    monthly = rows.groupBy(*key, "m").agg(F.max("o_totalprice").alias("rate"))
+    bodies = monthly.groupBy(*key).agg(
+        F.map_from_entries(F.collect_list(_observation(F.col("m") - 1, F.col("rate")))).alias("observations"))
     flat = F.col("o_custkey") % 2 == 1
     series = F.when(~flat, F.create_map(F.lit("0:0:0"), F.struct("observations")))
     top = F.when(flat, F.col("observations"))
     data = F.struct(series.alias("series"), top.alias("observations"))
-    payload = F.struct(_structure([_constant("FREQ", "M")], times), F.array(data).alias("dataSets"))
-    return _write_json(bodies.select("label", payload.alias("payload")), scratch_path(spark, "rates"), "label")
+    text = _documents([_constant("FREQ", "M")], [f"-{m:02d}" for m in range(1, 13)], F.lit(12), F.format_string("%04d", F.col("year")), data)
+    return _write_lines(bodies.select("label", text.alias("value")), scratch_path(spark, "rates"), "label")
 
 
 def mixed_payloads(spark: SparkSession, sf: str) -> str:
@@ -96,17 +101,18 @@ def mixed_payloads(spark: SparkSession, sf: str) -> str:
 def energy_pages(spark: SparkSession, sf: str) -> str:
     """One page per series, supplier and month; some values are null tokens, some dates are blank."""
     date = F.to_date("l_shipdate")
-    daily = table(spark, sf, "lineitem").groupBy(
+    key = ["series_id", "l_suppkey", "month"]
+    rows = table(spark, sf, "lineitem").select(
         _pick(F.col("l_linenumber") % 2, "POILBREUSDM", "PNGASEUUSDM").alias("series_id"), "l_suppkey",
-        F.trunc(date, "month").alias("month"), date.alias("day"),
-    ).agg(F.max("l_extendedprice").alias("price"))
+        F.trunc(date, "month").alias("month"), date.alias("day"), "l_extendedprice").repartition(*key)
+    daily = rows.groupBy(*key, "day").agg(F.max("l_extendedprice").alias("price"))
     n = F.dayofmonth("day")
     item = F.struct(
         F.when(n == 7, "").otherwise(F.concat(F.lit(" "), F.date_format("day", "yyyy-MM-dd"))).alias("date"),
         F.when(n == 3, ".").when(n == 4, "NaN").when(n == 5, "n.a.").otherwise(F.col("price").cast("string")).alias("value"))
-    pages = daily.groupBy("series_id", "l_suppkey", "month").agg(F.collect_list(item).alias("observations"))
-    return _write_json(pages.select("series_id", F.struct("observations").alias("payload")),
-                       scratch_path(spark, "pages"), "series_id")
+    pages = daily.groupBy(*key).agg(F.collect_list(item).alias("observations"))
+    return _write_lines(pages.select("series_id", F.to_json(F.struct("observations")).alias("value")),
+                        scratch_path(spark, "pages"), "series_id")
 
 
 def index_csv(spark: SparkSession, sf: str) -> str:
@@ -123,5 +129,5 @@ def index_csv(spark: SparkSession, sf: str) -> str:
         .otherwise(F.col("o_totalprice").cast("string")).alias("OBS_VALUE"),
         F.lit("x").alias("OBS_FLAG"))
     path = scratch_path(spark, "index")
-    rows.write.option("header", True).csv(path)
+    rows.write.option("header", True).option("compression", CODEC).csv(path)
     return path
