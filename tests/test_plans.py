@@ -305,3 +305,15 @@ def test_pipeline_names_every_layer(spark):
     assert tables["gold.dim_time"].count() == 2
     row = tables["gold.gold_dashboard_view"].first()
     assert (row.hicp_index, row.fx_usd_eur_avg, row.policy_rate_eom, row.brent_crude_usd) == (100.0, 1.1, 4.0, 80.0)
+
+
+def test_model_queries_read_the_tables_once(spark, monkeypatch):
+    from workload import proxy, q_models
+
+    reads, read = [], proxy.table
+    monkeypatch.setattr(proxy, "table", lambda spark, sf, name: reads.append(name) or read(spark, sf, name))
+    monkeypatch.setattr(q_models, "TREES", 1)
+    for run in (q_models.m5_feature_importance, q_models.m6_nowcast_future_month, q_models.m2_pooled_model, q_models.m8_save_and_load):
+        reads.clear()
+        run(spark, "/root/testdata/sf0.01")
+        assert sorted(reads) == ["lineitem", "lineitem", "orders", "orders"]  # exchange rates and energy; index and policy rates

@@ -120,9 +120,11 @@ def m3_walk_forward_pooled(spark, sf):
 
 
 def _fitted(spark, sf):
-    matrix = cut_lineage(proxy.matrix(spark, sf), "matrix")
+    """Model, training rows, test rows and the stored input they come from: the tables are read for that alone."""
+    source = cut_lineage(proxy.nowcast_input(spark, sf), "input")
+    matrix = cut_lineage(feature_plan.training_matrix(source, TRAIN_STOP), "matrix")
     train, test = feature_plan.split_at(matrix, TRAIN_STOP)
-    return nowcast.fit_pooled(train, FEATURE_NAMES, TREES), test
+    return nowcast.fit_pooled(train, FEATURE_NAMES, TREES), train, test, source
 
 
 @query("m2_pooled_model", f"""
@@ -131,8 +133,7 @@ SELECT geo, count(*) FILTER (WHERE training) AS n_train, count(*) FILTER (WHERE
   {r('avg(abs(hicp_mom - mean)) FILTER (WHERE training)', 5)} AS spread_around_mean, true AS fit_takes_half_of_it, 0::BIGINT AS unscored FROM t GROUP BY geo""", ("matrix",))
 def m2_pooled_model(spark, sf):
     """Rows, training error against the spread around the training mean, and test rows without a score, per geo."""
-    model, test = _fitted(spark, sf)
-    train = feature_plan.split_at(proxy.matrix(spark, sf), TRAIN_STOP)[0]
+    model, train, test, _ = _fitted(spark, sf)
     mean = train.agg(F.avg("hicp_mom")).first()[0]
     scored = model.transform(train).groupBy("geo").agg(
         F.count("*").alias("n_train"), F.avg(F.abs(F.col("hicp_mom") - mean)).alias("spread_around_mean"),
@@ -148,11 +149,10 @@ SELECT feature, count(DISTINCT round(value, 9)) AS n_values, true AS weight_need
 UNPIVOT INCLUDE NULLS (value FOR feature IN ({', '.join(FEATURE_NAMES)})) GROUP BY 1""", ("matrix",))
 def m5_feature_importance(spark, sf):
     """Every feature with its number of training values; constant ones have no weight, and the ranked list is in order of weight."""
-    model, _ = _fitted(spark, sf)
+    model, train, _, _ = _fitted(spark, sf)
     weights = cut_lineage(nowcast.feature_importance(model, spark), "importance")
     ranked = top_features(weights, len(FEATURE_NAMES)).collect()  # one row per feature
     falling = all(a["importance"] >= b["importance"] for a, b in zip(ranked, ranked[1:])) and abs(sum(x["importance"] for x in ranked) - 1) < 1e-9
-    train = feature_plan.split_at(proxy.matrix(spark, sf), TRAIN_STOP)[0]
     values = train.select([F.round(F.col(c).cast("double"), 9).alias(c) for c in FEATURE_NAMES]).unpivot([], FEATURE_NAMES, "feature", "value").groupBy("feature").agg(
         F.countDistinct("value").alias("n_values"))
     return weights.join(values, "feature").select(
@@ -162,7 +162,7 @@ def m5_feature_importance(spark, sf):
 @query("m8_save_and_load", f"""
 SELECT geo, month, true AS same FROM matrix WHERE month > DATE '{TRAIN_STOP}'""", ("matrix",))
 def m8_save_and_load(spark, sf):
-    model, test = _fitted(spark, sf)
+    model, _, test, _ = _fitted(spark, sf)
     loaded = nowcast.load_model(nowcast.save_model(model, scratch_path(spark, "model")))
     before = model.transform(test).select("geo", "month", F.col("y_pred_mom").alias("a"))
     after = loaded.transform(test).select("geo", "month", F.col("y_pred_mom").alias("b"))
@@ -176,10 +176,9 @@ FROM nowcast_input, (SELECT min(hicp_mom) AS lowest, max(hicp_mom) AS highest FR
 WHERE target_hicp_index IS NOT NULL AND month < DATE '{TARGET_MONTH}' GROUP BY 1""", ("nowcast_input", "matrix"))
 def m6_nowcast_future_month(spark, sf):
     """Nowcast rows; the predicted change lies within the training changes, or outside by a tenth of their range at most."""
-    model, _ = _fitted(spark, sf)
-    source = cut_lineage(proxy.nowcast_input(spark, sf), "input")
+    model, train, _, source = _fitted(spark, sf)
     out = nowcast.nowcast_month(model, source, TARGET_MONTH)
-    low, high = feature_plan.split_at(proxy.matrix(spark, sf), TRAIN_STOP)[0].agg(F.min("hicp_mom"), F.max("hicp_mom")).first()
+    low, high = train.agg(F.min("hicp_mom"), F.max("hicp_mom")).first()
     follows = F.abs(F.col("level_pred") - F.col("last_known_level") * (1 + F.col("mom_pred"))) < 1e-9 * F.col("last_known_level")
     near = F.col("mom_pred").between(low - 0.1 * (high - low), high + 0.1 * (high - low))
     return rounded(out.select("geo", "month", "last_known_month", "last_known_level", follows.alias("level_follows"), F.lit(low).alias("lowest_change"),
