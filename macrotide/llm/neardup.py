@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from macrotide.llm.graph import components
 from macrotide.llm.sides import checked
 from macrotide.llm.text import mix, seeds, shingles, slices
-from macrotide.session import cut_lineage
+from macrotide.session import cut_lineage, small_batches
 
 COORDINATES = 48
 MISSED = 1e-6  # share of pairs at the similarity itself that may have too few equal coordinates
 HEADS, ROUNDS, CLASSES = 4, 6, 32
+PART_BYTES = 1 << 20  # of text that a Python worker hashes at once
 
 
 def _sets(table, width):
@@ -47,7 +48,7 @@ def signatures(docs: DataFrame, width: int, coordinates: int = COORDINATES) -> D
     times, plus = seeds(coordinates, 11), seeds(coordinates, 12)
 
     def run(batches):
-        for batch, flat, n in _sets(slices(batches), width):
+        for batch, flat, n in _sets(slices(batches, limit=PART_BYTES), width):
             some = n > 0
             at = (np.cumsum(n) - n)[some]
             sig = np.zeros((len(n), coordinates), np.uint32)
@@ -69,7 +70,7 @@ def signatures(docs: DataFrame, width: int, coordinates: int = COORDINATES) -> D
 
 def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
-        for batch, flat, n in _sets(slices(batches), width):
+        for batch, flat, n in _sets(slices(batches, limit=PART_BYTES), width):
             border = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(border, pa.array(flat.view(np.int64)))], ["doc_id", "items"])
@@ -155,7 +156,8 @@ def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int = 80, match
     post = cut_lineage(posted(sigs, matches), "posted")
     ids = checked(sigs.select("doc_id", "head", "mark").join(post.select("doc_id").distinct(), "doc_id", "left_semi"), "posted-ids")
     texts = docs.withColumnRenamed("doc_id", "head").join(ids, ["head", "mark"]).select("doc_id", "text")
-    sets = cut_lineage(_whole_sets(texts.repartition(F.xxhash64("doc_id")), width), "sets")
+    with small_batches(docs.sparkSession):
+        sets = cut_lineage(_whole_sets(texts.repartition(F.xxhash64("doc_id")), width), "sets")
     near = cut_lineage(sigs.join(ids.select("doc_id"), "doc_id", "left_semi").select("doc_id", "sig"), "near")
 
     def tested(pairs: DataFrame) -> DataFrame:
@@ -212,7 +214,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     brings the links of all its texts. Building the result runs jobs that write intermediates to the shared folder.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
-    sigs = cut_lineage(signatures(docs, width), "signatures")
+    with small_batches(df.sparkSession):
+        sigs = cut_lineage(signatures(docs, width), "signatures")
     some = sigs.where("n_shingles > 0 and doc_id is not null")
     keys = ["key_a", "key_b", "n_shingles"]
     heads = cut_lineage(some.groupBy(*keys).agg(F.min(F.struct("doc_id", "mark")).alias("one"), F.first("sig").alias("sig")).select(

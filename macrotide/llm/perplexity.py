@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macrotide.llm.sides import checked
-from macrotide.llm.text import SLICE_BYTES, Texts, slices
-from macrotide.session import cut_lineage, scratch_path
+from macrotide.llm.text import Texts, slices
+from macrotide.session import cut_lineage, scratch_path, small_batches
 
 ORDER, CHUNK_BYTES, QUANTILE, WINDOW, LEAST_CALIBRATION = 4, 32 << 20, 0.995, 64, 50
+PART_BYTES = 1 << 20  # of text that a Python worker counts or scores at once
 
 
 def _grams(texts: Texts, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -30,7 +31,7 @@ def _grams(texts: Texts, order: int) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def _parts(texts: Texts, limit: int = SLICE_BYTES):
+def _parts(texts: Texts, limit: int = PART_BYTES):
     """Runs of texts of about ``limit`` bytes."""
     row = 0
     while row < len(texts.start):
@@ -47,7 +48,7 @@ def _distinct(texts: Texts, order: int) -> np.ndarray:
 def _counts(docs: DataFrame, order: int) -> DataFrame:
     """Counts of n-grams: ``gram``, ``n``; counted by slice before the shuffle."""
     def run(batches):
-        for _, texts in slices(batches):
+        for _, texts in slices(batches, limit=PART_BYTES):
             found, n = np.unique(_grams(texts, order)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["gram", "n"])
 
@@ -75,17 +76,34 @@ def _asked(chunks: DataFrame, order: int) -> DataFrame:
 def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     """One stored row per chunk: its documents' ids, marks, languages, lengths, and their texts as one compressed block.
 
-    Stored in buckets of ``chunk``, so that bringing answers to a chunk moves the answers only.
+    Stored in buckets of ``chunk``, so that bringing answers to a chunk moves the answers only. A chunk gathers the rows
+    of as many batches as it has room for, and holds their texts compressed only.
     """
     kind = docs.schema["doc_id"].dataType
 
+    def chunk(rows, sink, blob):
+        blob.close()
+        columns = [pa.concat_arrays(c) for c in zip(*rows)]
+        border = pa.array([0, len(columns[0])], pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [*(pa.ListArray.from_arrays(border, c) for c in columns), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+            ["doc_id", "mark", "lang", "size", "blob"])
+
     def run(batches):
-        for batch, texts in slices(batches, limit=chunk_bytes):
-            one = lambda name: pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(batch.schema.get_field_index(name)))
-            size = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), pa.array(texts.end - texts.start))
-            blob = pa.compress(texts.data.tobytes(), codec="zstd", asbytes=True)
-            yield pa.RecordBatch.from_arrays(
-                [one("doc_id"), one("mark"), one("lang"), size, pa.array([blob], pa.binary())], ["doc_id", "mark", "lang", "size", "blob"])
+        rows, held = [], 0
+        for batch, texts in slices(batches, limit=min(PART_BYTES, chunk_bytes)):
+            if rows and held + len(texts.data) > chunk_bytes:
+                yield chunk(rows, sink, blob)
+                rows, held = [], 0
+            if not rows:
+                sink = pa.BufferOutputStream()
+                blob = pa.CompressedOutputStream(sink, "zstd")
+            own = pa.array(np.arange(batch.num_rows))  # copies: slices would hold the whole batch, texts too
+            rows.append([*(batch.column(batch.schema.get_field_index(name)).take(own) for name in ("doc_id", "mark", "lang")), pa.array(texts.end - texts.start)])
+            held += len(texts.data)
+            blob.write(texts.data)
+        if rows:
+            yield chunk(rows, sink, blob)
 
     rows = docs.select("doc_id", "mark", "lang", "text").mapInArrow(
         run, f"doc_id array<{kind.simpleString()}>, mark array<long>, lang array<string>, size array<long>, blob binary")
@@ -222,8 +240,9 @@ def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     trusted = cut_lineage(labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
                           .where("q = 1").select("doc_id"), "trusted")
-    rows = cut_lineage(scored(docs, trusted.where(~_calibration(F.col("doc_id"))), order).withColumn(
-        "loss", F.when(F.col("n_bytes") > 0, -F.col("logp") / F.col("n_bytes"))), "scored")
+    with small_batches(df.sparkSession):
+        rows = cut_lineage(scored(docs, trusted.where(~_calibration(F.col("doc_id"))), order).withColumn(
+            "loss", F.when(F.col("n_bytes") > 0, -F.col("logp") / F.col("n_bytes"))), "scored")
     tried = rows.where("n_bytes > 0").join(checked(trusted.where(_calibration(F.col("doc_id"))), "calibration"), "doc_id", "left_semi")
     limits = [F.percentile_approx(c, quantile, 10_000) for c in ("loss", "spread")]
     own = tried.where("lang is not null").groupBy("lang").agg(

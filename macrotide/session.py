@@ -9,6 +9,8 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 _run_folders: list[str] = []
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def build_session(app: str = "macrotide", master: str | None = None, **conf: str) -> SparkSession:
@@ -61,6 +63,21 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> Iterator[None]:
+    """Jobs run inside hand texts to Python in Arrow batches of about ``limit`` bytes, one row at least.
+
+    Spark's own bounds are 10,000 rows and 64 MB, and a batch is held twice: by the JVM outside its heap, and by the
+    Python worker. It reaches only what is stored before the block ends.
+    """
+    was = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH) if was is None else spark.conf.set(_BATCH, was)
+
+
 def cut_lineage(df, purpose: str = "stage"):
     """Write a DataFrame to the shared folder and read it back, so later jobs do not recompute it."""
     path = scratch_path(df.sparkSession, purpose)

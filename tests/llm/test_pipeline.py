@@ -3,12 +3,14 @@
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as contract
 import check
 import corpus_pipeline
-from macrotide.llm import queries
+from macrotide.llm import neardup, perplexity, queries
+from macrotide.session import cut_lineage
 from tests.llm.data import LABELS, SCHEMA, documents, labels
 from tests.llm.test_operators import brute_near, brute_targets, words
 
@@ -74,3 +76,37 @@ def test_native_queries_have_no_python(spark):
     for name in ("op1_source_mix", "op5_licence_scan"):
         plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_texts_go_to_python_in_small_batches(spark, folder, monkeypatch):
+    seen = {}
+    for module in (neardup, perplexity):
+        monkeypatch.setattr(module, "cut_lineage", lambda df, name: seen.update({name: int(spark.conf.get(LIMIT).strip("b"))}) or cut_lineage(df, name))
+    was = spark.conf.get(LIMIT)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    corpus_pipeline.good_quality(spark, docs, folder)
+    corpus_pipeline.one_of_near(spark, docs, folder)
+    assert all(seen[name] <= 8 << 20 for name in ("counts", "scored", "signatures", "sets"))
+    assert spark.conf.get(LIMIT) == was
+
+
+def test_chunks_gather_batches(spark):
+    rows = [(i, i, None, "" if i % 7 == 0 else f"text {i} ä " * 20) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, mark long, lang string, text string").coalesce(1)
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(limit, "10")
+    try:
+        chunks = perplexity._chunks(docs, 40_000).collect()
+    finally:
+        spark.conf.unset(limit)
+    sizes = [sum(c["size"]) for c in chunks]
+    assert max(sizes) <= 40_000 and sum(sizes) == sum(len(r[3].encode()) for r in rows) and len(chunks) == 2
+    got = {}
+    for c in chunks:
+        data = pa.decompress(bytes(c["blob"]), sum(c["size"]), codec="zstd", asbytes=True)
+        for i, size in zip(c["doc_id"], c["size"]):
+            got[i], data = data[:size].decode(), data[size:]
+    assert got == {r[0]: r[3] for r in rows}
