@@ -37,13 +37,9 @@ def one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, whole: a last part of a document counts as one time.
 
-    Rows that share id and size are taken equally often.
+    Rows of one source that share id and size are taken equally often.
     """
-    taken = mixing.mixture(docs).where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(
-        F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("_times"))
-    size = mixing.word_count(F.col("text"))
-    rows = docs.withColumn("_words", size).join(cut_lineage(taken, "taken"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size")))
-    return rows.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    return mixing.repeated(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from macrotide.llm.sides import checked
 from macrotide.llm.text import WORD
 from macrotide.session import cut_lineage
 
@@ -104,6 +108,31 @@ def mix(queue: DataFrame, share: float = 1.5, epochs: int = 2) -> DataFrame:
     return _attached(placed, budget, ["_all"]).where("position < _budget").drop("_all", "_from", "_budget")
 
 
+def _place(doc_id, size) -> F.Column:
+    """Place of a document in its source's queue, as a value to compare."""
+    return F.struct(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")).alias("shuffle"), doc_id.alias("id"), size.alias("size"))
+
+
+def repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             weights=(3, 1, 2), share: float = 1.5, epochs: int = 2) -> DataFrame:
+    """The rows of the input, each as often as the mix takes it, whole: a last part of a document counts as one time.
+
+    Every pass takes a source's queue from the front, so the last document it takes settles all others: texts are
+    held against one such place per source and pass, and never moved. Rows of one source that share id and size are taken
+    equally often. Texts without words are not taken; an empty input gives an empty result.
+    """
+    queue = cut_lineage(queued(df, id_col, text_col, source_col, weights, share, epochs), "queue")
+    left = [F.floor(F.col("target") - (F.col("start") + e * F.col("source_size"))) for e in range(epochs)]
+    ends = checked(queue.where("size > 0 and target > 0").groupBy(F.col("source").alias("_source")).agg(
+        *[F.max(F.when(left[e] > 0, _place(F.col("doc_id"), F.col("size")))).alias(f"_end{e}") for e in range(epochs)]), "ends")
+    rows = df.withColumn("_size", word_count(F.col(text_col))).where("_size > 0")
+    rows = rows.join(ends, F.col(source_col).eqNullSafe(F.col("_source")))
+    place = _place(F.col(id_col), F.col("_size"))
+    times = reduce(add, [F.coalesce((place <= F.col(f"_end{e}")).cast("int"), F.lit(0)) for e in range(epochs)])
+    return (rows.withColumn("_times", times).where("_times > 0")
+            .withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*df.columns))
+
+
 def in_order(copies: DataFrame) -> DataFrame:
     """Copies range-sorted by their place in the mix."""
     return copies.repartitionByRange("position").sortWithinPartitions("position")

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as contract
 import check
 import corpus_pipeline
-from macrotide.llm import neardup, perplexity, queries
+from macrotide.llm import mixing, neardup, perplexity, queries
 from macrotide.session import cut_lineage
 from tests.llm.data import LABELS, SCHEMA, documents, labels
 from tests.llm.test_operators import brute_near, brute_targets, words
@@ -110,3 +110,22 @@ def test_chunks_gather_batches(spark):
         for i, size in zip(c["doc_id"], c["size"]):
             got[i], data = data[:size].decode(), data[size:]
     assert got == {r[0]: r[3] for r in rows}
+
+
+def test_mix_takes_what_the_operator_takes_and_moves_no_text(spark, folder):
+    rows = [t for t in documents() if t[0] not in (90, 91, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = Counter()
+    for r in mixing.mixture(docs).collect():
+        if r["taken"]:
+            want[r["doc_id"]] += -(-r["taken"] // r["size"])
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")  # as where the sides are large
+    try:
+        out = corpus_pipeline.mixed(spark, docs, folder)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert Counter(r["doc_id"] for r in out.collect()) == want and len(want) < len(rows) and max(want.values()) == 2
+    finally:
+        spark.conf.set(limit, was)
+    assert not re.search(r"Exchange hashpartitioning|SortMergeJoin", plan)
