@@ -187,6 +187,41 @@ def test_matches_follow_the_similarity(spark):
     assert sorted(got) == sorted(brute_near(rows, 5, 55)) and not any(kept for i, _, _, kept in got if i % 2)
 
 
+def test_coordinates_of_large_sets_are_spread(spark):
+    rng = random.Random(8)
+    rows = [(i, i, " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(2000))) for i in range(40)]
+    got = neardup.signatures(spark.createDataFrame(rows, "doc_id long, mark long, text string"), 4).collect()
+    values = np.array([r["sig"] for r in got], np.int32).view(np.uint32) / 2 ** 32
+    assert 0.4 < np.median(values) < 0.6 and len(np.unique(values)) == values.size
+
+
+@pytest.mark.parametrize("sizes", [(300, 280), (3, 2), (5000, 4500), (40_000, 900)])
+def test_classes_bound_what_sets_share(sizes):
+    rng = np.random.default_rng(9)
+    for shared in (0, sizes[1] // 2, sizes[1]):
+        values = np.unique(rng.integers(0, 2 ** 63, 2 * sum(sizes), np.uint64))
+        one, two = values[:sizes[0]], values[sizes[0] - shared:][:sizes[1]]
+        over, bits = neardup._classes(np.concatenate([one, two]), np.array([len(one), len(two)]))
+        both = sum((a & b).bit_count() for a, b in zip(*[[w % 2 ** 64 for w in row] for row in bits.to_pylist()])) + min(over.to_pylist())
+        assert len(np.intersect1d(one, two)) == shared <= both
+
+
+def test_few_pairs_of_a_group_without_links_are_tested(spark, monkeypatch):
+    rng, rows, tested = random.Random(10), [], []
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(400)]
+    for i in range(120):
+        changed = list(base)
+        for place in rng.sample(range(2, 398, 4), 7):
+            changed[place] = f"e{i}x{place}"
+        rows.append((i, " ".join(changed)))
+    rows.append((500, rows[7][1] + " tail"))
+    was = neardup._confirmed
+    monkeypatch.setattr(neardup, "_confirmed", lambda pairs, sets, percent: tested.append(pairs.count()) or was(pairs, sets, percent))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(rows_of(neardup.near_duplicates(df, width=4))) == sorted(brute_near(rows, 4))
+    assert tested[-1] < 120 * 119 // 2 // 20  # pair by pair, after the rounds against heads
+
+
 # ---- language --------------------------------------------------------------------------------------------------------
 
 
